@@ -41,8 +41,11 @@ def page_lines(pages: DataFrame, fetches: DataFrame | None = None, cut: float =
                     continue
                 main = [n for n, k in kinds if k not in layout.HIDDEN_KINDS]
                 other = [n for n, k in kinds if k in layout.HIDDEN_KINDS]
-                lines = body.split("\n") if with_text else []
-                rows.append((key, main, other, *(["\n".join(lines[n].strip("\r") for n in main)] * with_text)))
+                row = (key, main, other)
+                if with_text:
+                    lines = body.split("\n")
+                    row += ("\n".join(lines[n].strip("\r") for n in main),)
+                rows.append(row)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     columns = pages.select("id", "profile_name", "title", "raw_text").where("id is not null")
