@@ -21,16 +21,16 @@ empty tables give no rows.
 from __future__ import annotations
 
 import re
+from collections import namedtuple
 from collections.abc import Iterator
-from typing import Any
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import person
 from lectern.operators.components import connected_components
+from lectern.operators.grouped import map_sorted_groups
 from lectern.session import stored
 
 FAMILY_LIKE, FAMILY_NEAR, GIVEN_LIKE, INSTITUTION_LIKE = 0.92, 0.84, 0.84, 0.87
@@ -146,10 +146,23 @@ def family_alike(a: str, b: str) -> bool:
     """Whether two family names (sorted words) may be spellings of one."""
     if a == b:
         return True
-    if abs(len(a) - len(b)) > 2 or min(len(a), len(b)) < 4:
+    n, m = len(a), len(b)
+    if abs(n - m) > 2 or min(n, m) < 4:
+        return False
+    # what two edits can touch is short once the common start and end are off
+    i = 0
+    while i < min(n, m) and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < min(n, m) - i and a[n - 1 - j] == b[m - 1 - j]:
+        j += 1
+    if i + j < min(n, m) - 2 and (i < 1 or j < 1):
+        return False
+    edits = _edits(a[i : n - j], b[i : m - j])
+    if edits > 2:
         return False
     near = person.jaro_winkler(a, b)
-    return near >= FAMILY_NEAR and _edits(a, b) <= (2 if near >= FAMILY_LIKE and min(len(a), len(b)) >= 8 else 1)
+    return near >= FAMILY_NEAR and edits <= (2 if near >= FAMILY_LIKE and min(n, m) >= 8 else 1)
 
 
 def _edits(a: str, b: str) -> int:
@@ -184,18 +197,18 @@ def family_clusters(nodes: DataFrame) -> DataFrame:
 
     blocks = names.mapInPandas(spread_codes, "inst string, family string, code string")
 
-    def link(key: tuple[Any, ...], block: pd.DataFrame) -> pd.DataFrame:
+    def link(key: tuple, block: Iterator[tuple]) -> Iterator[tuple]:
         # every spelling is compared with the leaders so far; one that is like none leads
         leaders: list[str] = []
-        out = []
-        for f in sorted(block["family"].unique(), key=lambda s: (len(s), s)):
+        for f, _ in block:
             near = [x for x in leaders if family_alike(f, x)]
-            out.extend((key[0] + _SEP + f, key[0] + _SEP + x) for x in near)
+            for x in near:
+                yield key[0] + _SEP + f, key[0] + _SEP + x
             if not near:
                 leaders.append(f)
-        return pd.DataFrame(out, columns=["a", "b"])
 
-    edges = blocks.groupBy("inst", "code").applyInPandas(link, "a string, b string")
+    sized = blocks.withColumn("size", F.length("family"))
+    edges = map_sorted_groups(sized, ["inst", "code"], ["family", "size"], link, "a string, b string", order=["size", "family"])
     found = connected_components(edges)
     keyed = names.withColumn("node", F.concat_ws(_SEP, "inst", "family"))
     return keyed.join(found, "node", "left").select("inst", "family", F.coalesce("component", "node").alias("cluster"))
@@ -219,13 +232,15 @@ class _Group:
         self.size += n
 
 
-def resolve(nodes: pd.DataFrame) -> np.ndarray:
+_Spelling = namedtuple("_Spelling", "node given middle dept email n")
+
+
+def resolve(rows: list[_Spelling]) -> list[int]:
     """A person number for each distinct spelling of one family name at one institution."""
     groups: list[_Group] = []
-    number = np.zeros(len(nodes), dtype=np.int64)
-    rows = list(nodes[["given", "middle", "dept", "email", "n"]].itertuples(index=False))
+    number = [0] * len(rows)
     # full names first, better described and more frequent ones before others
-    order = sorted(range(len(rows)), key=lambda i: (len(rows[i].given) < 2, -(bool(rows[i].dept) + bool(rows[i].middle) + bool(rows[i].email)), -rows[i].n, tuple(rows[i])))
+    order = sorted(range(len(rows)), key=lambda i: (len(rows[i].given) < 2, -(bool(rows[i].dept) + bool(rows[i].middle) + bool(rows[i].email)), -rows[i].n, rows[i].node))
     for i in order:
         r = rows[i]
         best, best_score = None, -1.0
@@ -267,11 +282,13 @@ def persons(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame
     placed = nodes.where("inst <> ''")
     clusters = stored(family_clusters(placed), "p2-families")
 
-    def number(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
-        found = resolve(group)
-        return pd.DataFrame({"node": group["node"], "person": [f"{key[0]}{_SEP}{k}" for k in found]})
+    def number(key: tuple, group: Iterator[tuple]) -> Iterator[tuple]:
+        rows = [_Spelling(*r) for r in group]
+        for r, k in zip(rows, resolve(rows), strict=True):
+            yield r.node, f"{key[0]}{_SEP}{k}"
 
-    at = placed.join(clusters, ["inst", "family"]).groupBy("cluster").applyInPandas(number, "node string, person string")
+    named = placed.join(clusters, ["inst", "family"])
+    at = map_sorted_groups(named, ["cluster"], list(_Spelling._fields), number, "node string, person string", order=["node"])
     at = stored(at, "p2-placed")
     loose = nodes.where("inst = ''").select("node", "given", "middle", "family", "dept")
     # whom a name and department may mean: persons by exact name
