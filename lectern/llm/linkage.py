@@ -1,9 +1,9 @@
 """Problem 7: image records and match decisions of the same person, without a common key.
 
 A cascade of rules, each an exact join on a weaker combination of attributes than the
-one before. After each pass what it resolved is taken out by an anti join: the next
-pass joins what is left of either side with the whole of the other, so a record that
-has found one partner can still be found by another. The confidence of a rule is its
+one before. What a pass resolved is out of the next ones: those join what is left of
+either side with the whole of the other, so a record that has found one partner can
+still be found by another that hasn't. The confidence of a rule is its
 precision on labelled pairs, smoothed: a pair is labelled where both sides tell a
 department that the rule doesn't use, and it is right where they agree.
 
@@ -112,13 +112,35 @@ RULES: list[tuple[str, list[str], bool]] = [
 ]
 
 
-def _keyed(side: DataFrame, parts: list[str], mark: str) -> DataFrame:
-    """``side`` with its join key and with columns marked, blank keys left out."""
-    rows = side.withColumn("edit", F.explode("edits")) if "edit" in parts else side
-    full = F.length("given") > 1 if "given" in parts else F.lit(True)
-    rows = rows.where(full & ~F.greatest(*[(F.coalesce(F.col(p), F.lit("")) == "") for p in parts], F.lit(False)))
-    key = F.concat_ws("\x1f", *parts)
-    return rows.select(key.alias("_key"), *[F.col(c).alias(f"{mark}_{c}") for c in ("key", "given", "initial", "middle", "family", "inst", "dept")])
+def _after(base: Column, sep: Column):
+    return lambda e: F.concat(base, sep, e)
+
+
+def _numbered(n: int):
+    return lambda k: F.struct(F.lit(n).alias("rule"), k.alias("key"))
+
+
+def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str, with_dept: bool = True) -> DataFrame:
+    """``side`` once for each rule and join key that it has, with its columns marked.
+
+    Parts that are blank give no key. Without ``with_dept`` the department is left out
+    of the keys.
+    """
+    sep = F.lit("\x1f")
+    keys = []
+    for n, (_, parts, _) in enumerate(rules):
+        used = [p for p in parts if with_dept or p != "dept"]
+        plain = [p for p in used if p != "edit"]
+        told = F.lit(True)
+        for p in plain:
+            told = told & (F.coalesce(F.col(p), F.lit("")) != "")
+        if "given" in used:
+            told = told & (F.length("given") > 1)
+        base = F.concat_ws("\x1f", *plain)
+        made = F.transform("edits", _after(base, sep)) if "edit" in used else F.array(base)
+        keys.append(F.when(told, F.transform(made, _numbered(n))).otherwise(F.array().cast("array<struct<rule:int,key:string>>")))
+    rows = side.withColumn("_k", F.explode(F.concat(*keys)))
+    return rows.select(F.col("_k.rule").alias("rule"), F.col("_k.key").alias("_key"), *[F.col(c).alias(f"{mark}_{c}") for c in ("key", "given", "initial", "middle", "family", "inst", "dept")])
 
 
 def _agree() -> Column:
@@ -135,41 +157,42 @@ def _agree() -> Column:
 
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:
-    """(a, b, rule, confidence) of each pair that a rule of the cascade accepts, by its first rule.
+    """(a, b, rule, rule_name, confidence) of each pair that a rule of the cascade accepts, by its first rule.
 
+    The passes run as one exact join whose key begins with the number of the rule. The
+    anti join of a pass then is a comparison: a pair stands if its rule is the first
+    that resolved either record, for then that record was still open in its pass.
     A full name without institution on a side is accepted only where all partners of
     that record by the rule share one institution, an initial (unless the department is
     in the key) only where the full names that it may stand for are one.
     """
-    a_left, b_left = left.select("key"), right.select("key")
-    found: DataFrame | None = None
-    for n, (name, parts, _) in enumerate(rules):
-        weak = "inst" not in parts
-        rest_a = left.join(a_left, "key", "left_semi")
-        rest_b = right.join(b_left, "key", "left_semi")
-        done_a = left.join(a_left, "key", "left_anti")
-        # what is left of either side against the whole of the other, no pair twice
-        hits = _keyed(rest_a, parts, "a").join(_keyed(right, parts, "b"), "_key").unionByName(_keyed(done_a, parts, "a").join(_keyed(rest_b, parts, "b"), "_key"))
-        hits = hits.where(_agree())
-        if weak:
-            hits = hits.where("a_inst = '' or b_inst = ''")
-            one_a = hits.groupBy("a_key").agg((F.min("b_inst") == F.max("b_inst")).alias("one_a"))
-            one_b = hits.groupBy("b_key").agg((F.min("a_inst") == F.max("a_inst")).alias("one_b"))
-            hits = hits.join(one_a.where("one_a"), "a_key").join(one_b.where("one_b"), "b_key")
-        if "initial" in parts and "dept" not in parts:
-            whole = [F.when(F.length(f"{s}_given") > 1, F.col(f"{s}_given")) for s in "ab"]
-            for side, other in (("a", whole[1]), ("b", whole[0])):
-                short = F.length(f"{side}_given") < 2
-                one = hits.where(short).groupBy(f"{side}_key").agg(F.countDistinct(other).alias(f"_{side}"))
-                hits = hits.join(one, f"{side}_key", "left").where(F.coalesce(F.col(f"_{side}"), F.lit(0)) <= 1).drop(f"_{side}")
-        labelled = F.when((F.col("a_dept") != "") & (F.col("b_dept") != ""), 1)
-        hits = hits.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), labelled.alias("labelled")).distinct()
-        hits = stored(hits.withColumn("rule", F.lit(n)).withColumn("rule_name", F.lit(name)), f"p7-rule{n}")
-        found = hits if found is None else found.unionByName(hits)
-        a_left = stored(a_left.join(hits.select(F.col("a").alias("key")).distinct(), "key", "left_anti"), f"p7-a{n}")
-        b_left = stored(b_left.join(hits.select(F.col("b").alias("key")).distinct(), "key", "left_anti"), f"p7-b{n}")
-    pairs = found.groupBy("a", "b").agg(F.min(F.struct("rule", "rule_name")).alias("r")).select("a", "b", "r.rule", "r.rule_name")
-    return pairs.join(F.broadcast(precisions(left, right, rules)), "rule")
+    hits = _keyed(left, rules, "a").join(_keyed(right, rules, "b"), ["rule", "_key"]).where(_agree())
+    weak = [n for n, (_, parts, _) in enumerate(rules) if "inst" not in parts]
+    short = [n for n, (_, parts, _) in enumerate(rules) if "initial" in parts and "dept" not in parts]
+    hits = hits.where(~F.col("rule").isin(weak) | (F.col("a_inst") == "") | (F.col("b_inst") == ""))
+    hits = stored(hits.select("rule", *[f"{s}_{c}" for s in "ab" for c in ("key", "given", "inst")]).distinct(), "p7-hits")
+    whole = {s: F.when(F.length(f"{s}_given") > 1, F.col(f"{s}_given")) for s in "ab"}
+    kept = hits
+    for side, other in (("a", "b"), ("b", "a")):
+        doubt = (
+            hits.where(F.col("rule").isin(weak + short))
+            .groupBy("rule", f"{side}_key")
+            .agg(
+                F.min(f"{other}_inst").alias("low"),
+                F.max(f"{other}_inst").alias("high"),
+                F.min(F.length(f"{side}_given")).alias("size"),
+                F.min(whole[other]).alias("least"),
+                F.max(whole[other]).alias("most"),
+            )
+            .where((F.col("rule").isin(weak) & (F.col("low") != F.col("high"))) | (F.col("rule").isin(short) & (F.col("size") < 2) & (F.col("least") != F.col("most"))))
+        )
+        kept = kept.join(doubt.select("rule", f"{side}_key"), ["rule", f"{side}_key"], "left_anti")
+    kept = stored(kept.select("rule", F.col("a_key").alias("a"), F.col("b_key").alias("b")), "p7-kept")
+    first = {c: kept.groupBy(c).agg(F.min("rule").alias(f"first_{c}")) for c in "ab"}
+    open_still = kept.join(first["a"], "a").join(first["b"], "b").where((F.col("rule") == F.col("first_a")) | (F.col("rule") == F.col("first_b")))
+    pairs = open_still.groupBy("a", "b").agg(F.min("rule").alias("rule"))
+    titles = F.array(*[F.lit(name) for name, _, _ in rules])
+    return pairs.join(F.broadcast(precisions(left, right, rules)), "rule").withColumn("rule_name", F.element_at(titles, F.col("rule") + 1))
 
 
 def precisions(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:
@@ -178,15 +201,13 @@ def precisions(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[st
     The pairs are those of the rule's key less the department, before departments are
     compared; a pair is labelled if both departments are told and right if they agree.
     """
-    parts_of = [(n, [p for p in parts if p != "dept"]) for n, (_, parts, _) in enumerate(rules)]
-    counted: DataFrame | None = None
-    for n, parts in parts_of:
-        hits = _keyed(left.where("dept <> ''"), parts, "a").join(_keyed(right.where("dept <> ''"), parts, "b"), "_key")
-        one = hits.agg(F.count("*").alias("labelled"), F.coalesce(F.sum((F.col("a_dept") == F.col("b_dept")).cast("bigint")), F.lit(0)).alias("right")).withColumn("rule", F.lit(n))
-        counted = one if counted is None else counted.unionByName(one)
+    hits = _keyed(left.where("dept <> ''"), rules, "a", with_dept=False).join(_keyed(right.where("dept <> ''"), rules, "b", with_dept=False), ["rule", "_key"])
+    counted = hits.groupBy("rule").agg(F.count("*").alias("labelled"), F.sum((F.col("a_dept") == F.col("b_dept")).cast("bigint")).alias("right"))
+    every = left.sparkSession.range(len(rules)).select(F.col("id").cast("int").alias("rule"))
+    counted = every.join(counted, "rule", "left").select("rule", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("right", F.lit(0)).alias("right"))
     sure = F.element_at(F.array(*[F.lit(d) for _, _, d in rules]), F.col("rule") + 1)
     plain = (F.col("right") + PRIOR_RIGHT) / (F.col("labelled") + PRIOR_RIGHT + PRIOR_WRONG)
-    # a rule with the department in its key leaves out the pairs on which it was wrong; what remains doubtful is half of the rest
+    # a rule with the department in its key leaves out the pairs on which it was wrong; a quarter of the doubt remains
     return counted.select("rule", "right", "labelled", F.round(F.when(sure, 1 - (1 - plain) / 4).otherwise(plain), 4).alias("confidence"))
 
 
