@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lectern.plans import texts
+from lectern.plans._base import Query
 
-from pyspark.sql import DataFrame, SparkSession
+_PARTS = [texts.R]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {k: v for part in _PARTS for k, v in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for part in _PARTS for k, v in part.sql.items()}
