@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import texts
+from lectern.plans import chunks, texts, web
 from lectern.plans._base import Query
 
-_PARTS = [texts.R]
+_PARTS = [texts.R, web.R, chunks.R]
 
 
 def queries() -> dict[str, Query]:
