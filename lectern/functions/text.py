@@ -111,9 +111,16 @@ def sentences(text: Column) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """All runs of ``n`` consecutive words, joined by a blank."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    """All runs of ``n`` consecutive words, joined by a blank.
+
+    Made by zipping the array with itself shifted, so each word is touched ``n`` times.
+    """
+    grams = words
+    for k in range(1, n):
+        left = F.slice(grams, F.lit(1), F.greatest(F.size(words) - k, F.lit(0)))
+        right = F.slice(words, F.lit(k + 1), F.greatest(F.size(words) - k, F.lit(0)))
+        grams = F.zip_with(left, right, lambda x, y: F.concat(x, F.lit(" "), y))
+    return grams
 
 
 def title_of(text: Column, most: int = 120) -> Column:
