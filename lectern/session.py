@@ -8,10 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "lectern", cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
+def local_session(app: str = "lectern", cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks. Clusters bring their own configuration."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", shared) if shared else SparkSession.builder
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -33,11 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found
-    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+    app = spark.sparkContext.applicationId
+    if app in _LOCAL:
+        return _LOCAL[app]
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    at = tempfile.mkdtemp(prefix="lectern-")
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    _LOCAL[app] = tempfile.mkdtemp(prefix="lectern-")
+    return _LOCAL[app]
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

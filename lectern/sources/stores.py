@@ -20,14 +20,16 @@ def cell(c: Column) -> Column:
     return F.when(F.lower(t).isin(*EMPTY), "").otherwise(t)
 
 
-def read_sheet(spark: SparkSession, path: str, columns: dict[str, Sequence[str]], header_rows: int = 0) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, columns: dict[str, Sequence[str]], header_rows: int = 0, width: int = 64) -> DataFrame:
     """A sheet saved as CSV: columns found by any of their names (case ignored), missing ones "", rows numbered.
 
+    Columns beyond ``width`` are not read.
+
     ``header_rows`` lines above the header are skipped; they must be the same in every
     file. ``row_number`` is 1 for the first row after the header of a file and is
     unique with ``file``.
     """
-    raw = spark.read.option("header", False).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.schema(", ".join(f"c{n} string" for n in range(width))).option("header", False).option("multiLine", True).option("escape", '"').csv(path)
     names = raw.columns
     placed = raw.withColumn("file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
     from pyspark.sql.window import Window
