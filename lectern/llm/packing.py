@@ -120,7 +120,7 @@ def ranked(items: DataFrame, key: str, order: list[str], buckets: int = 64) -> D
 def pack(counts: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, part, first_token, n_tokens, container, slot) of each item of ``counts``."""
     counts = stored(counts, "p8-counts")
-    full = F.col("n_tokens").cast("bigint")
+    full = F.coalesce(F.col("n_tokens"), F.lit(0)).cast("bigint")
     parts = F.when(full > 0, F.sequence(F.lit(0).cast("bigint"), F.floor((full - 1) / capacity))).otherwise(F.array(F.lit(0).cast("bigint")))
     items = counts.select(id_col, full.alias("_all"), F.explode(parts).alias("part")).select(
         id_col, F.col("part").cast("int"), (F.col("part") * capacity).alias("first_token"), F.least(F.lit(capacity), F.col("_all") - F.col("part") * capacity).alias("n_tokens")

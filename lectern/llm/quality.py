@@ -11,11 +11,13 @@ Statistics saturate where prose is at its ease (a line longer than a sentence, a
 share of common words beyond a third), so that only departures towards lists,
 tables and damage count.
 
-Defined cases: null and blank texts have all statistics 0 and are not prose;
+Defined cases: null and blank texts have all statistics 0; they and texts without
+any word are not prose;
 languages are told from the text, not from the language column; a language with
-few labels leans on the pooled estimate; without any prose label nothing can be
-estimated and an error is raised; ties at the cut are prose; extra columns are
-ignored.
+few labels leans on the pooled estimate; without any prose label there is no
+distance (null) and every text with a word passes as prose; ties at the cut are prose;
+repeated labels of a document count once, the greatest; empty tables give no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -206,13 +208,13 @@ class ProseModel:
         return self.parts(values, languages).sum(1)
 
 
-def fit(measured: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> ProseModel:
-    """The model from labelled documents, at most ``max_labels`` of them, lowest hash of the id first."""
+def fit(measured: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> ProseModel | None:
+    """The model from labelled documents, at most ``max_labels`` of them, lowest hash of the id first; None without prose labels."""
     one = labels.where("doc_id is not null and is_prose is not null").groupBy("doc_id").agg(F.max("is_prose").alias("is_prose"))
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     rows = measured.join(F.broadcast(sample), "doc_id").select("language", "stats", "is_prose").collect()  # bounded by max_labels
-    if not rows:
-        raise ValueError("no labelled document")
+    if not any(r.is_prose == 1 for r in rows):
+        return None
     values = np.asarray([r.stats for r in rows])
     order = np.lexsort(values.T)
     return ProseModel(values[order], np.asarray([r.language for r in rows])[order], np.asarray([r.is_prose == 1 for r in rows])[order])
@@ -230,10 +232,15 @@ def scored(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) ->
             if not len(batch):
                 continue
             values = np.stack(batch["stats"].to_numpy())
-            parts = model.value.parts(values, batch["language"].to_numpy().astype(str))
-            distance = parts.sum(1)
             blank = batch["n_words"].to_numpy() == 0
-            out = batch[["doc_id", "language", "n_words"]].assign(distance=distance, is_prose=(distance <= model.value.cut) & ~blank)
+            if model.value is None:
+                parts = np.full(values.shape, np.nan)
+                distance, fits = None, ~blank
+            else:
+                parts = model.value.parts(values, batch["language"].to_numpy().astype(str))
+                distance = parts.sum(1)
+                fits = (distance <= model.value.cut) & ~blank
+            out = batch[["doc_id", "language", "n_words"]].assign(distance=distance, is_prose=fits)
             yield pd.concat([out.reset_index(drop=True), pd.DataFrame(values, columns=STATS), pd.DataFrame(parts, columns=[f"{s}_part" for s in STATS])], axis=1)
 
     return measured.mapInPandas(run, f"doc_id {kind}, language string, n_words int, distance double, is_prose boolean, {columns}")

@@ -201,7 +201,7 @@ def error_share(fetches: DataFrame) -> DataFrame:
     return fetches.select(who.alias("id"), (status >= 400).cast("int").alias("bad")).where("id is not null and bad is not null").groupBy("id").agg(F.avg("bad").alias("errors"))
 
 
-def sample_rows(pages: DataFrame, fetches: DataFrame | None, max_train: int = MAX_TRAIN):
+def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN):
     """(host, dense, grams, weak) of a bounded sample of pages by hash of the id."""
     columns = ["id", "profile_name", "title", "raw_text", "profile_url"]
     n = pages.count()
