@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stop words that tell a language.
@@ -58,24 +58,27 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), 1)
 
 
-def language(text: Column) -> tuple[Column, Column]:
-    """(code, confidence) by the share of stop words; ties in the order en, fr, es, de."""
-    found = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}]{2,})"), 1), lambda t: F.length(t) > 1)
-    n = F.size(found)
-    counts = {k: _count_in(found, words) for k, words in STOPWORDS.items()}
-    best = F.greatest(*counts.values())
+def with_language(df: DataFrame, text: str = "text", language: str = "language", confidence: str = "confidence") -> DataFrame:
+    """``df`` with a language code and confidence by the share of stop words; ties in the order en, fr, es, de.
+
+    "unknown" for null, for fewer than 40 characters and for less than a tenth of stop
+    words. The words are extracted once and counted in one pass over them, in steps of
+    their own, so that no later use repeats the work.
+    """
+    words = df.withColumn("_words", F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}]{2,})"), 1))
+    zero = F.struct(*[F.lit(0).alias(k) for k in STOPWORDS])
+    counted = words.withColumn("_n", F.size("_words")).withColumn(
+        "_hits", F.aggregate("_words", zero, lambda acc, w: F.struct(*[(acc[k] + w.isin(STOPWORDS[k]).cast("int")).alias(k) for k in STOPWORDS]))
+    )
+    best = F.greatest(*[F.col(f"_hits.{k}") for k in STOPWORDS])
+    ratio = counted.withColumn("_best", best).withColumn("_ratio", F.col("_best") / F.greatest(F.col("_n"), F.lit(1)))
     code = F.lit("de")
     for k in ("es", "fr", "en"):
-        code = F.when(counts[k] == best, k).otherwise(code)
-    ratio = best / F.greatest(n, F.lit(1))
-    short = text.isNull() | (F.length(text) < 40) | (n == 0)
-    lang = F.when(short | (ratio < 0.10), "unknown").otherwise(code)
-    confidence = F.when(short, 0.0).when(ratio < 0.10, F.round(0.1 * ratio, 4)).otherwise(F.round(F.least(F.lit(0.85), 0.35 + ratio), 4))
-    return lang, confidence
-
-
-def _count_in(found: Column, words: list[str]) -> Column:
-    return F.size(F.filter(found, lambda t: t.isin(words)))
+        code = F.when(F.col(f"_hits.{k}") == F.col("_best"), k).otherwise(code)
+    short = F.col(text).isNull() | (F.length(text) < 40) | (F.col("_n") <= 0)
+    low = F.col("_ratio") < 0.10
+    sure = F.when(short, 0.0).when(low, F.round(0.1 * F.col("_ratio"), 4)).otherwise(F.round(F.least(F.lit(0.85), 0.35 + F.col("_ratio")), 4))
+    return ratio.withColumn(language, F.when(short | low, "unknown").otherwise(code)).withColumn(confidence, sure).drop("_words", "_n", "_hits", "_best", "_ratio")
 
 
 def reasonable(text: Column, least: int = 50, most: int = 200_000, ascii_share: float = 0.6) -> Column:

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.session import spread
 from lectern.sources import read_table
 
+#: Tables of texts: scans with fewer splits than cores are spread before texts are worked on.
+TEXTS = frozenset({"documents", "extracted_content"})
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,7 +28,7 @@ class Registry:
         def register(fn):
             name = fn.__name__
             if tables:
-                self.queries[name] = lambda spark, d: fn(*[read_table(spark, d, t) for t in tables])
+                self.queries[name] = lambda spark, d: fn(*[spread(read_table(spark, d, t)) if t in TEXTS else read_table(spark, d, t) for t in tables])
             else:
                 self.queries[name] = fn
             if sql is not None:

@@ -58,8 +58,7 @@ def _lang_sql(table: str) -> str:
 
 @R.query(_lang_sql("documents") + " SELECT coalesce(lang, 'none') AS lang, detected, count(*) AS docs, round(avg(confidence), 4) AS confidence FROM g GROUP BY 1, 2", "documents")
 def q04_language_confusion(docs):
-    lang, confidence = T.language(F.col("text"))
-    found = docs.select(F.coalesce("lang", F.lit("none")).alias("lang"), lang.alias("detected"), confidence.alias("c"))
+    found = T.with_language(docs.select("lang", "text"), "text", "detected", "c").select(F.coalesce("lang", F.lit("none")).alias("lang"), "detected", "c")
     return found.groupBy("lang", "detected").agg(F.count("*").alias("docs"), F.round(F.avg("c"), 4).alias("confidence"))
 
 
@@ -135,9 +134,8 @@ def q08_simhash_classes(docs):
 def q09_curation_funnel(docs):
     """How many documents of each language pass length, uniqueness and page chrome."""
     t = F.col("text")
-    lang, _ = T.language(t)
-    seen = docs.select(
-        "doc_id", lang.alias("language"), T.text_hash(t).alias("h"), T.reasonable(t).alias("ok"), (T.boilerplate_ratio(t) < 0.3).alias("clean"), T.word_count(t).cast("bigint").alias("words")
+    seen = T.with_language(docs.select("doc_id", "text")).select(
+        "doc_id", "language", T.text_hash(t).alias("h"), T.reasonable(t).alias("ok"), (T.boilerplate_ratio(t) < 0.3).alias("clean"), T.word_count(t).cast("bigint").alias("words")
     )
     firsts = seen.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.lit(True).alias("first")).select("doc_id", "first")
     joined = seen.join(firsts, "doc_id", "left").withColumn("first", F.coalesce("first", F.lit(False)))

@@ -34,8 +34,8 @@ def test_languages(spark):
         "es": "El proyecto de los autores es para una escuela que no está en la ciudad por las obras con el río.",
     }
     for code, t in texts.items():
-        assert one(spark, t, lambda c: T.language(c)[0]) == code
-    assert one(spark, "short", lambda c: T.language(c)[0]) == "unknown"
+        assert T.with_language(spark.createDataFrame([(t,)], "text string")).first().language == code
+    assert [r.language for r in T.with_language(spark.createDataFrame([("short",), (None,), ("",)], "text string")).collect()] == ["unknown"] * 3
 
 
 def test_sentences_and_ngrams(spark):
