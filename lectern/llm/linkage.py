@@ -14,7 +14,8 @@ and their department by the caption; the storage path may tell the full name.
 
 Defined cases: rows without key or with a name of no letters are dropped; a repeated
 row counts once; missing institution or department match nothing but are no
-contradiction; contradicting given names, middle names or departments reject a pair;
+contradiction; contradicting given names or middle names reject a pair, departments only where no
+institution agrees;
 empty tables give no rows.
 """
 
@@ -144,16 +145,21 @@ def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str,
 
 
 def _agree() -> Column:
-    """Nothing that both sides tell contradicts."""
+    """Nothing that both sides tell contradicts.
+
+    A caption's department speaks against a match only where no institution speaks for
+    it; a given name that no list knows may be a misspelt one.
+    """
 
     def free(c: str) -> Column:
         return (F.col(f"a_{c}") == "") | (F.col(f"b_{c}") == "") | (F.col(f"a_{c}") == F.col(f"b_{c}"))
 
-    near = (F.levenshtein("a_given", "b_given") <= F.when(F.length("a_given") >= 7, 2).otherwise(1)) & (F.length("a_given") >= 3) & (F.length("b_given") >= 3)
     known = sorted(person._GIVEN)
     both_known = F.col("a_given").isin(known) & F.col("b_given").isin(known)
-    given = (F.length("a_given") < 2) | (F.length("b_given") < 2) | (F.col("a_given") == F.col("b_given")) | (near & ~both_known)
-    return free("middle") & free("dept") & free("inst") & given & ((F.col("a_initial") == F.col("b_initial")) | (F.col("a_initial") == "") | (F.col("b_initial") == ""))
+    part = F.array_contains(F.split("a_given", "-"), F.col("b_given")) | F.array_contains(F.split("b_given", "-"), F.col("a_given"))
+    given = (F.length("a_given") < 2) | (F.length("b_given") < 2) | (F.col("a_given") == F.col("b_given")) | ~both_known | part
+    initial = (F.col("a_initial") == F.col("b_initial")) | (F.col("a_initial") == "") | (F.col("b_initial") == "")
+    return free("middle") & free("inst") & given & initial & (free("dept") | ((F.col("a_inst") != "") & (F.col("b_inst") != "")))
 
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:

@@ -7,9 +7,8 @@ the nickname table, by Jaro-Winkler and by initials, with departments, middle na
 and addresses as evidence for and against. Rows without institution join the one
 person of that name whom their department doesn't contradict.
 
-Comparisons run on distinct spellings, not on rows, and each spelling is compared
-with the leaders of its block only, so a name that a third of all rows bear costs
-as much as a rare one. Only the result, if asked for as pairs, is as large as the
+Comparisons run on the distinct spellings of a block of one sound and institution,
+not on rows, so a name that a third of all rows bear costs as much as a rare one. Only the result, if asked for as pairs, is as large as the
 groups demand.
 
 Defined cases: rows without key are dropped; a repeated row counts once (of rows with
@@ -38,7 +37,7 @@ FAMILY_LIKE, FAMILY_NEAR, GIVEN_LIKE, INSTITUTION_LIKE = 0.92, 0.84, 0.84, 0.87
 MAX_INSTITUTIONS = 100_000
 
 _SEP = "\x1f"
-FIELDS = ("given", "middle", "family", "inst", "dept", "email")
+FIELDS = ("given", "middle", "family", "inst", "dept", "hint", "email")
 
 
 class Institutions:
@@ -116,7 +115,11 @@ def _hinted(given: str, family: str, *slugs: str) -> str:
 
 
 def people(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:
-    """(key, node, given, middle, family, inst, dept, email) of each key that has a name."""
+    """(key, node, given, middle, family, inst, dept, hint, email) of each key that has a name.
+
+    The field that a directory files a profile under is a hint only: it often differs
+    from the person's department, so it never speaks against a match.
+    """
     a = meta.select(F.col("profile_id").alias("key"), F.col("profile_name").alias("name"), F.col("profile_url").alias("url"), F.col("source_host").alias("host"), F.lower(F.trim("email")).alias("email"), F.col("field").alias("dept"), F.lit(None).cast("string").alias("inst"))
     b = decisions.select(F.col("decision_id").alias("key"), F.col("scholar_name").alias("name"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("email"), F.col("scholar_department").alias("dept"), F.col("scholar_institution").alias("inst"))
     rows = a.unionByName(b).where("key is not null and name is not null")
@@ -130,12 +133,13 @@ def people(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:
                 given, family = person.parse(name)
                 if not family:
                     continue
+                typed_by_decision = url is None and host is None
                 fam = " ".join(sorted(compared(f) for f in family))
                 first = person.canonical(given[0]) if given else ""
                 first = _hinted(first, fam, (email or "").split("@")[0], (url or "").rsplit("/", 1)[-1])
                 middle = given[1][0] if len(given) > 1 else ""
                 where = known.value.of_name(typed) if typed else known.value.of_url(url) or known.value.of_host(host) or known.value.of_host((email or "").rpartition("@")[2])
-                out.append((key, first, middle, fam, where, department(dept), email or ""))
+                out.append((key, first, middle, fam, where, department(dept) if typed_by_decision else "", "" if typed_by_decision else department(dept), email or ""))
             yield pd.DataFrame(out, columns=["key", *FIELDS])
 
     parsed = one.mapInPandas(run, "key string, " + ", ".join(f"{f} string" for f in FIELDS))
@@ -146,6 +150,9 @@ def family_alike(a: str, b: str) -> bool:
     """Whether two family names (sorted words) may be spellings of one."""
     if a == b:
         return True
+    if (" " in a) != (" " in b):  # one of two family names left out
+        one, two = (b, a) if " " in a else (a, b)
+        return len(one) >= 5 and any(family_alike(one, w) for w in two.split(" "))
     n, m = len(a), len(b)
     if abs(n - m) > 2 or min(n, m) < 4:
         return False
@@ -156,8 +163,6 @@ def family_alike(a: str, b: str) -> bool:
     j = 0
     while j < min(n, m) - i and a[n - 1 - j] == b[m - 1 - j]:
         j += 1
-    if i + j < min(n, m) - 2 and (i < 1 or j < 1):
-        return False
     edits = _edits(a[i : n - j], b[i : m - j])
     if edits > 2:
         return False
@@ -180,10 +185,11 @@ def _edits(a: str, b: str) -> int:
 
 
 def codes(family: str) -> list[str]:
-    """Phonetic codes of the sorted words: the whole, the whole less one sound, the start and the end."""
+    """Phonetic codes of the sorted words: each, the whole, the whole less one sound, the start and the end."""
     whole = "".join(family.split(" "))
     code = person.phonetic(whole, 16)
-    return sorted({"w" + code, "s" + code[:4], "e" + code[-4:]} | {"w" + code[:i] + code[i + 1 :] for i in range(len(code)) if len(code) > 2})
+    parts = {"p" + person.phonetic(w, 16) for w in family.split(" ")}
+    return sorted(parts | {"w" + code, "s" + code[:4], "e" + code[-4:]} | {"w" + code[:i] + code[i + 1 :] for i in range(len(code)) if len(code) > 2})
 
 
 def family_clusters(nodes: DataFrame) -> DataFrame:
@@ -198,14 +204,19 @@ def family_clusters(nodes: DataFrame) -> DataFrame:
     blocks = names.mapInPandas(spread_codes, "inst string, family string, code string")
 
     def link(key: tuple, block: Iterator[tuple]) -> Iterator[tuple]:
-        # every spelling is compared with the leaders so far; one that is like none leads
-        leaders: list[str] = []
+        # a spelling is compared with those before it, one link to each group it joins
+        groups: list[list[str]] = []
         for f, _ in block:
-            near = [x for x in leaders if family_alike(f, x)]
-            for x in near:
-                yield key[0] + _SEP + f, key[0] + _SEP + x
-            if not near:
-                leaders.append(f)
+            joined = [f]
+            apart = []
+            for g in groups:
+                near = next((x for x in g if family_alike(f, x)), None)
+                if near is None:
+                    apart.append(g)
+                else:
+                    yield key[0] + _SEP + f, key[0] + _SEP + near
+                    joined += g
+            groups = [*apart, joined]
 
     sized = blocks.withColumn("size", F.length("family"))
     edges = map_sorted_groups(sized, ["inst", "code"], ["family", "size"], link, "a string, b string", order=["size", "family"])
@@ -216,7 +227,9 @@ def family_clusters(nodes: DataFrame) -> DataFrame:
 
 def given_alike(a: str, b: str) -> bool:
     """Whether two full given names may be spellings of one; two known names never are."""
-    return a == b or (not (a in person._GIVEN and b in person._GIVEN) and min(len(a), len(b)) >= 3 and person.jaro_winkler(a, b) >= GIVEN_LIKE and _edits(a, b) <= (1 if min(len(a), len(b)) < 7 else 2))
+    if a == b or a in b.split("-") or b in a.split("-"):
+        return True
+    return (not (a in person._GIVEN and b in person._GIVEN) and min(len(a), len(b)) >= 3 and person.jaro_winkler(a, b) >= GIVEN_LIKE and _edits(a, b) <= (1 if min(len(a), len(b)) < 7 else 2))
 
 
 class _Group:
@@ -263,6 +276,10 @@ def resolve(rows: list[_Spelling]) -> list[int]:
                 tied = True
                 if score > best_score:
                     best, best_score = k, score
+        if best is None and len(r.given) > 1 and r.given not in person._GIVEN:
+            # a misspelt name belongs to the only group with its initial
+            near = [k for k, g in enumerate(groups) if any(x[0] == r.given[0] for x in g.givens)]
+            best = near[0] if len(near) == 1 else None
         if best is None or tied and len(r.given) < 2:
             alone = next((k for k, g in enumerate(groups) if tied and g.givens == {r.given} and (not r.middle or not g.middles or r.middle in g.middles) and (not r.dept or not g.depts or r.dept in g.depts)), None)
             if alone is None:
@@ -290,16 +307,19 @@ def persons(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame
     named = placed.join(clusters, ["inst", "family"])
     at = map_sorted_groups(named, ["cluster"], list(_Spelling._fields), number, "node string, person string", order=["node"])
     at = stored(at, "p2-placed")
-    loose = nodes.where("inst = ''").select("node", "given", "middle", "family", "dept")
-    # whom a name and department may mean: persons by exact name
-    known = nodes.join(at, "node").select("given", "family", "dept", "person")
-    named = known.groupBy("given", "family").agg(F.countDistinct("person").alias("persons"), F.min("person").alias("only"), F.max(F.when(F.col("dept") != "", F.col("dept"))).alias("a_dept"), F.countDistinct(F.when(F.col("dept") != "", F.col("dept"))).alias("depts"))
-    by_dept = known.where("dept <> ''").groupBy("given", "family", "dept").agg(F.countDistinct("person").alias("dept_persons"), F.min("person").alias("dept_only"))
-    hit = loose.join(named, ["given", "family"], "left").join(by_dept, ["given", "family", "dept"], "left")
-    own = F.concat(F.lit("?"), F.concat_ws(_SEP, "given", "family", "dept"))
+    loose = nodes.where("inst = ''").select("node", F.col("given").alias("k"), "family", "dept")
+    # whom a name and department may mean: persons by full name and by initial
+    both = F.explode(F.array_distinct(F.array("given", F.substring("given", 1, 1)))).alias("k")
+    known = nodes.join(at, "node").select(both, "family", "dept", "hint", "person")
+    told = F.when(F.col("dept") != "", F.col("dept")).when(F.col("hint") != "", F.col("hint"))
+    named = known.groupBy("k", "family").agg(F.countDistinct("person").alias("persons"), F.min("person").alias("only"), F.count(told).alias("told"))
+    dept = F.when(F.col("dept") != "", F.col("dept")).otherwise(F.col("hint")).alias("dept")
+    by_dept = known.select("k", "family", dept, "person").where("dept <> ''").groupBy("k", "family", "dept").agg(F.countDistinct("person").alias("dept_persons"), F.min("person").alias("dept_only"))
+    hit = loose.join(named, ["k", "family"], "left").join(by_dept, ["k", "family", "dept"], "left")
+    own = F.concat(F.lit("?"), F.concat_ws(_SEP, "k", "family", "dept"))
     # by department where it tells one person, else the only person of that name unless departments differ
     chosen = F.when((F.col("dept") != "") & (F.col("dept_persons") == 1), F.col("dept_only")).when(
-        (F.col("persons") == 1) & (F.length("given") > 1) & ((F.col("dept") == "") | (F.col("depts") == 0)), F.col("only")
+        (F.col("persons") == 1) & ((F.col("dept") == "") | (F.col("told") == 0)), F.col("only")
     )
     adrift = hit.select("node", F.coalesce(chosen, own).alias("person"))
     return rows.select("key", "node").join(at.unionByName(adrift), "node").select("key", "person")

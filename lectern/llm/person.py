@@ -12,7 +12,7 @@ from lectern.llm.pii import GIVEN
 NICKNAMES = {
     short: full
     for full, shorts in {
-        "abigail": "abby gail",
+        "abigail": "abby aby abbie gail",
         "alexander": "alex sasha sandy xander",
         "andrew": "andy drew",
         "anthony": "tony",
@@ -57,7 +57,7 @@ NICKNAMES = {
         "theodore": "theo teddy",
         "thomas": "tom tommy",
         "timothy": "tim timmy",
-        "victoria": "vicky tori vic",
+        "victoria": "vicky vickie tori vic",
         "william": "will bill billy liam",
     }.items()
     for short in shorts.split()
@@ -171,14 +171,14 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
-_PHONE = str.maketrans({**dict.fromkeys("bfpv", "1"), **dict.fromkeys("cgjkqsxz", "2"), **dict.fromkeys("dt", "3"), "l": "4", "m": "5", "n": "5", "r": "6", **dict.fromkeys("aeiouyhw", "")})
+_SOUND = str.maketrans({**dict.fromkeys("bfpv", "1"), **dict.fromkeys("cgjkqsxz", "2"), **dict.fromkeys("dt", "3"), "l": "4", "m": "5", "n": "5", "r": "6", **dict.fromkeys("aeiouyhw", "0")})
 
 
 def phonetic(word: str, size: int = 4) -> str:
-    """A code of how a word sounds: first letter class and consonant classes, runs merged."""
-    code = "".join(c for c in word if c.isascii() and c.isalpha()).translate(_PHONE)
+    """A code of how a word sounds: classes of its consonants, adjacent equal ones once."""
+    code = "".join(c for c in word if c.isascii() and c.isalpha()).translate(_SOUND)
     merged = "".join(c for i, c in enumerate(code) if not i or code[i - 1] != c)
-    return merged[:size]
+    return merged.replace("0", "")[:size]
 
 
 # Words of institutions' names that tell no two apart.
