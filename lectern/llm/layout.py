@@ -144,7 +144,7 @@ MENU = frozenset(
 admissions|research|teaching|study|a-z index|a to z|site map|sitemap|visit the campus|undergraduate study|graduate programmes|faculty and staff|students|staff|
 startseite|aktuelles|personen|kontakt|suche|suchen|anmelden|bibliothek|stellenangebote|karriere|forschung|lehre|studium|über uns|
 accueil|actualités|personnes|annuaire|contact|recherche|rechercher|connexion|bibliothèque|emplois|enseignement|études|à propos|plan du site|qui sommes-nous|
-inicio|noticias|personas|contacto|buscar|acceder|biblioteca|empleo|investigación|docencia|estudios|quiénes somos|mapa web|directorio""".replace("\n", "").split("|")
+inicio|noticias|personas|contacto|buscar|acceder|biblioteca|empleo|investigación|docencia|estudios|quiénes somos|mapa web|directorio|acceso|ingresar|publicaciones|donar|dons|spenden""".replace("\n", "").split("|")
 )
 
 # Titles of side boxes, by what their entries look like.
@@ -166,7 +166,7 @@ _CUES = [
     ("kleine dateien|petits fichiers|témoins|pequeños archivos", r"kleine dateien auf|petits fichiers|témoins de connexion|pequeños archivos"),
     ("privacy matters|privacy policy|the policy|manage choices|preference cent|accept all|allow all|reject|allow selection|strictly needed|yes, fine|no, thanks|de acuerdo", r"\b(?:privacy matters|privacy policy|read the policy|manage choices|preference cent(?:re|er)|accept all|allow all|reject all|allow selection|strictly needed|yes, fine|no, thanks)\b|^de acuerdo$"),
     ("the people who visit|third parties|measure visits|change your mind", r"we value the people who visit|with the help of third parties|wants to measure visits|change your mind at any time"),
-    ("annehmen|einverstanden|accepter|aceptar|datenschutz|impressum|mentions légales|aviso legal", r"alle annehmen|einverstanden|tout accepter|aceptar(?: todo)?\b.*rechazar|datenschutz|impressum|mentions légales|aviso legal"),
+    ("annehmen|einverstanden|accepte|aceptar|datenschutz|impressum|mentions légales|aviso legal", r"alle annehmen|einverstanden|tout accepter|^j'accepte$|aceptar(?: todo)?\b.*rechazar|datenschutz|impressum|mentions légales|aviso legal"),
     ("javascript|your browser is|scripting|scripts", r"\bjavascript\b|your browser is (?:old|outdated|not supported)|scripting to be switched on|need scripts|enable scripts|turn on scripts|without scripts"),
     # prompts
     ("skip |jump to", r"^(?:skip|jump) (?:to|navigation)"),
@@ -186,7 +186,9 @@ _CUES = [
     ("institution|brings together|network links|gegründet|fundada por|fondée par", r"is a (?:public|private|state) institution|brings together \d+ faculties|network links .{3,60} with \d+ partner|wurde von .{3,60} gegründet und umfasst|fue fundada por|a été fondée par|fondée par .{3,60} compte"),
     # teasers and box entries
     ("→|read on|more ...|[more]|[mehr]|[plus]|[más]", r"(?:→|\bread on|\bmore \.\.\.|\[more\]|\[mehr\]|\[plus\]|\[más\])\s*$"),
-    ("visitors in", r"^(?:public lecture|open day|seminar|new report|call for posters|workshop|lecture)\b[^.]{0,30}:.{0,40}\bvisitors in\b"),
+    ("visitors in", r"^(?:public lecture|open day|seminar|new report|call for posters|workshop|lecture)\b.{0,30}:.{0,40}\bvisitors in\b"),
+    ("info@|office@|admissions@|front.desk@|reception@|helpdesk@|webmaster@", r"^(?:info|office|admissions|front\.desk|reception|helpdesk|webmaster)@\S+$"),
+    ("tel ", r"^tel\b.*\d\s*/$"),
     ("vote now|people liked|mon-fri|degrees, ", r"^vote now\b|\bpeople liked the\b|^mon-fri\b|\bdegrees, light wind\b"),
 ]
 _CUE = re.compile("|".join(f"(?:{c})" for _, c in _CUES), re.I)

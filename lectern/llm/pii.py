@@ -60,7 +60,7 @@ _LAST_INITIAL = re.compile(rf"(?m)^[^\w\n]*(?:(?:Prof|Dr|Professor|Doctor)\.?[ ]
 
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?|[ ]dot[ ])"
 _EMAIL = re.compile(
-    rf"""(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*(?:[ ]?@[ ]?|[ ]?(?:\[at\]|\(at\)|\{{at\}}|<at>)[ ]?)[\w-]+(?:{_DOT}[\w-]+)*?{_DOT}[A-Za-z]{{2,}}(?![\w-]|{_DOT}[A-Za-z]{{2,}})
+    rf"""(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*(?:[ \u200b]{{0,2}}@[ \u200b]{{0,2}}|[ ]?(?:\[at\]|\(at\)|\{{at\}}|<at>)[ ]?)[\w-]+(?:{_DOT}[\w-]+)*?{_DOT}[A-Za-z]{{2,}}(?![\w-]|{_DOT}[A-Za-z]{{2,}})
     |(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*[ ]at[ ][\w-]+(?:(?:[ ]dot[ ]|\[dot\]|\(dot\))[\w-]*\w)+""",
     re.X | re.I,
 )

@@ -19,6 +19,7 @@ def items(text):
     [
         ("Mail: a.b-c@x-y.example.", {("email", "a.b-c@x-y.example")}),
         ("a.b [at] x.example or c(at)y[dot]test or d.e at z dot test", {("email", "a.b [at] x.example"), ("email", "c(at)y[dot]test"), ("email", "d.e at z dot test")}),
+        ("to a.b\u200b@x.example and C.D @ Y.TEST", {("email", "a.b\u200b@x.example"), ("email", "C.D @ Y.TEST")}),
         ("git@forge.a.example:tools/x is tagged @4.1.9, handle @lab_x", set()),
         ("Tel. +49 (0)30 23125-137, +1 502 555 0171 or (795) 555-0180", {("phone", "+49 (0)30 23125-137"), ("phone", "+1 502 555 0171"), ("phone", "(795) 555-0180")}),
         ("1-571-555-0114 ext. 77 / 555 0174 x62 / 853.555.0172", {("phone", "1-571-555-0114 ext. 77"), ("phone", "555 0174 x62"), ("phone", "853.555.0172")}),
