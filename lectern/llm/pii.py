@@ -16,6 +16,7 @@ counts once; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -196,8 +197,6 @@ def find(text: str | None, names: frozenset) -> list[tuple[int, int, str]]:
     found.sort(key=lambda f: (KINDS.index(f[2]), f[0], -f[1]))
     kept: list[tuple[int, int, str]] = []
     taken: list[tuple[int, int]] = []
-    import bisect
-
     for a, b, kind in found:
         i = bisect.bisect_left(taken, (a, b))
         if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
@@ -287,10 +286,10 @@ def placeholder(item: str, kind: str, key: bytes) -> str:
     return f"[{kind.upper()}:{tag}]"
 
 
-def redact(text: str | None, names: frozenset, key: bytes) -> str | None:
-    """``text`` with each item replaced; all else stands as it was."""
+def redacted_text(text: str | None, names: frozenset, key: bytes) -> tuple[str | None, int]:
+    """``text`` with each item replaced, all else as it was, and the number of items."""
     if not text:
-        return text
+        return text, 0
     items = find(text, names)
     for m in _BORN.finditer(text):
         if not any(a < m.end(1) and m.start(1) < b for a, b, _ in items):
@@ -299,7 +298,12 @@ def redact(text: str | None, names: frozenset, key: bytes) -> str | None:
     for a, b, kind in sorted(items):
         out += [text[at:a], placeholder(text[a:b], kind, key)]
         at = b
-    return "".join([*out, text[at:]])
+    return "".join([*out, text[at:]]), len(items)
+
+
+def redact(text: str | None, names: frozenset, key: bytes) -> str | None:
+    """``text`` with each item replaced."""
+    return redacted_text(text, names, key)[0]
 
 
 # ---------------------------------------------------------------- tables
@@ -339,7 +343,8 @@ def redacted(pages: DataFrame, profiles: DataFrame | None = None, key: str = "le
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "raw_text": [redact(t, names.value, secret) for t in batch["raw_text"]], "items": [len(find(t, names.value)) for t in batch["raw_text"]]})
+            done = [redacted_text(t, names.value, secret) for t in batch["raw_text"]]
+            yield pd.DataFrame({"id": batch["id"], "raw_text": [r[0] for r in done], "items": [r[1] for r in done]})
 
     columns = pages.select("id", "raw_text").where("id is not null")
     return spread(columns).mapInPandas(run, "id string, raw_text string, items int").groupBy("id").agg(F.max(F.struct("raw_text", "items")).alias("r")).select("id", "r.*")

@@ -17,6 +17,7 @@ columns are ignored. Pieces cover every character of the text.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -89,8 +90,6 @@ def _hard(text: str, lo: int, hi: int) -> int:
         pass
     if found is not None and found.end() > lo:
         return found.end()
-    import unicodedata
-
     cut = hi
     while cut > lo + 1 and cut < len(text) and (unicodedata.combining(text[cut]) or text[cut] in _JOINERS or text[cut - 1] == "‍"):
         cut -= 1
