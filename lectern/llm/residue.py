@@ -91,9 +91,8 @@ def _code(word: str) -> int:
     return c
 
 
-def grams(text: str) -> np.ndarray:
-    """Distinct hashed 1- and 2-grams."""
-    words = _WORD.findall(text.lower())
+def grams(words: list[str]) -> np.ndarray:
+    """Distinct hashed 1- and 2-grams of lower-case words."""
     if not words:
         return np.zeros(0, dtype=np.int64)
     one = np.fromiter(map(_code, ("0" if w.isdigit() else w for w in words)), dtype=np.int64, count=len(words))
@@ -152,7 +151,7 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
         weak = 0
     else:
         weak = -1
-    return dense, grams(rest), weak
+    return dense, grams(words), weak
 
 
 class Classifier:
