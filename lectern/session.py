@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +79,25 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+#: Applications whose workers have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the Python workers, once in an application.
+
+    Workers then need neither the driver's path nor its working directory. The archive
+    is code only and goes through Spark's file server.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    at = Path(tempfile.mkdtemp(prefix="lectern-code-")) / "lectern.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(at))
+    _SHIPPED.add(sc.applicationId)
