@@ -14,6 +14,14 @@ costs two passes over those passages; each task returns sums over its passages,
 added up per term by shuffle, so what reaches the driver is bounded by the item
 vocabulary times the rank.
 
+A paraphrase may put in words that no item has, so for paraphrases passages are also
+cut over all words: the window of ``WINDOW`` words at every offset, if it can match an
+item that shares no run with the document, having as many item words as the
+subsequence needs and ``OWN_LEAST`` own words of that item. Words that no item has are
+left out of such a passage, which changes no common subsequence. It is compared with
+every run of ``run`` words of that item, whatever the cosine; the decomposition is
+that of the other passages.
+
 Defined cases: null and empty texts have no passage; items with fewer words than
 ``run`` have no run to share; repeated documents are each reported (by id, once);
 repeated items likewise; without items or documents there are no rows.
@@ -21,6 +29,7 @@ repeated items likewise; without items or documents there are no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -61,6 +70,14 @@ class Items:
         held = np.zeros(len(self.vocabulary), dtype=np.int64)
         for t in self.texts:
             held[np.unique(t)] += 1
+        #: Of each word whether at most ``OWN`` items hold it, and those items (else -1).
+        self.rare = held <= OWN
+        self.holders = np.full((len(self.vocabulary), OWN), -1, dtype=np.int64)
+        filled = np.zeros(len(self.vocabulary), dtype=np.int64)
+        for n, t in enumerate(self.texts):
+            own = np.unique(t[self.rare[t]])
+            self.holders[own, filled[own]] = n
+            filled[own] += 1
         #: Of each window the words that at most ``OWN`` items hold: what a paraphrase must keep.
         self.answers = [frozenset(w[held[w] <= OWN].tolist()) for w in self.windows]
         self.runs: dict[bytes, list[int]] = {}
@@ -70,6 +87,21 @@ class Items:
                 if n not in owners:
                     owners.append(n)
 
+    def kept(self, n: int, part: np.ndarray, least: float) -> list[tuple[int, int]]:
+        """(start, common subsequence) of each run of item ``n`` that ``part`` paraphrases."""
+        text, held, out = self.texts[n], set(part.tolist()), []
+        size = min(self.run, len(text))
+        own = self.rare[text]
+        shared = np.fromiter((x in held for x in text.tolist()), dtype=bool, count=len(text))
+        for a in np.flatnonzero(np.convolve(shared, np.ones(size, dtype=np.int64), "valid") >= least):
+            span = slice(a, a + size)
+            both = len(set(text[span][own[span] & shared[span]].tolist()))
+            if both >= OWN_LEAST and both >= OWN_SHARE * len(set(text[span][own[span]].tolist())):
+                common = common_subsequence(part, text[span])
+                if common >= least:
+                    out.append((int(a), common))
+        return out
+
 
 def window_starts(n: int, size: int, step: int) -> list[int]:
     """Starts of windows of ``size`` that cover 0..n, the last one flush with the end."""
@@ -113,17 +145,48 @@ def _gram(passages: list[np.ndarray], idf: np.ndarray, right: np.ndarray, block:
     return total
 
 
-def passages_of(docs: DataFrame, items: Items, run: int = RUN, window: int = WINDOW, step: int = STEP) -> DataFrame:
-    """(doc_id, terms) of each window of a maximal run of item vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(items.vocabulary)
+def paraphrase_windows(codes: np.ndarray, items: Items, least: int, window: int = WINDOW) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """Each window of ``codes`` (-1: in no item) that may paraphrase items, without the -1, and those items."""
+    at = np.flatnonzero(codes >= 0)
+    if len(at) < least:
+        return
+    holders = items.holders[codes[at]]
+    at, column = np.repeat(at, holders.shape[1])[holders.ravel() >= 0], holders.ravel()[holders.ravel() >= 0]
+    order = np.lexsort((at, column))
+    where, item, word = at[order], column[order], codes[at[order]]
+    # where a window holds two own words of an item, two that follow each other differ
+    pair = np.flatnonzero((item[1:] == item[:-1]) & (word[1:] != word[:-1]) & (where[1:] - where[:-1] < window))
+    if not len(pair):
+        return
+    narrow, n = codes.astype(np.int32), items.run
+    told = {k for a in range(len(codes) - n + 1) for k in items.runs.get(narrow[a : a + n].tobytes(), ())}
+    starts = max(len(codes) - window, 0) + 1
+    may: dict[int, set[int]] = {}
+    for a, b, k in zip(where[pair].tolist(), where[pair + 1].tolist(), item[pair].tolist(), strict=True):
+        if k not in told:
+            for s in range(max(b - window + 1, 0), min(a + 1, starts)):
+                may.setdefault(s, set()).add(k)
+    last = None
+    for s in sorted(may):
+        part = codes[s : s + window]
+        part = part[part >= 0]
+        now = (part.tobytes(), sorted(may[s]))
+        if len(part) >= least and now != last:
+            yield part, now[1]
+        last = now
+
+
+def passages_of(docs: DataFrame, items: Items, run: int = RUN, window: int = WINDOW, step: int = STEP, least: int = 0) -> DataFrame:
+    """(doc_id, terms, may) of each window of a maximal run of item vocabulary, with null ``may``, and, for paraphrases of ``least`` words, of each window of all words, with the items it may paraphrase."""
+    shared = docs.sparkSession.sparkContext.broadcast(items if least else items.vocabulary)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = shared.value.vocabulary if least else shared.value
         for batch in batches:
-            ids, terms = [], []
+            ids, terms, may = [], [], []
             for key, text in zip(batch["doc_id"], batch["text"], strict=True):
                 found = _WORD.findall(text.lower())
-                if len(found) < run:
+                if len(found) < (min(run, least) if least else run):
                     continue
                 codes = np.fromiter(map(known.get, found, _minus), dtype=np.int32, count=len(found))
                 other = np.flatnonzero(codes < 0)
@@ -133,11 +196,16 @@ def passages_of(docs: DataFrame, items: Items, run: int = RUN, window: int = WIN
                     for s in window_starts(len(part), window, step):
                         ids.append(key)
                         terms.append(part[s : s + window])
+                        may.append(None)
+                for part, of in paraphrase_windows(codes, shared.value, least, window) if least else ():
+                    ids.append(key)
+                    terms.append(part)
+                    may.append(of)
             if ids:
-                yield pd.DataFrame({"doc_id": ids, "terms": terms})
+                yield pd.DataFrame({"doc_id": ids, "terms": terms, "may": may})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return spread(docs.where("text is not null and doc_id is not null").select("doc_id", "text")).mapInPandas(cut, f"doc_id {kind}, terms array<int>")
+    return spread(docs.where("text is not null and doc_id is not null").select("doc_id", "text")).mapInPandas(cut, f"doc_id {kind}, terms array<int>, may array<int>")
 
 
 class _Minus:
@@ -206,8 +274,9 @@ def leaks(docs: DataFrame, items_df: DataFrame, run: int = RUN, near: float = NE
     """(doc_id, item_id, cosine, longest_run_hits, lcs_share) of each document and item that leaked into it.
 
     Without ``paraphrases`` a pair needs a shared run of ``run`` words; with it, pairs
-    whose passage and item window share a subsequence of ``least_lcs`` of the window
-    come too, with no run counted.
+    come too, with no run counted, of which ``WINDOW`` words of the document and ``run``
+    of the item share a subsequence of ``least_lcs`` of the latter and enough of its own
+    words.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id bigint, cosine double, run_hits bigint, lcs_share double"
@@ -218,7 +287,9 @@ def leaks(docs: DataFrame, items_df: DataFrame, run: int = RUN, near: float = NE
     items = Items(rows, run)
     if not items.windows:
         return docs.sparkSession.createDataFrame([], schema)
-    passages = stored(passages_of(docs, items, run), "p9-passages")
+    least = max(1, math.ceil(least_lcs * run - 1e-9)) if paraphrases else 0
+    cut = stored(passages_of(docs, items, run, least=least), "p9-passages")
+    passages = cut.where("may is null").drop("may")
     idf = inverse_frequencies(passages, items)
     basis = latent_basis(passages, items, idf, rank)
 
@@ -264,5 +335,20 @@ def leaks(docs: DataFrame, items_df: DataFrame, run: int = RUN, near: float = NE
                         out.append((ids[p], items.ids[n], float(c), hits, share))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "run_hits", "lcs_share"])
 
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items, idf, basis, _ = shared.value
+        for batch in batches:
+            out = []
+            for key, terms, may in zip(batch["doc_id"], batch["terms"], batch["may"], strict=True):
+                part = np.asarray(terms, dtype=np.int64)
+                for n in may:
+                    for a, common in items.kept(n, part, least):
+                        row, term, value = _rows([part, items.texts[n][a : a + run]], idf)
+                        z = unit(_times(2, row, term, value, basis))
+                        out.append((key, items.ids[n], float(z[0] @ z[1]), 0, common / run))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "run_hits", "lcs_share"])
+
     found = passages.mapInPandas(search, schema)
+    if paraphrases:
+        found = found.unionByName(cut.where("may is not null").mapInPandas(compare, schema))
     return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.sum("run_hits").alias("run_hits"), F.max("lcs_share").alias("lcs_share"))

@@ -45,6 +45,44 @@ def test_paraphrases(spark):
     assert [(r.doc_id, r.run_hits) for r in leakage.leaks(ds, es, paraphrases=True).collect()] == [(1, 0)]
 
 
+def test_paraphrases_with_words_of_no_item(spark):
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(k, " ".join(random.Random(k).sample(vocabulary, 30) + [f"own{k}x{i}" for i in range(10)])) for k in range(8)]
+    docs = []
+    for d in range(160):
+        rnd = random.Random(1000 + d)
+        own = items[d % 8][1].split()
+        a = rnd.randint(18, len(own) - 13)
+        part = own[a : a + 13]
+        for i in rnd.sample(range(13), rnd.randint(1, 5)):
+            part[i] = f"strange{rnd.randint(0, 9)}"
+        docs.append((d, " ".join([f"other{rnd.randint(0, 99)}" for _ in range(rnd.randint(0, 30))] + part + ["outside"] * (d % 5))))
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row
+            row = [0]
+            for j, y in enumerate(b, 1):
+                row.append(last[j - 1] + 1 if x == y else max(last[j], row[-1]))
+        return row[-1]
+
+    want = {}
+    for d, t in docs:
+        w = t.split()
+        for k, s in items:
+            u = s.split()
+            for b in range(len(u) - 12):
+                own = {x for x in u[b : b + 13] if sum(x in i.split() for _, i in items) <= 2}
+                for a in range(max(len(w) - 20, 0) + 1):
+                    kept, n = len(own & set(w[a : a + 20])), lcs(w[a : a + 20], u[b : b + 13])
+                    if kept >= 2 and kept >= len(own) / 2 and n >= 10:
+                        want[d, k] = max(want.get((d, k), 0), n)
+    ds, es = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    assert leakage.leaks(ds, es).count() == 0 and 20 < len(want) < 140
+    assert {(r.doc_id, r.item_id): round(r.lcs_share * 13) for r in leakage.leaks(ds, es, paraphrases=True).collect()} == want
+
+
 def test_subsequence():
     assert leakage.common_subsequence(np.array([1, 2, 3, 4]), np.array([2, 4, 3])) == 2
     assert leakage.common_subsequence(np.array([], dtype=int), np.array([1])) == 0
