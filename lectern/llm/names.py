@@ -5,7 +5,10 @@ institution, and compared by Jaro-Winkler; accepted pairs become clusters by
 connected components. Within a cluster and institution, given names are matched by
 the nickname table, by Jaro-Winkler and by initials, with departments, middle names
 and addresses as evidence for and against. Rows without institution join the one
-person of that name whom their department doesn't contradict.
+person of that name whom their department doesn't contradict; where there is none of
+exactly that name, the one of a name that is alike by the same blocks and comparisons
+over all institutions. What still has no person is compared with its like. There,
+families are alike by pairs only: over all institutions components would chain.
 
 Comparisons run on the distinct spellings of a block of one sound and institution,
 not on rows, so a name that a third of all rows bear costs as much as a rare one. Only the result, if asked for as pairs, is as large as the
@@ -232,6 +235,63 @@ def given_alike(a: str, b: str) -> bool:
     return (not (a in person._GIVEN and b in person._GIVEN) and min(len(a), len(b)) >= 3 and person.jaro_winkler(a, b) >= GIVEN_LIKE and _edits(a, b) <= (1 if min(len(a), len(b)) < 7 else 2))
 
 
+def name_alike(a: str, b: str) -> bool:
+    """Whether a given name or initial may stand for another one."""
+    return bool(a and b) and (a == b or (b[0] == a if len(a) == 1 else len(b) > 1 and given_alike(a, b)))
+
+
+def alike_names(loose: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(k, f, given, family) of each name of ``loose`` and each of ``nodes`` that may be the same, in whatever institution."""
+    families = nodes.groupBy("family").agg(F.max(F.col("inst") == "").alias("is_loose"))
+
+    def spread_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(f, bool(x), c) for f, x in zip(batch["family"], batch["is_loose"], strict=True) for c in codes(f)]
+            yield pd.DataFrame(out, columns=["family", "is_loose", "code"])
+
+    def link(_: tuple, block: Iterator[tuple]) -> Iterator[tuple]:
+        held = []  # those of rows without institution, which come first
+        for f, is_loose in block:
+            for x in held:
+                if family_alike(x, f):
+                    yield x, f
+                    if is_loose:
+                        yield f, x
+            if is_loose:
+                held.append(f)
+
+    blocks = families.mapInPandas(spread_codes, "family string, is_loose boolean, code string").withColumn("last", ~F.col("is_loose"))
+    near = map_sorted_groups(blocks, ["code"], ["family", "is_loose", "last"], lambda key, rows: link(key, (r[:2] for r in rows)), "f string, family string", order=["last", "family"]).distinct()
+    near = near.unionByName(families.where("is_loose").select(F.col("family").alias("f"), "family"))
+
+    def same(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[[name_alike(a, b) for a, b in zip(batch["k"], batch["given"], strict=True)]]
+
+    one = loose.where("k <> ''").select("k", F.col("family").alias("f")).distinct()
+    other = nodes.where("given <> ''").select("given", "family").distinct()
+    return one.join(near, "f").join(other, "family").select("k", "f", "given", "family").mapInPandas(same, "k string, f string, given string, family string")
+
+
+def _adrift(left: DataFrame, alike: DataFrame) -> DataFrame:
+    """(own, person) of names without institution that no placed person has, joined with their like of one department.
+
+    ``left`` has (k, family, dept, own, may), where ``may`` tells that placed persons may be meant;
+    if so, a name without department joins only with its equals.
+    """
+    one = stored(left.groupBy("own", "k", "family", "dept").agg(F.max("may").alias("may")), "p2-adrift")
+    free = one.where("dept <> '' or not may")
+    a = free.select("k", F.col("family").alias("f"), "dept", F.col("own").alias("a"))
+    b = free.select(F.col("k").alias("given"), "family", "dept", F.col("own").alias("b"))
+    both = stored(a.join(alike, ["k", "f"]).join(b, ["given", "family", "dept"]).where("a <> b").select("a", "b", (F.length("k") == F.length("given")).alias("equal"), (F.length("k") > 1).alias("full")), "p2-alike")
+    found = stored(connected_components(both.where("equal or full")), "p2-like")
+    joined = stored(one.join(found, one["own"] == found["node"], "left").select("own", F.coalesce("component", "own").alias("c")), "p2-joined")
+    # an initial joins the only full name that it may stand for
+    of = both.where("not equal and not full").join(joined.select(F.col("own").alias("a"), F.col("c").alias("from")), "a").join(joined.select(F.col("own").alias("b"), F.col("c").alias("to")), "b")
+    only = of.groupBy("from").agg(F.min("to").alias("to"), F.max("to").alias("most")).where("to = most").select(F.col("from").alias("c"), "to")
+    return joined.join(only, "c", "left").select("own", F.coalesce("to", "c").alias("person"))
+
+
 class _Group:
     __slots__ = ("depts", "emails", "givens", "middles", "size")
 
@@ -321,8 +381,23 @@ def persons(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame
     chosen = F.when((F.col("dept") != "") & (F.col("dept_persons") == 1), F.col("dept_only")).when(
         (F.col("persons") == 1) & ((F.col("dept") == "") | (F.col("told") == 0)), F.col("only")
     )
-    adrift = hit.select("node", F.coalesce(chosen, own).alias("person"))
-    return rows.select("key", "node").join(at.unionByName(adrift), "node").select("key", "person")
+    exact = stored(hit.select("node", "k", "family", "dept", chosen.alias("person"), own.alias("own")), "p2-exact")
+    # for the others whoever bears a name that is alike, by the same rules; one person is meant if the least is the greatest
+    open_ = exact.where("person is null").drop("person")
+    alike = stored(alike_names(open_, nodes), "p2-names")
+    people_of = nodes.join(at, "node").select("given", "family", dept, told.alias("told"), "person")
+    bounds = F.min("person").alias("least"), F.max("person").alias("most")
+    by_name = people_of.groupBy("given", "family").agg(*bounds, F.count("told").alias("told"))
+    by_both = people_of.where("dept <> ''").groupBy("given", "family", "dept").agg(*bounds)
+    any_of = alike.join(by_name, ["given", "family"]).groupBy("k", "f").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("told").alias("told"))
+    any_dept = alike.join(by_both, ["given", "family"]).groupBy("k", "f", "dept").agg(F.min("least").alias("dept_least"), F.max("most").alias("dept_most"))
+    may = open_.withColumnRenamed("family", "f").join(any_of, ["k", "f"], "left").join(any_dept, ["k", "f", "dept"], "left")
+    meant = F.when(F.col("dept_least") == F.col("dept_most"), F.col("dept_least")).when((F.col("least") == F.col("most")) & ((F.col("dept") == "") | (F.col("told") == 0)), F.col("least"))
+    second = stored(may.select("node", "k", F.col("f").alias("family"), "dept", "own", F.col("least").isNotNull().alias("may"), meant.alias("person")), "p2-second")
+    left = second.where("person is null")
+    adrift = left.select("node", "own").join(_adrift(left, alike), "own").select("node", "person")
+    every = at.unionByName(exact.where("person is not null").select("node", "person")).unionByName(second.where("person is not null").select("node", "person")).unionByName(adrift)
+    return rows.select("key", "node").join(every, "node").select("key", "person")
 
 
 def linked(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:

@@ -64,6 +64,28 @@ def test_persons(spark):
     assert links["c1"] == 3 and links["c3"] == 0 and "c4" not in links and "c5" not in links
 
 
+def test_misspelt_names_without_institution(spark):
+    meta, _, inst = tables(spark)
+    decisions = [
+        ("p1", "Wilma Penegarmos", "University of Susuburg", "Optics", "k"),
+        ("l1", "Wilma Peengarmos", None, None, "k"),  # no other has such a name
+        ("l2", "Wilmaa Penegarmos", "", "Optics", "k"),
+        ("l3", "Wilma Peengarmos", "", "Nursing", "k"),  # another department
+        ("p2", "Otto Vobodelder Kinamu", "University of Susuburg", "Chemistry", "k"),
+        ("l4", "Otto Voboodelder", None, "Chemistry", "k"),  # one of two family names left out
+        ("l5", "Lena Mufatesamar", None, "History", "k"),  # none of these has an institution
+        ("l6", "Lena Muffatesamar", None, "History", "k"),
+        ("l7", "L. Mufatesamarr", "", "History", "k"),
+        ("l8", "Lena Mufatesamar", None, "Law", "k"),
+        ("p3", "Ida Bemoretas", "University of Susuburg", None, "k"),
+        ("p4", "Ida Bemoretas", "Bereport Institute of Technology", None, "k"),
+        ("l9", "Ida Bemoretass", None, None, "k"),  # may be either
+        ("l0", "Padupizwick", None, None, "k"),  # no given name
+    ]
+    got = {tuple(r) for r in names.pairs(meta.limit(0), spark.createDataFrame(decisions, DECISION), inst).collect()}
+    assert got == {(a, b) for g in (["l1", "l2", "p1"], ["l4", "p2"], ["l5", "l6", "l7"]) for a in g for b in g if a < b}
+
+
 def test_a_hot_name_and_empty_tables(spark):
     _, _, inst = tables(spark)
     many = spark.range(300).selectExpr("concat('c', id) as profile_id", "'Mira Begukunes' as profile_name", "'https://a.susuburg.example/x' as profile_url", "null as email", "'a.susuburg.example' as source_host", "null as field")
