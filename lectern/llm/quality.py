@@ -80,6 +80,17 @@ def _language_of(found: list[str], sets: dict[str, frozenset]) -> tuple[str, int
     return best, most
 
 
+def _compressed_share(text: str, block: int = 1 << 16) -> float:
+    """Compressed bytes of the whole text for each of its bytes, a block at a time."""
+    pack = zlib.compressobj(1)
+    size = packed = 0
+    for a in range(0, len(text), block):
+        raw = text[a : a + block].encode("utf-8", "replace")
+        size += len(raw)
+        packed += len(pack.compress(raw))
+    return (packed + len(pack.flush())) / max(size, 1)
+
+
 def stats(text: str | None, sets: dict[str, frozenset]) -> tuple[str, int, list[float]]:
     """(language, number of words, statistics in the order of STATS)."""
     if not text or not text.strip():
@@ -106,8 +117,7 @@ def stats(text: str | None, sets: dict[str, frozenset]) -> tuple[str, int, list[
     flags = [w in known for w in low]
     windows = [any(flags[i : i + 8]) + (sum(flags[i : i + 8]) > 1) for i in range(0, max(m - 3, 1), 8)] if m else [0]
     capital = sum(1 for a, w in zip(text_before(found), found, strict=True) if w[0].isupper() and a) if m else 0
-    raw = text.encode("utf-8", "replace")[:200_000] if n > 400_000 else text.encode("utf-8", "replace")
-    ratio = len(zlib.compress(raw, 1)) / max(len(raw), 1)
+    ratio = _compressed_share(text)
     return (
         lang,
         m,

@@ -91,6 +91,19 @@ def test_subsequence():
 PROSE = "The group of the lake has been at work for years, and it is with the help of many that the results are known to all of us. "
 
 
+def test_repeats_behind_a_varied_start():
+    sets = {k: frozenset(v) for k, v in quality.COMMON.items()}
+    rnd = random.Random(5)
+    varied = " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyzäé", k=rnd.randint(2, 9))) for _ in range(40_000))
+    at = quality.STATS.index("repeat_share")
+    assert len(varied) > 200_000 and quality.stats(varied, sets)[2][at] == 0
+    text = varied + " the same again" * 400_000
+    assert quality.stats(text, sets)[2][at] > 0.3
+    for t in (varied, PROSE * 3, PROSE * 3000, "é\ud800" * 70_000):
+        raw = t.encode("utf-8", "replace")
+        assert quality._compressed_share(t) == len(quality.zlib.compress(raw, 1)) / len(raw)
+
+
 def test_not_prose(spark):
     docs = [(n, PROSE * (1 + n % 3)) for n in range(40)] + [(100 + n, "\n".join(f"CODE{n}{i} | Hall | 3{i}" for i in range(12))) for n in range(20)]
     docs += [(200, None), (201, " \n"), (202, PROSE.upper()), (203, "x" * 300_000), (204, "1.5 2.5\n" * 50), (0, PROSE)]
