@@ -40,11 +40,11 @@ def p2_persons(spark, d):
 
 
 def p3_found(spark, d):
-    return main_text.boilerplate(_pages(spark, d))
+    return main_text.boilerplate(_pages(spark, d), read_table(spark, d, "source_record"))
 
 
 def p3_main_text(spark, d):
-    return main_text.main_text(_pages(spark, d))
+    return main_text.main_text(_pages(spark, d), read_table(spark, d, "source_record"))
 
 
 def p4_found(spark, d):

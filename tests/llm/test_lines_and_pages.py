@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import layout, main_text, repeated_lines, residue
+from lectern.llm import layout, main_text, queries, repeated_lines, residue
 
 LONG = "This legal notice stands on every page of the site"
 
@@ -123,3 +123,24 @@ def test_main_text_leaves_residue_out(spark, records):
     text = main_text.main_text(records).where("id = 'g1'").first().text
     assert "lakes freeze" in text and "Subscribe" not in text
     assert main_text.boilerplate(records.limit(0)).count() == 0
+
+
+def test_pages_and_residue_share_a_model(spark, data, monkeypatch):
+    fitted, fit = [], residue.fit
+
+    def kept(*args, **more):
+        fitted.append(fit(*args, **more))
+        return fitted[-1]
+
+    monkeypatch.setattr(residue, "fit", kept)
+    # pages of unclear wording whose fetches failed: only the fetch records tell their labels
+    read = queries.read_table
+    pages, fetches = read(spark, data, "extracted_content"), read(spark, data, "source_record")
+    odd = [(f"odd{n}", "Zyx Qwv", None, "Zorb blint quaffle", "https://odd.example/a") for n in range(40)]
+    odd = spark.createDataFrame(odd, "id string, profile_name string, title string, raw_text string, profile_url string")
+    failed = odd.selectExpr("map('status', '503') as fetch_info", "map('profile_id', id) as profile_context")
+    tables = {"extracted_content": pages.select(*odd.columns).unionByName(odd), "source_record": fetches.select(*failed.columns).unionByName(failed)}
+    monkeypatch.setattr(queries, "read_table", lambda s, d, t: tables[t])
+    for q in ("p6_found", "p3_found", "p3_main_text"):
+        queries.queries()[q](spark, data)
+    assert len(fitted) == 3 and all((m.hashed == fitted[0].hashed).all() and (m.dense == fitted[0].dense).all() for m in fitted)
