@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.operators.joins import sized_semi_join
+from lectern.session import stored
+
 
 def class_of_copies(rows: DataFrame, key: str, order: str, first: str = "first", copies: str = "copies") -> DataFrame:
     """Each row's ``order`` value with the least of its class and the size of the class.
@@ -43,6 +46,19 @@ def latest_by(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return rows.groupBy(*keys).agg(picked).select(*[c if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row of each key that isn't null, of several the greatest by all other columns.
+
+    Only keys are aggregated over the whole table. Rows of a key that occurs once stay
+    where they are, so that long texts are shuffled only where a key repeats. ``rows``
+    is read three times; it should be a scan.
+    """
+    repeated = stored(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
+    once = sized_semi_join(rows.where(F.col(key).isNotNull()), repeated, [key], how="left_anti")
+    many = latest_by(sized_semi_join(rows, repeated, [key]), [key], [])
+    return once.select(*rows.columns).unionByName(many)
+
+
 def ordered_union(parts: Sequence[DataFrame], key: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows of all parts, each key once: from the first part that has it."""
     both = None

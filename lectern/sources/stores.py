@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lectern.operators import dedup
+from lectern.session import stored
+from lectern.sources.buckets import BucketedTables
 
 # Cells that mean nothing.
 EMPTY = ("", "nan", "none", "null", "n/a", "na", "-")
@@ -97,36 +99,29 @@ def flattened(nested_rows: DataFrame, key: str = "profile_id", section: str = "s
 
 
 class TableStore:
-    """A keyed table kept as parquet folders, one a version; readers see whole versions only."""
+    """A keyed table in buckets of its key; a change rewrites the buckets of the keys it names."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, schema: str):
-        self.spark, self.path, self.key, self.schema = spark, path.rstrip("/"), key, schema
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(at):
-            return []
-        done = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
-        return sorted(int(n[1:]) for n in done if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS")))
+    def __init__(self, spark: SparkSession, path: str, key: str, schema: str, buckets: int = 16):
+        self.spark, self.key, self.schema = spark, key, schema
+        self.store = BucketedTables(spark, path, {"rows": (schema, [key])}, buckets)
 
     def read(self) -> DataFrame:
-        found = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{found[-1]}") if found else self.spark.createDataFrame([], self.schema)
-
-    def _write(self, rows: DataFrame) -> None:
-        found = self._versions()
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{(found[-1] if found else 0) + 1}")
+        return self.store.read("rows")
 
     def upsert(self, changes: DataFrame, order: Sequence[str] = ()) -> None:
-        """Put rows in by key; of several changes of a key the greatest by ``order`` counts."""
-        one = dedup.latest_by(changes, [self.key], list(order)) if order else changes.dropDuplicates([self.key])
-        table = self.read()
-        self._write(dedup.upsert(table, one.select(*table.columns), self.key))
+        """Put rows in by key; of several changes of a key the greatest by ``order``, then by all columns, counts."""
+        columns = self.read().columns
+        rest = [c for c in columns if c != self.key and c not in order]
+        one = stored(dedup.latest_by(changes.where(F.col(self.key).isNotNull()), [self.key], [*order, *rest]).select(*columns), "changes")
+        touched = self.store.touched(one, "rows")
+        if touched:
+            self.store.publish({"rows": (dedup.upsert(self.store.read("rows", touched), one, self.key), touched)})
 
     def delete(self, keys: DataFrame) -> None:
-        self._write(dedup.delete(self.read(), keys, self.key))
+        gone = stored(keys.select(self.key).where(F.col(self.key).isNotNull()).distinct(), "gone")
+        touched = self.store.touched(gone, "rows")
+        if touched:
+            self.store.publish({"rows": (dedup.delete(self.store.read("rows", touched), gone, self.key), touched)})
 
     def archive(self, keep: Column, to: TableStore) -> tuple[int, int]:
         """Move the rows that don't fit ``keep`` to another store; (kept, moved), checked against the whole."""
@@ -134,11 +129,11 @@ class TableStore:
         before = table.count()
         fits = F.coalesce(keep, F.lit(False))
         to.upsert(table.where(~fits))
-        self._write(table.where(fits))
-        kept, moved = self.read().count(), before - self.read().count()
+        self.delete(table.where(~fits))
+        kept = self.read().count()
         if to.read().join(self.read().select(self.key), self.key, "left_semi").limit(1).count():
             raise RuntimeError("a key is in the table and in its archive")
-        return kept, moved
+        return kept, before - kept
 
     def page(self, after, size: int) -> DataFrame:
         """The next ``size`` rows by key after ``after`` (None: from the start): keyset pagination."""

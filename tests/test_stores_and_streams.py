@@ -1,8 +1,12 @@
 from datetime import datetime, timedelta
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from lectern.operators import dedup
 from lectern.sources import stores
+from lectern.sources.buckets import BucketedTables
 from lectern.streaming import events as S
 
 
@@ -78,3 +82,29 @@ def test_stream_into_store_is_idempotent(spark, tmp_path):
 def test_job_states(spark):
     log = spark.createDataFrame([(1, 1, "queued"), (1, 2, "running"), (2, 1, "queued"), (2, 2, "failed"), (2, 3, "running")], "job int, t int, e string")
     assert {tuple(r) for r in S.job_states(log, "job", "t", "e").collect()} == {(1, "running", 2), (2, "failed", 3)}
+
+
+def test_buckets_are_added_to_replaced_and_kept(spark, tmp_path):
+    tables = {"a": ("k int, v string", ["k"]), "b": ("k int", ["k"])}
+    store = BucketedTables(spark, str(tmp_path / "b"), tables, buckets=4)
+    assert store.generation() == 0 and store.read("a").count() == 0
+    rows = spark.createDataFrame([(k, "x") for k in range(20)], "k int, v string")
+    store.publish({"a": (rows, []), "b": (rows.select("k"), [])})
+    part = store.touched(rows.where("k = 3"), "a")
+    assert len(part) == 1 and 0 < store.read("a", part).count() < 20
+    store.publish({"a": (rows.where("k = 3").withColumn("v", F.lit("y")), part)})
+    again = BucketedTables(spark, str(tmp_path / "b"), tables, buckets=4)
+    assert again.generation() == 2 and again.read("a", part).collect() == [(3, "y")] and again.read("b").count() == 20
+    assert again.read("a", generation=1).count() == 20
+    again.publish({"a": (rows.where("k = 99"), part)})
+    assert again.read("a", part).count() == 0
+    again.vacuum()
+    assert store.read("a").count() == again.read("a").count() < 20
+    with pytest.raises(RuntimeError):
+        store.folder.write("manifest-3.json", "{}")
+
+
+def test_one_row_of_each_key(spark):
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 0), ("b", None, 2), (None, "z", 3), ("c", "w", 1), ("c", "w", 1)], "k string, t string, n int")
+    assert {tuple(r) for r in dedup.one_per_key(rows, "k").collect()} == {("a", "y", 0), ("b", None, 2), ("c", "w", 1)}
+    assert dedup.one_per_key(rows.limit(0), "k").count() == 0
