@@ -62,8 +62,8 @@ def p5_found(spark, d):
 
 def p5_cleaned(spark, d):
     pages = _pages(spark, d)
-    store, _ = repeated_lines.store_of(pages, _meta(spark, d))
-    return repeated_lines.without_lines(pages, store.lines())
+    store, rebuilt = repeated_lines.store_of(pages, _meta(spark, d))
+    return repeated_lines.rebuilt_texts(pages, store, rebuilt)
 
 
 def p5_rebuilt(spark, d):
@@ -135,6 +135,11 @@ def oracle_sql() -> dict[str, str]:
             t AS (SELECT l.id, string_agg(line, chr(10) ORDER BY n) AS kept FROM l ANTI JOIN c ON l.id = c.id AND l.n = c.line_no GROUP BY 1)
             SELECT e.id, CASE WHEN r.id IS NULL THEN e.raw_text ELSE coalesce(t.kept, '') END AS raw_text, CAST(coalesce(r.removed, 0) AS INTEGER) AS removed
             FROM e LEFT JOIN r ON e.id = r.id LEFT JOIN t ON e.id = t.id""",
+        "p5_rebuilt": f"""WITH {_P5_LINES},
+            s AS (SELECT min(epoch(scraped_at)) AS a, greatest(max(epoch(scraped_at)) - min(epoch(scraped_at)), 1) AS w FROM extracted_content),
+            b AS (SELECT e.id, CAST(max(least(floor((coalesce(epoch(scraped_at), a) - a) / w * 2), 1)) AS INTEGER) AS delta FROM extracted_content e JOIN m ON e.id = m.id, s GROUP BY 1),
+            c AS (SELECT host, k FROM k JOIN b ON k.id = b.id WHERE length(k) >= 25 GROUP BY 1, 2 HAVING count(DISTINCT k.id) FILTER (delta = 0) < 8 AND count(DISTINCT k.id) >= 8)
+            SELECT id, delta FROM b UNION SELECT k.id, 1 FROM k JOIN c ON k.host = c.host AND k.k = c.k""",
         "p9_found": r"""WITH
             t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
             u AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_item),

@@ -44,6 +44,31 @@ def test_lines_against_brute_force_in_deltas(spark):
     assert store.lines().count() == 0
 
 
+def test_a_later_session_goes_on_and_stale_lines_go(spark, tmp_path):
+    texts = [(f"p{k}", f"own line number of page {k} {'abc' * k}\n{LONG}") for k in range(9)]
+    h, at = hosts(spark, [i for i, _ in texts]), str(tmp_path / "store")
+    repeated_lines.LineCountStore(spark, at).merge(repeated_lines.line_index(pages(spark, texts), h))
+    # another session: two pages come again without the line, and without any line that counts
+    other = spark.newSession()
+    store = repeated_lines.LineCountStore(other, at)
+    assert store.lines().count() == 9
+    again = [("p0", "short"), ("p1", None)]
+    rebuilt = store.merge(repeated_lines.line_index(pages(other, again, 2), hosts(other, ["p0", "p1"])))
+    assert {r.id for r in rebuilt.collect()} == {i for i, _ in texts} and store.lines().count() == 0
+    assert store.merge(repeated_lines.line_index(pages(other, again, 3), hosts(other, ["p0", "p1"]))).count() == 0
+
+
+def test_only_named_pages_are_rebuilt(spark):
+    meta = spark.createDataFrame([(f"p{k}", "A.example") for k in range(12)], "profile_id string, source_host string")
+    one = pages(spark, [(f"p{k}", f"own text of page number {k}\n{LONG}") for k in range(8)] + [("solo", LONG)])
+    two = pages(spark, [(f"p{k}", f"own text of page number {k}\n{LONG}\nmore") for k in range(8, 12)], 9)
+    both = one.unionByName(two)
+    store, rebuilt = repeated_lines.store_of(both, meta)
+    assert [r.count() for r in rebuilt] == [8, 4]
+    got = {r.id: (r.raw_text, r.removed) for r in repeated_lines.rebuilt_texts(both, store, rebuilt).collect()}
+    assert got["p0"] == ("own text of page number 0", 1) and got["p9"] == ("own text of page number 9\nmore", 1) and got["solo"] == (LONG, 0) and len(got) == 13
+
+
 def test_lines_edge_cases(spark):
     meta = spark.createDataFrame([("a", "H.example")], "profile_id string, source_host string")
     none = pages(spark, [("a", None), ("a", ""), (None, LONG)])
