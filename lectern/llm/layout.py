@@ -5,10 +5,10 @@ Two builders make the same kind of element:
 * :func:`render` builds a tree from markup with implied end tags, drops what
   visibility rules hide (scripts, hidden and navigation elements) and emits text
   with block spacing, list bullets and aligned table cells;
-* :func:`elements` builds it from the lines of a text that has lost its markup. Each
+* :func:`line_tree` builds it from the lines of a text that has lost its markup. Each
   line implies an element (menu entry, notice, box title, box entry, heading, name,
-  paragraph, footer), consecutive ones imply the enclosing block, and the same
-  visibility rules say which blocks belong to the main text.
+  list item, table row, paragraph, footer; :func:`elements`) and ends those that can't
+  hold it; the same visibility rules hide elements, and the same renderer emits the rest.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def _text(node: Node, depth: int = 0) -> str:
             mark = f"{1 + sum(isinstance(x, Node) and x.tag == 'li' for x in node.children[:n])}. " if node.tag == "ol" else "- "
             out.append("\n" + "  " * depth + mark + _text(c, depth + 1).strip())
         elif c.tag in ("ul", "ol"):
-            out.append("\n" + _text(c, depth) + "\n")
+            out.append(_text(c, depth) if depth else "\n" + _text(c, depth) + "\n")
         elif c.tag in _BLOCK:
             out.append("\n\n" + _text(c, depth).strip("\n ") + "\n\n")
         else:
@@ -132,8 +132,7 @@ def render(markup: str | None) -> str:
     """Visible text of ``markup`` with blocks apart, bulleted lists and aligned tables."""
     if not markup:
         return ""
-    lines = [s.rstrip() if s.startswith(" ") and s.lstrip().startswith(("- ", "1")) else s.strip() if "  " not in s.strip() else s.rstrip() for s in _text(tree(markup)).split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n ")
+    return tidy(_text(tree(markup)))
 
 
 # ---------------------------------------------------------------- bare lines
@@ -151,50 +150,37 @@ inicio|noticias|personas|contacto|buscar|acceder|biblioteca|empleo|investigació
 BOXES = {
     "links": "quick links|useful links|resources|in this section|related links|links|on this page|downloads|weitere links|liens utiles|enlaces",
     "people": "related people|people in this unit|see also|colleagues|similar profiles|other members|team members|ansprechpartner|siehe auch|voir aussi|véase también",
-    "news": "latest news|headlines|in the news|news|from the magazine|featured story|elsewhere on campus|what our neighbours do|upcoming events|events|announcements|aktuelles|actualités|noticias",
+    "news": "latest news|headlines|in the news|news|from the magazine|featured story|elsewhere on campus|upcoming events|events|announcements|aktuelles|actualités|noticias",
     "contact": "need help?|contact us|department office|visit us|office|get in touch|help desk|questions?|kontakt|contactez-nous|contacto",
     "other": "popular searches|sponsored|advertisement|anzeige|publicité|publicidad|poll of the week|opening hours|weather|weather today|weather on campus|trending|tags|most read",
 }
 _BOX = {t: kind for kind, titles in BOXES.items() for t in titles.split("|")}
 
-# Phrases of notices, prompts, footers and institutions' texts. A line is
-# tried against the expressions only if it holds one of the stems (lower case).
+# Phrases that notices, prompts and footers of any site use. A line is
+# tried against the expressions only if it holds one of the stems (lower case). What a
+# site words in its own way is told by its recurrence instead (:mod:`lectern.llm.templates`).
 _CUES = [
-    # consent and browser notices
     ("cookie", r"\bcookies?\b"),
-    ("small files|few bytes|remembers you|tracker|consent|data that you leave", r"small files on your device|few bytes in your browser|remembers you between visits|trackers? (?:are|is) needed|asks? for your consent|process(?:es)? the data that you leave"),
-    ("kleine dateien|petits fichiers|témoins|pequeños archivos", r"kleine dateien auf|petits fichiers|témoins de connexion|pequeños archivos"),
-    ("privacy matters|privacy policy|the policy|manage choices|preference cent|accept all|allow all|reject|allow selection|strictly needed|yes, fine|no, thanks|de acuerdo", r"\b(?:privacy matters|privacy policy|read the policy|manage choices|preference cent(?:re|er)|accept all|allow all|reject all|allow selection|strictly needed|yes, fine|no, thanks)\b|^de acuerdo$"),
-    ("the people who visit|third parties|measure visits|change your mind", r"we value the people who visit|with the help of third parties|wants to measure visits|change your mind at any time"),
-    ("annehmen|einverstanden|accepte|aceptar|datenschutz|impressum|mentions légales|aviso legal", r"alle annehmen|einverstanden|tout accepter|^j'accepte$|aceptar(?: todo)?\b.*rechazar|datenschutz|impressum|mentions légales|aviso legal"),
-    ("javascript|your browser is|scripting|scripts", r"\bjavascript\b|your browser is (?:old|outdated|not supported)|scripting to be switched on|need scripts|enable scripts|turn on scripts|without scripts"),
-    # prompts
+    ("javascript|your browser|scripts", r"\bjavascript\b|your browser is (?:old|outdated|not supported)|(?:enable|need|turn on|without) scripts"),
+    ("privacy|accept all|allow all|reject all|third parties|datenschutz|einverstanden|tout accepter|aceptar todo", r"\bprivacy (?:policy|notice|statement|matters)\b|\b(?:accept|allow|reject) all\b|third parties|datenschutz|einverstanden|tout accepter|aceptar todo"),
     ("skip |jump to", r"^(?:skip|jump) (?:to|navigation)"),
-    ("mehr erfahren|weiterlesen|información|leer más|savoir plus|lire la suite|ver todo|alle anzeigen|tout afficher", r"^(?:mehr erfahren|weiterlesen|más información|leer más|en savoir plus|lire la suite|ver todo|alle anzeigen|tout afficher)\W*$"),
-    ("share this|email this|copy link|send it to|diese seite|cette page|esta página|imprimir", r"share this (?:page|profile)|email this page|copy link to|send it to someone|diese seite (?:drucken|weiter)|partagez? cette page|partager cette page|comparta esta página|imprimir"),
-    ("follow |folgen sie|suivez|siga a|síganos", r"follow (?:us|.{3,60}) on (?:your|our|social|all)|folgen sie|suivez|siga a\b|síganos"),
-    ("subscribe|weekly letter|newsletter|reach you first|hear more from|also like|support young|with a gift|make a gift|donate|donativo|apoye|soutenez|faites un don|unterstützen sie|spenden|abonnez|abonnieren|suscríba", r"subscribe to|weekly letter|newsletter|reach you first in|hear more from|you may also like|support young scholars|with a gift|make a gift|donate|con su donativo|apoye la investigación|soutenez|faites un don|unterstützen sie|spenden|abonnez|abonnieren|suscríbase"),
-    ("article continues|continues below|advertisement|hinweis der redaktion|note de la rédaction|nota de la redacción|editor's note", r"article continues after|continues below|advertisement\b|^(?:hinweis der redaktion|note de la rédaction|nota de la redacción|editor's note)\b"),
-    ("out of date|accessibility|report a|algún dato|avise a|une erreur|fehler |stimmt etwas|signalez", r"out of date\? tell|report an? (?:accessibility|error|problem)|accessibility barrier|algún dato erróneo|avise a la redacción|une erreur sur|fehler (?:auf|in) (?:dieser|diesem)|stimmt etwas nicht|signalez"),
-    # footers
-    ("©|(c)|copyright|rights reserved|rechte vorbehalten|droits réservés|derechos reservados|todos los derechos|needs written consent", r"^(?:©|\(c\)|copyright)|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos|reuse needs written consent"),
-    ("views on this page|die meinung der|n'engage que|no refleja la opinión", r"views on this page|geben die meinung der|n'engage que|no refleja la opinión"),
-    ("equal opportunity|not discriminate", r"equal opportunity|does not discriminate"),
-    ("webmaster|web team|maintained by|content owner|last edited|last updated|last modified|last review|supplied by|powered by|seite gepflegt|gérée|mantenida|zuletzt geändert|mise à jour|última actualización", r"^(?:webmaster|web ?team)\b|page maintained by|content owner|last (?:edited|updated|modified|review)|profile text supplied|powered by|seite gepflegt|page gérée|página mantenida|zuletzt geändert|dernière mise à jour|última actualización"),
-    ("privacy|sitemap|terms|accessibility|imprint", r"^privacy\b.*(?:terms|accessibility)|^sitemap\b|^(?:terms|accessibility|imprint)\b.{0,40}$"),
-    # general text about an institution
-    ("institution|brings together|network links|gegründet|fundada por|fondée par", r"is a (?:public|private|state) institution|brings together \d+ faculties|network links .{3,60} with \d+ partner|wurde von .{3,60} gegründet und umfasst|fue fundada por|a été fondée par|fondée par .{3,60} compte"),
-    # teasers and box entries
+    ("share this|email this|print this|copy link|cette page|esta página|diese seite", r"(?:share|email|print) this (?:page|profile|article)|copy link to|(?:partage[rz]|imprimer?) cette page|(?:comparta|imprimir) esta página|diese seite (?:drucken|teilen|weiter)"),
+    ("follow |folgen sie|suivez|siga a|síganos", r"^follow .{2,60} on (?:your|our|social|all)\b|folgen sie|suivez|siga a\b|síganos"),
+    ("subscribe|newsletter|abonnez|abonnieren|suscríba", r"subscribe to|newsletter|abonnez-vous|abonnieren|suscríbase"),
+    ("donate|make a gift|with a gift|faites un don|spenden|donativo|soutenez", r"\bdonate\b|(?:make|with) a gift|faites un don|\bspenden\b|donativo|\bsoutenez\b"),
+    ("article continues|continues below|advertisement|editor's note|hinweis der redaktion|note de la rédaction|nota de la redacción", r"article continues|continues below|advertisement\b|^(?:editor's note|hinweis der redaktion|note de la rédaction|nota de la redacción)\b"),
+    ("report a|accessibility|une erreur|algún dato|stimmt etwas|fehler", r"report an? (?:accessibility|error|problem)|^accessibility\b.{0,30}$|une erreur sur|algún dato erróneo|stimmt etwas nicht|fehler (?:auf|in) diese"),
+    ("©|(c)|copyright|rights reserved|rechte vorbehalten|droits réservés|derechos reservados", r"^(?:©|\(c\)|copyright)|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos"),
+    ("views on this page|equal opportunity|not discriminate", r"views on this page|equal opportunity|does not discriminate"),
+    ("webmaster|maintained by|content owner|last edited|last updated|last modified|last review|powered by|zuletzt geändert|mise à jour|última actualización|gepflegt|gérée|mantenida", r"^webmaster\b|page (?:maintained|managed) by|content owner|last (?:edited|updated|modified|review)|^powered by|zuletzt geändert|dernière mise à jour|última actualización|seite gepflegt|page gérée|página mantenida"),
+    ("sitemap|terms|imprint|impressum|mentions légales|aviso legal", r"^sitemap\b|^(?:terms|imprint)\b.{0,40}$|impressum|mentions légales|aviso legal"),
     ("→|read on|more ...|[more]|[mehr]|[plus]|[más]", r"(?:→|\bread on|\bmore \.\.\.|\[more\]|\[mehr\]|\[plus\]|\[más\])\s*$"),
-    ("visitors in", r"^(?:public lecture|open day|seminar|new report|call for posters|workshop|lecture)\b.{0,30}:.{0,40}\bvisitors in\b"),
-    ("info@|office@|admissions@|front.desk@|reception@|helpdesk@|webmaster@", r"^(?:info|office|admissions|front\.desk|reception|helpdesk|webmaster)@\S+$"),
-    ("tel ", r"^tel\b.*\d\s*/$"),
-    ("vote now|people liked|mon-fri|degrees, ", r"^vote now\b|\bpeople liked the\b|^mon-fri\b|\bdegrees, light wind\b"),
+    ("info@|office@|admissions@|reception@|helpdesk@|webmaster@", r"^(?:info|office|admissions|reception|helpdesk|webmaster)@\S+$"),
 ]
 _CUE = re.compile("|".join(f"(?:{c})" for _, c in _CUES), re.I)
 #: Whole lines that are tools of a page.
 _TOOL = re.compile(
-    r"^(?:toggle navigation|menu|navigation|back to top|top|close|show (?:less|more)|view all|read more|load more|expand all|print|share|tweet|email page|rate this page|download vcard|add to favourites|like|ok|consent|details|statistics|settings|about cookies|more|weiter|nach oben|haut de page|subir)\W*$",
+    r"^(?:toggle navigation|menu|navigation|back to top|top|close|show (?:less|more)|view all|read more|load more|expand all|print|share|tweet|email page|rate this page|download vcard|add to favourites|like|ok|yes, fine|no, thanks|allow selection|consent|details|statistics|settings|manage choices|about cookies|more|weiter|nach oben|haut de page|subir|mehr erfahren|weiterlesen|más información|leer más|en savoir plus|lire la suite|ver todo|alle anzeigen|tout afficher|de acuerdo)\W*$",
     re.I,
 )
 
@@ -220,7 +206,7 @@ def cued(line: str) -> bool:
 
 #: Placeholders that a template left between the paragraphs.
 _MARKER = re.compile(
-    r"^\W{0,3}(?:%%.{1,60}%%|\$\{.{1,60}\}|\{\{.{1,80}\}\}|\{%.{1,80}%\}|\[\[.{1,60}\]\]|<(?:add|insert|put|place|your|name|todo)\b[^>]{0,80}>|\[(?:insert|add|put|your|placeholder|todo|image|caption|photo)\b[^\]]{0,80}\]|(?:todo|fixme|tbd|tbc|xxx)\b.*|<!--.*-->|lorem ipsum.*|-+ ?(?:text|content) to follow ?-+|#(?:name|ref|value|n/a)[?!]?|\[object object\]|undefined(?:, undefined)*|null|nan)\W{0,3}$",
+    r"^\W{0,3}(?:%%[^%]+%%|\$\{[^}]+\}|\{\{[^}]+\}\}|\{%[^%]+%\}|\[\[[^\]]+\]\]|<(?:add|insert|put|place|your|name|todo)\b[^>]*>|\[(?:insert|add|put|your|placeholder|todo|image|caption|photo)\b[^\]]*\]|(?:todo|fixme|tbd|tbc|xxx)\b.*|<!--.*-->|lorem ipsum.*|-+ ?(?:text|content) to follow ?-+|#(?:name|ref|value|n/a)[?!]?|\[object object\]|undefined(?:, undefined)*|null|nan)\W{0,3}$",
     re.I,
 )
 _POSITION = re.compile(
@@ -269,13 +255,18 @@ def _looks_name(line: str) -> bool:
 
 
 HIDDEN_KINDS = frozenset({"menu", "crumb", "notice", "marker", "box", "footer", "head"})
+_NO_RECURRENCE: frozenset[int] = frozenset()
+_YEARS = re.compile(r"\b(?:19|20)\d\d\b")
+_CALL = re.compile(r"^(?!The )[^\W\d][^:.!?]{2,40}: \S")
+_MORE = re.compile(r"(?:→|\bread on|\bmore \.\.\.|\[more\])\s*$")
 
 
-def elements(text: str, own: list[str] | None = None) -> list[tuple[int, str]]:
+def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int] | set[int] = _NO_RECURRENCE) -> list[tuple[int, str]]:
     """(line number, kind) of each line that isn't blank.
 
     ``own`` are the folded words of the name of the page's person, which tell the
-    person's line from those of colleagues.
+    person's line from those of colleagues; ``recurrent`` are the numbers of lines that
+    recur on other pages of the site or on other sites.
     """
     own = own or []
     raw = text.split("\n")
@@ -288,19 +279,19 @@ def elements(text: str, own: list[str] | None = None) -> list[tuple[int, str]]:
     for i, s in enumerate(lines):
         bare = _BULLET.sub("", s)
         low = bare.casefold().rstrip(":")
-        if len(s) < 130 and (s[0] in "%$<[{#-*@xXtTfFuUnNlL" or not s[0].isalnum()) and _MARKER.match(s):
+        if (s[0] in "%$<[{#-*@xXtTfFuUnNlL" or not s[0].isalnum()) and _MARKER.match(s):
             kind[i] = "marker"
         elif low in MENU:
             is_menu[i] = True
         elif low in _BOX:
             kind[i] = "title"
-        elif len(s) < 400 and cued(bare):
+        elif cued(bare):
             kind[i] = "notice"
         else:
             parts = [p for p in re.split(r"\s\|\s|\s{2,}", wide[i]) if p]
             if len(parts) >= 2 and sum(_BULLET.sub("", p).casefold() in MENU for p in parts) >= 0.6 * len(parts):
                 kind[i] = "menu"
-            elif len(s) < 160 and _CRUMB.match(s) and not re.search(r"\d", s):
+            elif _CRUMB.match(s) and not re.search(r"\d", s):
                 kind[i] = "crumb"
 
     # the line of the page's person
@@ -316,10 +307,13 @@ def elements(text: str, own: list[str] | None = None) -> list[tuple[int, str]]:
         name_at = next((i for i in range(1, n) if not kind[i - 1] and not is_menu[i - 1] and _looks_name(lines[i - 1]) and _POSITION.search(lines[i]) and not kind[i]), None)
         name_at = None if name_at is None else name_at - 1
     if name_at is None:
-        name_at = next((i for i in range(n) if not kind[i] and not is_menu[i] and (len(lines[i]) > 90 and not _TEASER.match(lines[i]) or _POSITION.search(lines[i]))), n)
+        name_at = next((i for i in range(n) if not kind[i] and not is_menu[i] and at[i] not in recurrent and (len(lines[i]) > 90 and not _TEASER.match(lines[i]) or _POSITION.search(lines[i]))), n)
         while name_at > 0 and name_at < n and not kind[name_at - 1] and lines[name_at - 1].startswith("#"):
             name_at -= 1
 
+    if recurrent:
+        _mark_recurrent(kind, lines, [not is_menu[i] and i != name_at and at[i] in recurrent for i in range(n)], name_at)
+
     # boxes: a title implies a block of the entries that fit it
     i = 0
     while i < n:
@@ -327,25 +321,11 @@ def elements(text: str, own: list[str] | None = None) -> list[tuple[int, str]]:
             i += 1
             continue
         what = _BOX[_BULLET.sub("", lines[i]).casefold().rstrip(":")]
-        j, taken = i + 1, 0
-        while j < n and j != name_at and kind[j] in ("", "notice") and not (lines[j].startswith("#")):
-            s = lines[j]
-            bare = _BULLET.sub("", s)
-            if what == "links":
-                fits = len(bare.split()) <= 4 and not re.search(r"\d|[.,]$", bare) and kind[j] == "" and not _POSITION.search(bare)
-            elif what == "people":
-                fits = _looks_name(s) and kind[j] == "" and not (is_menu[j])
-            elif what == "news":
-                fits = bool(_TEASER.match(s)) or kind[j] == "notice" and bool(re.search(r"visitors in|→|read on|more \.\.\.|\[more\]", s))
-            elif what == "contact":
-                fits = taken < 4 and len(s) < 80 and bool(re.search(r"@|\bat\b|\d{3}", s))
-            else:
-                fits = taken < 3 and (bare.count(",") >= 1 and bare[:1].islower() or cued(bare))
-            if not fits:
-                break
-            kind[j], taken, j = "box", taken + 1, j + 1
+        j = i + 1
+        while j < n and j != name_at and kind[j] in ("", "notice") and _entry(what, lines[j], kind[j], is_menu[j], own):
+            kind[j], j = "box", j + 1
         ambiguous = _BULLET.sub("", lines[i]).casefold().rstrip(":") in MENU
-        kind[i] = "box" if taken or not ambiguous else "notice"
+        kind[i] = "box" if j > i + 1 or not ambiguous else "notice"
         i = j
 
     # menus: entries in runs, or outside the body
@@ -383,13 +363,159 @@ def elements(text: str, own: list[str] | None = None) -> list[tuple[int, str]]:
     return [(at[i], kind[i] or ("name" if i == name_at else "main")) for i in range(n)]
 
 
+def _mark_recurrent(kind: list[str], lines: list[str], recurs: list[bool], name_at: int) -> None:
+    """Lines that recur are notices, but for headings, position and contact lines right under the name, and entries of lists that don't recur as a whole."""
+    n = len(lines)
+    under = name_at + 1
+    while under < n and not kind[under] and len(lines[under]) < 100 and (under == name_at + 1 or not recurs[under] or _POSITION.search(lines[under]) or re.search(r"@|\d", lines[under])):
+        under += 1
+    i = 0
+    while i < n:
+        if not _BULLET.match(lines[i]):
+            short = len(lines[i].split()) <= 5 and _looks_heading(lines[i])
+            if recurs[i] and not kind[i] and not short and not name_at < i < under:
+                kind[i] = "notice"
+            i += 1
+            continue
+        j = i
+        while j < n and _BULLET.match(lines[j]):
+            j += 1
+        if sum(recurs[i:j]) >= 0.5 * (j - i):
+            for k in range(i, j):
+                kind[k] = kind[k] or ("notice" if recurs[k] else "")
+        i = j
+
+
+def _entry(what: str, s: str, kind: str, in_menu: bool, own: list[str]) -> bool:
+    """Whether a line may be an entry of a box of that kind."""
+    bare = _BULLET.sub("", s)
+    if s.startswith("#"):
+        return False
+    if what == "links":
+        return len(bare.split()) <= 4 and not re.search(r"\d|[.,]$", bare) and not _POSITION.search(bare)
+    if what == "people":
+        return _looks_name(s) and not in_menu
+    if what == "news":
+        return bool(_TEASER.match(s) or _MORE.search(s) or (len(s) < 100 and _CALL.match(s) and not s.endswith("."))) and not _POSITION.search(bare[:40])
+    if what == "contact":
+        return len(s) < 80 and bool(re.search(r"@|\bat\b|\d{3}", s)) and not any(w in own for w in name_words(s) if len(w) > 3)
+    short = len(s) < 100 and not re.search(r"[.:]$", s) and not _BULLET.match(s) and not _looks_heading(s) and not _YEARS.search(s) and not _POSITION.search(s)
+    return short or kind == "notice" and cued(bare)
+
+
 def _looks_heading(s: str) -> bool:
     return s.startswith("#") or s.endswith(":") or s.isupper() or (s[:1].isupper() and len(s.split()) <= 3)
 
 
-def main_lines(text: str, own: list[str] | None = None) -> tuple[list[int], list[int]]:
+# ---------------------------------------------------------------- a tree of lines
+
+#: The element that each kind of line stands in; what is hidden is so by its element.
+_REGION = {"menu": "nav", "crumb": "nav", "box": "aside", "footer": "footer", "notice": "notice", "marker": "notice", "head": "banner"}
+_ROW = re.compile(r"\t+|\s\|\s|(?<=\S) {2,}(?=\S)")
+
+
+def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int] | set[int] = _NO_RECURRENCE, kinds: list[tuple[int, str]] | None = None) -> Node:
+    """The element tree that the lines of a text without markup imply.
+
+    Each line starts an element and thereby ends those that can't hold it: a menu entry
+    opens a ``nav``, a box title an ``aside``, the person's line the ``article``; in it a
+    heading ends lists, tables and paragraphs, a bullet opens a list (a deeper one a list
+    within), lines of equally many cells a table, a blank line ends a paragraph.
+    Leaves know their line numbers, so the tree tells both what is visible and which
+    lines aren't.
+    """
+    raw = [s.replace("\r", "") for s in text.split("\n")]
+    root = Node("body", {})
+    kinds = elements(text, own, recurrent) if kinds is None else kinds
+    cells = {n: _ROW.split(raw[n].strip()) for n, k in kinds if k in ("main", "name")}
+    region: Node | None = None
+    lists: list[tuple[int, Node]] = []
+    block: Node | None = None
+    before = -1
+
+    def leaf(parent: Node, tag: str, n: int, content: str) -> Node:
+        node = Node(tag, {"line": str(n)})
+        node.children.append(content)
+        parent.children.append(node)
+        return node
+
+    for i, (n, kind) in enumerate(kinds):
+        tag = _REGION.get(kind, "article")
+        if region is None or region.tag != tag:
+            region = Node(tag, {"hidden": ""} if kind in HIDDEN_KINDS else {})
+            root.children.append(region)
+            lists, block = [], None
+        s = raw[n].strip("﻿ \t\xa0​")
+        if n > before + 1:
+            block = None
+        before = n
+        mark = _BULLET.match(raw[n])
+        if tag == "nav":
+            leaf(region, "li", n, s)
+        elif tag != "article":
+            leaf(region, "p", n, s)
+        elif kind == "name" or s.startswith("#") or (s.endswith(":") and len(s.split()) <= 6):
+            lists, block = [], None
+            leaf(region, "h1" if kind == "name" else "h2", n, s)
+        elif mark:
+            deep = len(raw[n]) - len(raw[n].lstrip())
+            while lists and lists[-1][0] > deep:
+                lists.pop()
+            if not lists or lists[-1][0] < deep:
+                ul = Node("ul", {})
+                (lists[-1][1].children[-1] if lists else region).children.append(ul)
+                lists.append((deep, ul))
+            block = None
+            leaf(lists[-1][1], "li", n, _BULLET.sub("", s))
+        else:
+            lists = []
+            width = len(cells[n])
+            near = [m for m, k in (kinds[i - 1] if i else (-9, ""), kinds[i + 1] if i + 1 < len(kinds) else (-9, "")) if k == "main" and abs(m - n) == 1 and not _BULLET.match(raw[m])]
+            if width > 1 and any(len(cells[m]) == width for m in near):
+                if block is None or block.tag != "table" or block.attrs["width"] != str(width):
+                    block = Node("table", {"width": str(width)})
+                    region.children.append(block)
+                row = Node("tr", {"line": str(n)})
+                for c in cells[n]:
+                    cell = Node("td", {})
+                    cell.children.append(c)
+                    row.children.append(cell)
+                block.children.append(row)
+            else:
+                if block is None or block.tag != "p":
+                    block = Node("p", {})
+                    region.children.append(block)
+                if block.children:
+                    block.children.append(Node("br", {}))
+                leaf(block, "span", n, s)
+    return root
+
+
+def lines_of(node: Node, hidden: bool = False) -> tuple[list[int], list[int]]:
+    """Numbers of the visible lines under an element, and of the others."""
+    kept: list[int] = []
+    other: list[int] = []
+    work = [(node, hidden)]
+    while work:
+        e, out = work.pop()
+        out = out or not e.visible()
+        if "line" in e.attrs:
+            (other if out else kept).append(int(e.attrs["line"]))
+        work.extend((c, out) for c in e.children if isinstance(c, Node))
+    return sorted(kept), sorted(other)
+
+
+def main_lines(text: str, own: list[str] | None = None, recurrent: frozenset[int] | set[int] = _NO_RECURRENCE) -> tuple[list[int], list[int]]:
     """Numbers of the lines of the main text, and of the other lines that aren't blank."""
-    kept, other = [], []
-    for n, kind in elements(text, own):
-        (other if kind in HIDDEN_KINDS else kept).append(n)
-    return kept, other
+    return lines_of(line_tree(text, own, recurrent))
+
+
+def tidy(text: str) -> str:
+    """Rendered text with at most one blank line between blocks and no stray blanks; list and table indents stay."""
+    lines = [s.rstrip() if s.startswith(" ") and s.lstrip().startswith(("- ", "1")) else s.strip() if "  " not in s.strip() else s.rstrip() for s in text.split("\n")]
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n ")
+
+
+def render_lines(root: Node) -> str:
+    """The visible text of a tree of lines, with blocks apart, lists and aligned cells."""
+    return tidy("".join(_text(c) for c in root.children if isinstance(c, Node) and c.visible()))

@@ -2,10 +2,11 @@
 
 Pages that still have markup are rendered by :func:`lectern.llm.layout.render`, which
 builds the element tree with implied tags and emits what is visible. Pages that are
-already bare lines get the same treatment from :func:`lectern.llm.layout.elements`:
-lines imply elements, runs of them imply blocks, and visibility rules for blocks say
-what is main text. Each page is worked on by itself, so the operator is one scan,
-without a shuffle of texts.
+already bare lines get their tree from :func:`lectern.llm.layout.line_tree`, whose lines
+imply the elements; the same visibility rules say what of it is main text, and the same
+renderer emits it with block spacing, lists and aligned cells. That a site's template
+repeats a line is told by counts over all pages (:mod:`lectern.llm.templates`); texts
+themselves are not shuffled, but for those of repeated ids.
 
 Defined cases: null, empty and blank texts have no lines; blank lines are neither
 main text nor boilerplate; a repeated row counts once; a null name only makes the
@@ -21,45 +22,39 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm import layout, residue
-from lectern.session import spread
+from lectern.llm import layout, residue, templates
+from lectern.operators.dedup import one_per_key
 
 
 def page_lines(pages: DataFrame, fetches: DataFrame | None = None, cut: float = residue.CUT, with_text: bool = False) -> DataFrame:
-    """(id, main, other[, text]) of each page with content: line numbers of the main text and of the rest."""
-    model = pages.sparkSession.sparkContext.broadcast(residue.fit(pages, fetches))
+    """(id, main, other[, text]) of each page with content, once: line numbers of what its tree shows and hides[, the rendered text]."""
+    marked, numbers = templates.marked(pages.select("id", "profile_name", "title", "raw_text", "profile_url"))
+    model = pages.sparkSession.sparkContext.broadcast(residue.fit(marked, fetches, numbers=numbers))
     schema = "id string, main array<int>, other array<int>" + ", text string" * with_text
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text, name, title in zip(batch["id"], batch["raw_text"], batch["profile_name"], batch["title"], strict=True):
-                body = text or ""
-                kinds = layout.elements(body, layout.name_words(name or ""))
-                dense, grams, _ = residue.features(body, name, title, kinds)
-                if model.value.score(dense, grams) >= cut:
+            for key, text, name, title, recurs in zip(batch["id"], batch["raw_text"], batch["profile_name"], batch["title"], batch["_recurs"], strict=True):
+                body, own = text or "", layout.name_words(name or "")
+                kinds = layout.elements(body, own, numbers(recurs))
+                if model.value.score(*residue.features(body, name, title, kinds)) >= cut:
                     continue
-                main = [n for n, k in kinds if k not in layout.HIDDEN_KINDS]
-                other = [n for n, k in kinds if k in layout.HIDDEN_KINDS]
-                row = (key, main, other)
+                root = layout.line_tree(body, own, kinds=kinds)
+                row = (key, *layout.lines_of(root))
                 if with_text:
-                    lines = body.split("\n")
-                    row += ("\n".join(lines[n].strip("\r") for n in main),)
+                    row += (layout.render_lines(root),)
                 rows.append(row)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-    columns = pages.select("id", "profile_name", "title", "raw_text").where("id is not null")
-    return spread(columns).mapInPandas(run, schema)
+    return one_per_key(marked, "id").mapInPandas(run, schema)
 
 
 def main_text(pages: DataFrame, fetches: DataFrame | None = None) -> DataFrame:
     """(id, text, main_lines, other_lines) of each page with content, once."""
-    found = page_lines(pages, fetches, with_text=True)
-    one = found.groupBy("id").agg(F.max(F.struct("text", F.size("main").alias("main_lines"), F.size("other").alias("other_lines"))).alias("r"))
-    return one.select("id", "r.*")
+    return page_lines(pages, fetches, with_text=True).select("id", "text", F.size("main").alias("main_lines"), F.size("other").alias("other_lines"))
 
 
 def boilerplate(pages: DataFrame, fetches: DataFrame | None = None) -> DataFrame:
     """(id, line_no) of each line that is not part of the page's main text."""
-    one = page_lines(pages, fetches).select("id", "other").groupBy("id").agg(F.max("other").alias("other"))
-    return one.select("id", F.explode("other").alias("line_no"))
+    return page_lines(pages, fetches).select("id", F.explode("other").alias("line_no"))

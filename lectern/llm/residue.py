@@ -7,25 +7,25 @@ the page's fetches, and signs of a real profile. The training rows are a bounded
 sample (``MAX_TRAIN``) by hash of the id; every record is scored with its whole text.
 
 Defined cases: null, empty and blank texts hold no content and are cases; a repeated
-row is one case; a null title counts as an empty one; with no weak label of one
-kind in the sample, the seed phrases still give cases to learn from; extra columns
-are ignored.
+row is one case; a null title counts as an empty one; with no weak label of a case in
+the sample the seed phrases still give cases to learn from; with none of content
+nothing is fitted and the weak labels stand; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm import templates
 from lectern.llm.layout import _POSITION, alike, elements, name_words
 from lectern.llm.quality import COMMON
-from lectern.session import spread
 
 BITS = 16
 MAX_TRAIN = 6000
@@ -106,12 +106,12 @@ def left_over(text: str, kinds: list[tuple[int, str]]) -> tuple[list[str], bool]
     return [raw[n].strip() for n, k in kinds if k in ("main", "name", "head", "marker")], any(k == "name" for _, k in kinds)
 
 
-def features(text: str | None, name: str | None, title: str | None, kinds: list[tuple[int, str]] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+def features(text: str | None, name: str | None, title: str | None, kinds: list[tuple[int, str]] | None = None, recurrent: set[int] | frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray, int]:
     """(dense features, hashed grams, weak label: 1 residue, 0 content, -1 unknown)."""
     own = name_words(name or "")
     body = text or ""
     if kinds is None:
-        kinds = elements(body, own)
+        kinds = elements(body, own, recurrent)
     lines, named = left_over(body, kinds)
     rest = "\n".join(lines)
     words = _WORD.findall(rest.lower())
@@ -122,7 +122,8 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
     marked = sum(1 for _, k in kinds if k == "marker") / max(len(lines), 1)
     t = (title or "").strip().lower()
     own_title = any(w in own for w in name_words(t))
-    named = named and any(alike(w, o) for s in lines[:60] if len(s) < 80 for w in name_words(s) for o in own)
+    named = named and any(alike(w, o) for s in lines if len(s) < 80 for w in name_words(s) for o in own)
+    hits = len(_PHRASE.findall(rest))
     dense = np.asarray(
         [
             1.0,
@@ -137,13 +138,13 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
             marked,
             float(not t or t in ("untitled", "error")),
             float(own_title),
-            float(bool(_PHRASE.search(rest)) if len(rest) < 600 else 0.0),
+            min(1.0, 600 * hits / max(len(rest), 600)),  # how thick phrases of errors and templates stand
         ]
     )
-    phrase = dense[12] > 0
+    phrase = dense[12] > 0.5
     if not rest.strip():
         weak = 1
-    elif phrase and not named and not position and listed < 2 and len(rest) < 600:
+    elif phrase and not named and not position and listed < 2:
         weak = 1
     elif not named and not position and common < 0.08 and listed < 2 and len(words) > 15:
         weak = 1
@@ -160,13 +161,22 @@ class Classifier:
     def __init__(self, dense: np.ndarray, hashed: np.ndarray):
         self.dense, self.hashed = dense, hashed
 
-    def score(self, dense: np.ndarray, hashed: np.ndarray) -> float:
+    def score(self, dense: np.ndarray, hashed: np.ndarray, weak: int = -1) -> float:
         z = float(dense @ self.dense) + (float(self.hashed[hashed].sum()) / np.sqrt(len(hashed)) if len(hashed) else 0.0)
         return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Classifier:
-    """Logistic regression with L2 by Adam; classes weigh the same."""
+class WeakLabels:
+    """What serves where no content is known to learn from: the weak label itself."""
+
+    def score(self, dense: np.ndarray, hashed: np.ndarray, weak: int = -1) -> float:
+        return 1.0 if weak == 1 else 0.0
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Classifier | WeakLabels:
+    """Logistic regression with L2 by Adam; classes weigh the same. One class alone is not fitted."""
+    if not any(r[2] == 0 for r in rows):
+        return WeakLabels()
     seeds = []
     for s in SEEDS:
         d, g, _ = features(s, "", "")
@@ -200,19 +210,22 @@ def error_share(fetches: DataFrame) -> DataFrame:
     return fetches.select(who.alias("id"), (status >= 400).cast("int").alias("bad")).where("id is not null and bad is not null").groupBy("id").agg(F.avg("bad").alias("errors"))
 
 
-def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN):
-    """(host, dense, grams, weak) of a bounded sample of pages by hash of the id."""
-    columns = ["id", "profile_name", "title", "raw_text", "profile_url"]
-    n = pages.count()
-    share = min(1.0, 0.9 * max_train / max(n, 1))
-    sample = pages.select(*columns).where((F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)) & F.col("id").isNotNull())
+def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, numbers: Callable | None = None):
+    """(host, dense, grams, weak) of the pages with the least hashes of their id, at most ``max_train``.
+
+    ``pages`` may have been through :func:`lectern.llm.templates.marked`, which gave ``numbers``.
+    """
+    if numbers is None:
+        pages, numbers = templates.marked(pages)
+    least = pages.select("id").where("id is not null").orderBy(F.xxhash64("id"), "id").limit(max_train).distinct()
+    sample = pages.join(F.broadcast(least), "id", "left_semi").groupBy("id").agg(F.max(F.struct("raw_text", "profile_name", "title", "profile_url", "_recurs")).alias("r")).select("id", "r.*")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [features(t, n, s) for t, n, s in zip(batch["raw_text"], batch["profile_name"], batch["title"], strict=True)]
+            out = [features(t, n, s, recurrent=numbers(r)) for t, n, s, r in zip(batch["raw_text"], batch["profile_name"], batch["title"], batch["_recurs"], strict=True)]
             yield pd.DataFrame({"id": batch["id"], "url": batch["profile_url"], "dense": [list(r[0]) for r in out], "grams": [list(r[1]) for r in out], "weak": [r[2] for r in out]})
 
-    found = spread(sample).mapInPandas(run, "id string, url string, dense array<double>, grams array<bigint>, weak int").dropDuplicates(["id"])
+    found = sample.mapInPandas(run, "id string, url string, dense array<double>, grams array<bigint>, weak int")
     if fetches is not None:
         # a page of unclear wording whose fetches mostly failed is taken for residue
         found = found.join(error_share(fetches), "id", "left").withColumn(
@@ -224,18 +237,18 @@ def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: i
     return [(r.host, np.asarray(r.dense), np.asarray(r.grams, dtype=np.int64), r.weak) for r in rows]
 
 
-def fit(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN) -> Classifier:
-    return train([r[1:] for r in sample_rows(pages, fetches, max_train)])
+def fit(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, numbers: Callable | None = None) -> Classifier | WeakLabels:
+    return train([r[1:] for r in sample_rows(pages, fetches, max_train, numbers)])
 
 
 def validate(rows, folds: int = 5) -> dict[str, float]:
-    """Agreement with the weak labels on hosts that the training didn't see."""
+    """Agreement with the weak labels on hosts that the training didn't see; a fold that leaves one class to learn from is passed over."""
     right = total = hit = found = cases = 0
     for fold in range(folds):
         unseen = [zlib.crc32((r[0] or "").encode()) % folds == fold for r in rows]
         model = train([r[1:] for r, u in zip(rows, unseen, strict=True) if not u])
         for r, u in zip(rows, unseen, strict=True):
-            if u and r[3] >= 0:
+            if u and r[3] >= 0 and isinstance(model, Classifier):
                 said = model.score(r[1], r[2]) >= CUT
                 total += 1
                 right += said == (r[3] == 1)
@@ -247,18 +260,16 @@ def validate(rows, folds: int = 5) -> dict[str, float]:
 
 def scored(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
     """(id, residue) of each record: the probability that it holds no content."""
-    model = pages.sparkSession.sparkContext.broadcast(fit(pages, fetches, max_train))
+    marked, numbers = templates.marked(pages)
+    model = pages.sparkSession.sparkContext.broadcast(fit(marked, fetches, max_train, numbers))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            p = []
-            for text, name, title in zip(batch["raw_text"], batch["profile_name"], batch["title"], strict=True):
-                d, g, _ = features(text, name, title)
-                p.append(model.value.score(d, g))
+            p = [model.value.score(*features(text, name, title, recurrent=numbers(r))) for text, name, title, r in zip(batch["raw_text"], batch["profile_name"], batch["title"], batch["_recurs"], strict=True)]
             yield pd.DataFrame({"id": batch["id"], "residue": p})
 
-    columns = pages.select("id", "profile_name", "title", "raw_text").where("id is not null")
-    return spread(columns).mapInPandas(run, "id string, residue double").groupBy("id").agg(F.max("residue").alias("residue"))
+    columns = marked.select("id", "profile_name", "title", "raw_text", "_recurs").where("id is not null")
+    return columns.mapInPandas(run, "id string, residue double").groupBy("id").agg(F.max("residue").alias("residue"))
 
 
 def residue(pages: DataFrame, fetches: DataFrame | None = None, cut: float = CUT) -> DataFrame:

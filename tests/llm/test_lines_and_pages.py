@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import layout, main_text, queries, repeated_lines, residue
+from lectern.llm import layout, main_text, queries, repeated_lines, residue, templates
 
 LONG = "This legal notice stands on every page of the site"
 
@@ -119,6 +119,43 @@ def test_main_lines():
     layout.elements("\n".join(["Menu"] * 20_000))
 
 
+def test_lines_make_a_tree_that_is_rendered():
+    text = "Home\nNews\nPeople\n\nAnn Lee\nReader in Physics\nResearch:\n- lakes\n  - deep ones\n- ice\nYear | Title\n2019 | On ice\n\nThey study how lakes freeze.\nAnd how they thaw.\n© 2020 Uni"
+    root = layout.line_tree(text, ["ann", "lee"])
+    assert [c.tag for c in root.children] == ["nav", "article", "footer"] or [c.tag for c in root.children] == ["nav", "article", "notice"]
+    assert layout.lines_of(root) == ([4, 5, 6, 7, 8, 9, 10, 11, 13, 14], [0, 1, 2, 15])
+    assert layout.render_lines(root).split("\n") == ["Ann Lee", "", "Reader in Physics", "", "Research:", "", "- lakes", "  - deep ones", "- ice", "", "Year  Title", "2019  On ice", "", "They study how lakes freeze.", "And how they thaw."]
+
+
+def test_recurrent_lines_are_hidden_without_any_phrase(spark):
+    def page(n):
+        return f"Wander our halls with a brass lantern tonight\nAnn Lee\nReader in Physics\nResearch Interests\nPage {'xyz' * n} is about lakes and how they freeze over the years.\n- lakes and rivers\n- number {'abc' * n} of it"
+
+    rows = [(f"p{n}", f"https://a-u.example/{n}", page(n)) for n in range(8)] + [("q", "https://b.example/", "Wander our halls with a brass lantern tonight\nx"), ("n", None, None)]
+    pages = spark.createDataFrame(rows + rows[:1], "id string, profile_url string, raw_text string")
+    marked, numbers = templates.marked(pages)
+    got = {r.id: numbers(r._recurs) for r in marked.collect()}
+    assert 0 in got["p1"] and 4 not in got["p1"] and got["q"] == set() and got["n"] == set()
+    kept, other = layout.main_lines(page(3), ["ann", "lee"], got["p3"])
+    assert other == [0] and kept == [1, 2, 3, 4, 5, 6]
+    # beyond the bound of what tasks hold, lines are joined instead: the same numbers
+    templates.BROADCAST_BYTES, held = 0, templates.BROADCAST_BYTES
+    try:
+        marked, numbers = templates.marked(pages)
+        assert {r.id: numbers(r._recurs) for r in marked.collect()} == got
+    finally:
+        templates.BROADCAST_BYTES = held
+
+
+def test_residue_of_a_sample_without_content(spark):
+    rows = [(f"r{n}", "Ann Lee", "Error", t, "https://a.example/x") for n, t in enumerate(RESIDUE)]
+    few = spark.createDataFrame(rows + [("g", "Ann Lee", None, "Zorb blint quaffle", None)], "id string, profile_name string, title string, raw_text string, profile_url string")
+    assert isinstance(residue.fit(few), residue.WeakLabels)
+    assert {r.id for r in residue.residue(few).collect()} >= {"r0", "r2"} and residue.residue(few).where("id = 'g'").count() == 0
+    # the sample has its bound, whatever the number of pages
+    assert len(residue.sample_rows(few, max_train=3)) == 3
+
+
 RESIDUE = ["404\nThe page you are looking for could not be located.", "Dr. {{ last_name }} joined the Department of {{ department }}", "", "Lorem ipsum dolor sit amet, consectetur adipiscing elit.", "Please turn on JavaScript and reload this page"]
 
 
