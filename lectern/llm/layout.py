@@ -380,7 +380,7 @@ def _mark_recurrent(kind: list[str], lines: list[str], recurs: list[bool], name_
         j = i
         while j < n and _BULLET.match(lines[j]):
             j += 1
-        if sum(recurs[i:j]) >= 0.5 * (j - i):
+        if sum(recurs[i:j]) > 0.5 * (j - i):
             for k in range(i, j):
                 kind[k] = kind[k] or ("notice" if recurs[k] else "")
         i = j
