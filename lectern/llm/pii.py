@@ -1,12 +1,15 @@
 """Problem 4: personal details in free text, found and replaced by placeholders.
 
 Emails, telephone and identity numbers and postal addresses are found by their
-formats, persons' names by given names (a fixed list plus those learnt from the
-profile names) or initials next to a family name. Each is replaced by a placeholder
-of its kind. Numbers and dates of birth keep their format: their digits are permuted
-by a keyed Feistel network over the decimal digits, so equal values get equal
-pseudonyms in every document, and whoever holds the key can undo them. Other kinds
-carry a keyed tag that links equal values.
+formats, numbers without a label only if their numbering plan allows them
+(:mod:`lectern.llm.numbers`). Persons' names are found by given names (a fixed list,
+those learnt from the profile names, and those of the page's own person) or initials
+next to a family name, or by a title before them. Each item is replaced by a
+placeholder of its kind. Numbers and dates that validate keep their format: their
+digits are permuted by a keyed Feistel network, check digits are made anew, so equal
+values get equal pseudonyms in every document, the pseudonym validates as well, and
+whoever holds the key can undo it. Other items carry a keyed tag that links equal
+values. The key comes from the caller.
 
 Defined cases: null and empty texts have no items and stay as they are; overlapping
 finds keep the earlier kind in the order of ``KINDS``; an item that stands several
@@ -20,29 +23,35 @@ import bisect
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.session import spread
+from lectern.llm import numbers
+from lectern.operators.dedup import one_per_key
+from lectern.operators.joins import sized_semi_join
+from lectern.session import spread, stored
 
 KINDS = ("email", "id_number", "address", "phone", "person_name")
 #: Profiles that must share a first name with different last names to have it learnt.
-LEARN_FROM = 12
-#: Learnt names up to which the set is broadcast; more is an error, not a silent cut.
+LEARN_FROM = 3
+#: Times that a learnt given name stands first for each time that it stands last.
+FIRST_TO_LAST = 3
+#: Learnt names up to which every task holds them all; beyond, each page gets those of its own words by a join.
 MAX_LEARNT = 500_000
 
-# Given names.
-GIVEN = """Abigail Agnes Aiko Alexander Amara Anders Andrew Anna Anne Anne-Marie Anneke Barbara Beatriz Benjamin Bruno Celia Charles Chloé Christopher
-Cyril Dagmar Daniel Dario David Deborah Dorothy Edward Eleanor Elena Elif Elizabeth Emily Emma Eric Esteban Eugene Farid Fatima Femke Francesca François
-Frederick Gerald Goran Gregory Greta Hana Hans Helga Hugo Ilse Imani Ines Ingrid Isabella Ivana James Jana Jean Jean-Luc Jennifer John Jonathan Jorge
-José Joseph Josephine Julia Jürgen Karim Katherine Katya Kofi Lars Laura Lawrence Leila Linda Lucia Luis Marek Margaret Maria Marie Mark Martin Mary
-Mary-Beth Matthew Mei Michael Milan Mira Mohammed Nadia Nicholas Nikhil Noor Olga Omar Paolo Patricia Paul Pavel Peter Philippa Pierre Piotr Priya
-Quentin Ravi Rebecca Renée Richard Robert Rosa Samantha Sanjay Sarah Soo-jin Sofia Stefan Steven Susan Søren Tariq Tessa Thandi Theodore Thomas Timothy
-Tomas Ulrich Vera Victoria Wanda Wei William Xavier Yara Yuki Zainab Zoltan Zoë""".split()
+# Common given names of many countries; others are learnt from the profile names.
+GIVEN = """James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen
+Christopher Lisa Daniel Nancy Matthew Betty Anthony Margaret Mark Sandra Donald Ashley Steven Emily Paul Kimberly Andrew Donna Joshua Michelle Kenneth Carol
+Kevin Amanda Brian Dorothy George Melissa Edward Deborah Ronald Stephanie Timothy Rebecca Jason Laura Jeffrey Helen Ryan Sharon Jacob Cynthia Gary Kathleen
+Nicholas Amy Eric Angela Jonathan Anna Stephen Ruth Larry Emma Justin Alice Scott Julia Brandon Victoria Benjamin Samuel Gregory Alexander Patrick Peter Ann Anne
+Hans Klaus Jürgen Wolfgang Stefan Andreas Ursula Monika Petra Sabine Heike Ulrich Jean Pierre Michel Philippe Marie Nathalie Isabelle Sylvie François
+José Antonio Manuel Francisco Luis Carmen Ana Isabel María Dolores Giuseppe Giovanni Paolo Francesca Chiara Mohammed Ahmed Ali Omar Fatima Aisha Mehmet Ayşe Hassan
+Rahul Priya Sanjay Anil Sunita Ravi Deepak Wei Xiaoming Hiroshi Yuki Takashi Kenji Haruka Min-jun Ji-woo Seo-yeon Oluwaseun Chinedu Kwame Amina Ngozi Thabo
+Ivan Dmitri Sergei Olga Natalia Tatiana Piotr Katarzyna Jana Lars Erik Anders Ingrid Astrid Søren Maarten Eva""".split()
 
 # Words that no family name is, and words that make a name one of a thing.
 _NOT_FAMILY = frozenset(
@@ -56,7 +65,8 @@ _GAP = r"[ \t\xa0]+"
 _AFTER = re.compile(rf"((?:{_GAP}(?:[{_UP}]\.(?:-[{_UP}]\.)?|[{_UP}](?=[ \xa0])))*){_GAP}({_FAMILY})")
 _INITIALS = re.compile(rf"(?<![\w.&@-])([{_UP}]\.(?:[ \xa0-]?[{_UP}]\.){{0,3}})[ \xa0]+({_FAMILY})")
 _INITIALS_AFTER = re.compile(rf"(?:{_GAP}[{_UP}]\.?(?![\w]))+")
-_BEFORE = re.compile(rf"(?<![\w-])({_FAMILY})[ \xa0]?,[ \xa0]*$")
+_ONE_FAMILY = re.compile(_FAMILY)
+_TITLED = re.compile(rf"(?:\b(?:Prof|Professor|Dr|Doctor|Mr|Mrs|Ms|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?|Doña|Don)\b\.?{_GAP}|\b[Cc]ontact:?{_GAP}|\b[Ss]upervis(?:or|ed by):?{_GAP})((?:{_FAMILY}{_GAP}){{1,3}}{_FAMILY})(?:(?:{_GAP}(?:and|or|und|et|y|ou|oder)|,){_GAP}((?:{_FAMILY}{_GAP}){{1,3}}{_FAMILY}))?")
 _LAST_INITIAL = re.compile(rf"(?m)^[^\w\n]*(?:(?:Prof|Dr|Professor|Doctor)\.?[ ]+)*({_FAMILY}[ ]?,[ ]?[{_UP}]\.(?:[ ]?[{_UP}]\.)*)[ ]*\r?$")
 
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?|[ ]dot[ ])"
@@ -128,20 +138,65 @@ def _thing_after(text: str, end: int) -> bool:
     return bool(m) and m.group(1).lower() in _THING
 
 
-def person_names(text: str, names: frozenset) -> list[tuple[int, int]]:
-    """Spans of given name or initials with a family name, in either order."""
+def _family_before(text: str, s: int) -> int | None:
+    """Where the family name starts that stands before ``s`` with a comma, as in "Lee, Ann"."""
+    j = s
+    while j and text[j - 1] in " \xa0":
+        j -= 1
+    if not j or text[j - 1] != ",":
+        return None
+    j -= 1
+    if j and text[j - 1] in " \xa0":
+        j -= 1
+    k = j
+    while k and (text[k - 1].isalpha() or text[k - 1] in "-'’"):
+        k -= 1
+    return k if _ONE_FAMILY.fullmatch(text[k:j]) and _family(text[k:j]) and not (k and text[k - 1].isalnum()) else None
+
+
+def own_given(name: str | None) -> list[str]:
+    """Given names that the name of a page's person tells, as typed and in title case."""
+    if not name:
+        return []
+    bare = re.sub(r"(?i)\b(?:assoc|asst|prof|professor|dr|doctor|mr|mrs|ms|ph\.?d|md|msc)\b\.?", " ", name)
+    head, _, tail = bare.partition(",")
+    found = [w for w in re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", tail if re.search(r"[^\W\d_]{2,}", tail) else head)]
+    if tail.strip() and not re.search(r"[^\W\d_]{2,}", tail):
+        found = found[:-1]
+    words = found if re.search(r"[^\W\d_]{2,}", tail) else found[:-1]
+    return sorted({f for w in words if len(w) > 2 and _family(w) for f in (w, w.title())})
+
+
+def _occurrences(text: str, names: frozenset, own: list[str]) -> list[tuple[int, int]]:
+    """(start, end) of each given name that stands as a word."""
+    spans = [(last - size + 1, last + 1) for last, size in _automaton(names).iter(text)]
+    for w in own:
+        if w not in names:
+            spans += [m.span() for m in re.finditer(re.escape(w), text)]
+    out = []
+    for s, e in sorted(spans, key=lambda x: (x[1], x[0])):
+        if not ((s and (text[s - 1].isalnum() or text[s - 1] in "-_'’@.")) or (e < len(text) and (text[e].isalnum() or text[e] in "_@-'’"))):
+            out.append((s, e))
+    return out
+
+
+def person_names(text: str, names: frozenset, own: list[str] | None = None) -> list[tuple[int, int]]:
+    """Spans of given name or initials with a family name, in either order, and of names after a title or "contact".
+
+    ``own`` are given names that only this text's person is known to bear.
+    """
     spans: list[tuple[int, int]] = []
     done = -1
-    for last, size in _automaton(names).iter(text):
-        s, e = last - size + 1, last + 1
-        if s < done or (s and (text[s - 1].isalnum() or text[s - 1] in "-_'’@.")) or (e < len(text) and (text[e].isalnum() or text[e] in "_@-'’")):
+    known = names.union(own) if own else names
+    for s, e in _occurrences(text, names, own or []):
+        if s < done:
             continue
         m, given = _AFTER.match(text, e), e
         # further given names before the family name
         for _ in range(3):
             if not m:
                 break
-            if m.group(2) in names or m.group(2).title() in names:
+            if m.group(2) in known or m.group(2).title() in known:
                 n = _AFTER.match(text, m.end())
                 if not n or not _family(n.group(2)):
                     break
@@ -149,29 +204,38 @@ def person_names(text: str, names: frozenset) -> list[tuple[int, int]]:
             else:
                 break
         if m and _family(m.group(2)) and not _thing_after(text, m.end()):
-            lone = m.group(2) in names
-            before = _BEFORE.search(text, max(0, s - 80), s)
-            if not (lone and before):
+            if not (m.group(2) in known and _family_before(text, s) is not None):
                 spans.append((s, m.end()))
                 done = m.end()
                 continue
-        before = _BEFORE.search(text[max(0, s - 80) : s])
-        if before and _family(before.group(1)):
+        before = _family_before(text, s)
+        if before is not None:
             more = re.compile(rf"(?:{_GAP}(?:{_FAMILY}))?").match(text, given)
-            end = more.end() if more and more.group().strip() in names else given
+            end = more.end() if more and more.group().strip() in known else given
             tail = _INITIALS_AFTER.match(text, end)
-            spans.append((max(0, s - 80) + before.start(1), tail.end() if tail else end))
+            spans.append((before, tail.end() if tail else end))
             done = spans[-1][1]
     for m in _INITIALS.finditer(text):
         if _family(m.group(2)) and not _thing_after(text, m.end()) and not m.group(1).startswith("P.O"):
             spans.append((m.start(), m.end()))
     for m in _LAST_INITIAL.finditer(text):
         spans.append(m.span(1))
+    taken = sorted(spans)
+    for m in _TITLED.finditer(text):
+        for g in (1, 2):
+            a, b = m.span(g)
+            words = m.group(g).split() if a >= 0 else []
+            if words and all(_family(w) and w.lower() not in _THING for w in words) and not _thing_after(text, b) and not any(x < b and a < y for x, y in taken):
+                spans.append((a, b))
     return spans
 
 
-def find(text: str | None, names: frozenset) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of each item, in order, without overlaps."""
+def find(text: str | None, names: frozenset, own: list[str] | None = None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of each item, in order, without overlaps.
+
+    A number with a label counts as the label says; one without must be one that its
+    numbering plan allows.
+    """
     if not text:
         return []
     found: list[tuple[int, int, str]] = []
@@ -185,14 +249,16 @@ def find(text: str | None, names: frozenset) -> list[tuple[int, int, str]]:
     for m in _ID_LABEL.finditer(text):
         found.append((*m.span(1), "id_number"))
     for m in _SSN.finditer(text):
-        found.append((*m.span(), "id_number"))
+        if numbers.scheme(m.group()) is not None:
+            found.append((*m.span(), "id_number"))
     for m in _ADDRESS.finditer(text):
         found.append((*m.span(), "address"))
     for m in _PHONE.finditer(text):
-        found.append((*m.span(), "phone"))
+        if numbers.phone_plan(m.group()):
+            found.append((*m.span(), "phone"))
     for m in _LABELLED_PHONE.finditer(text):
         found.append((*m.span(1), "phone"))
-    for a, b in person_names(text, names):
+    for a, b in person_names(text, names, own):
         found.append((a, b, "person_name"))
     found.sort(key=lambda f: (KINDS.index(f[2]), f[0], -f[1]))
     kept: list[tuple[int, int, str]] = []
@@ -206,96 +272,44 @@ def find(text: str | None, names: frozenset) -> list[tuple[int, int, str]]:
     return sorted(kept)
 
 
-# ---------------------------------------------------------------- pseudonyms
-
-
-def _round(key: bytes, n: int, r: int, value: int, width: int) -> int:
-    digest = hmac.new(key, f"{n}.{r}.{width}.{value}".encode(), hashlib.sha256).digest()
-    return int.from_bytes(digest[:16], "big")
+# ---------------------------------------------------------------- placeholders
 
 
-def feistel(digits: str, key: bytes, rounds: int = 10, undo: bool = False) -> str:
-    """A keyed permutation of the decimal strings of one length; ``undo`` inverts it.
+def placeholder(item: str, kind: str, key: bytes) -> str:
+    """What stands for ``item`` in the redacted text.
 
-    Strings of one digit are permuted by a keyed shift.
+    Telephone and identity numbers and dates that validate keep their format: digits are
+    permuted, and the pseudonym validates too. All else gets a keyed tag of 128 bits,
+    which links equal values.
     """
-    n = len(digits)
-    if n < 2:
-        shift = _round(key, n, 0, 0, 1) % 10
-        return str((int(digits) + (-shift if undo else shift)) % 10) if digits else ""
-    u = n // 2
-    widths = (u, n - u)
-    a, b = int(digits[:u]), int(digits[u:])
-    # round r changes the left part if r is even, else the right one
-    for r in range(rounds - 1, -1, -1) if undo else range(rounds):
-        sign = -1 if undo else 1
-        if r % 2 == 0:
-            a = (a + sign * _round(key, n, r, b, widths[1])) % 10 ** widths[0]
-        else:
-            b = (b + sign * _round(key, n, r, a, widths[0])) % 10 ** widths[1]
-    return f"{a:0{widths[0]}d}{b:0{widths[1]}d}"
-
-
-def _with_digits(item: str, digits: str) -> str:
-    it = iter(digits)
-    return re.sub(r"\d", lambda _: next(it), item)
-
-
-def pseudonym_number(item: str, key: bytes, keep: int = 0, undo: bool = False) -> str:
-    """``item`` with its digits after the first ``keep`` permuted and all else in place."""
-    digits = re.sub(r"\D", "", item)
-    return _with_digits(item, digits[:keep] + feistel(digits[keep:], key, undo=undo))
-
-
-def pseudonym_date(item: str, key: bytes, undo: bool = False) -> str:
-    """A valid date in the same format: its day number is permuted within 1900-01-01 + 2^15 days."""
-    import datetime
-
-    m = re.fullmatch(r"(\d+)([./-])(\d+)[./-](\d+)", item)
-    if not m:
-        return item
-    iso = len(m.group(1)) == 4
-    y, mo, d = (int(m.group(1)), int(m.group(3)), int(m.group(4))) if iso else (int(m.group(4)), int(m.group(3)), int(m.group(1)))
-    start, size = datetime.date(1900, 1, 1), 1 << 15
-    try:
-        n = (datetime.date(y, mo, d) - start).days
-    except ValueError:
-        return item
-    if not 0 <= n < size:
-        return item
-    while True:  # cycle walking from five digits into the range
-        n = int(feistel(f"{n:05d}", key, undo=undo))
-        if n < size:
-            break
-    new = start + datetime.timedelta(days=n)
-    parts = (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")
-    return m.group(2).join(parts if iso else parts[::-1])
-
-
-def placeholder(item: str, kind: str, key: bytes) -> str:
-    """What stands for ``item`` in the redacted text."""
+    new = None
     if kind == "phone":
-        code = re.match(r"\+(\d{1,3})\b|00[ ](\d{2,3})", item)
-        keep = 0 if not code else len(code.group(1)) if code.group(1) else 2 + len(code.group(2))
-        return f"[PHONE:{pseudonym_number(item, key, keep)}]"
-    if kind == "id_number":
-        return f"[ID_NUMBER:{pseudonym_number(item, key)}]"
-    if kind == "birth_date":
-        return f"[BIRTH_DATE:{pseudonym_date(item, key)}]"
-    tag = hmac.new(key, f"{kind}:{' '.join(item.lower().split())}".encode(), hashlib.sha256).hexdigest()[:10]
+        new = numbers.pseudonym_phone(item, key)
+    elif kind == "id_number":
+        new = numbers.pseudonym_id(item, key)
+    elif kind == "birth_date":
+        new = numbers.pseudonym_date(item, key)
+    if new is not None:
+        return f"[{kind.upper()}:{new}]"
+    tag = hmac.new(key, f"{kind}:{' '.join(item.lower().split())}".encode(), hashlib.sha256).hexdigest()[:32]
     return f"[{kind.upper()}:{tag}]"
 
 
-def redacted_text(text: str | None, names: frozenset, key: bytes) -> tuple[str | None, int]:
+def personal(text: str | None, names: frozenset, own: list[str] | None = None) -> list[tuple[int, int, str]]:
+    """The items of :func:`find` and dates of birth, in order."""
+    items = find(text, names, own)
+    for m in _BORN.finditer(text or ""):
+        if not any(a < m.end(1) and m.start(1) < b for a, b, _ in items):
+            items.append((*m.span(1), "birth_date"))
+    return sorted(items)
+
+
+def redacted_text(text: str | None, names: frozenset, key: bytes, own: list[str] | None = None) -> tuple[str | None, int]:
     """``text`` with each item replaced, all else as it was, and the number of items."""
     if not text:
         return text, 0
-    items = find(text, names)
-    for m in _BORN.finditer(text):
-        if not any(a < m.end(1) and m.start(1) < b for a, b, _ in items):
-            items.append((*m.span(1), "birth_date"))
-    out, at = [], 0
-    for a, b, kind in sorted(items):
+    items, out, at = personal(text, names, own), [], 0
+    for a, b, kind in items:
         out += [text[at:a], placeholder(text[a:b], kind, key)]
         at = b
     return "".join([*out, text[at:]]), len(items)
@@ -306,45 +320,113 @@ def redact(text: str | None, names: frozenset, key: bytes) -> str | None:
     return redacted_text(text, names, key)[0]
 
 
+_PLACEHOLDER = re.compile(r"\[(" + "|".join(k.upper() for k in (*KINDS, "birth_date")) + r"):([^\]]*)\]")
+
+
+def restored_text(text: str | None, key: bytes, tags: dict[str, str]) -> str | None:
+    """The text that :func:`redacted_text` was given: pseudonyms are undone with the key, tags looked up."""
+    if not text:
+        return text
+
+    def undo(m: re.Match) -> str:
+        kind, value = m.group(1).lower(), m.group(2)
+        if m.group() in tags:
+            return tags[m.group()]
+        back = {"phone": numbers.pseudonym_phone, "id_number": numbers.pseudonym_id, "birth_date": numbers.pseudonym_date}.get(kind)
+        return m.group() if back is None else back(value, key, undo=True) or m.group()
+
+    return _PLACEHOLDER.sub(undo, text)
+
+
 # ---------------------------------------------------------------- tables
 
 
-def learnt_names(profiles: DataFrame, name: str = "profile_name", least: int = LEARN_FROM) -> frozenset:
-    """Given names: the fixed list and first words that stand before many different last words."""
+def learnt(profiles: DataFrame, name: str = "profile_name", least: int = LEARN_FROM) -> DataFrame:
+    """(first) given names that profile names tell: words before ``least`` different last words, seldom last themselves."""
     bare = F.regexp_replace(F.regexp_replace(name, r"(?i)\b(?:assoc|asst|prof|professor|dr|doctor|mr|mrs|ms)\b\.?", " "), r",.*$", "")
     parts = F.split(F.trim(F.regexp_replace(bare, r"\s+", " ")), " ")
     pairs = profiles.where(F.col(name).isNotNull() & ~F.col(name).contains(",")).select(F.element_at(parts, 1).alias("first"), F.element_at(parts, -1).alias("last")).where("size(split(first, '')) > 2 and first <> last").distinct()
-    counts = pairs.where(r"first rlike '^\\p{Lu}\\p{L}*[\\p{Ll}][\\p{L}-]*$'").groupBy("first").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    rows = [r.first for r in counts.select(F.col("first")).collect()] if counts.count() <= MAX_LEARNT else None
-    if rows is None:
-        raise ValueError("too many given names learnt; raise the least number of last names")
-    return frozenset(GIVEN) | {r for r in rows if r.lower() not in _NOT_FAMILY}
+    firsts = pairs.where(r"first rlike '^\\p{Lu}\\p{L}*[\\p{Ll}][\\p{L}-]*$'").groupBy("first").agg(F.count("*").alias("n"))
+    lasts = pairs.groupBy(F.col("last").alias("first")).agg(F.count("*").alias("m"))
+    return firsts.where(F.col("n") >= least).join(lasts, "first", "left").where(F.col("n") >= FIRST_TO_LAST * F.coalesce("m", F.lit(0))).select("first")
+
+
+def _fit(rows) -> frozenset:
+    return frozenset(GIVEN) | {r.first for r in rows if r.first.lower() not in _NOT_FAMILY}
+
+
+def learnt_names(profiles: DataFrame, name: str = "profile_name", least: int = LEARN_FROM) -> frozenset:
+    """Given names: the fixed list and those learnt."""
+    return _fit(learnt(profiles, name, least).collect())
+
+
+def _named(pages: DataFrame, profiles: DataFrame | None, *columns: str) -> tuple[DataFrame, Callable]:
+    """``pages`` with a column ``_names``, and a function from its value to the given names to look for."""
+    chosen = pages.select("id", "raw_text", (F.col("profile_name") if "profile_name" in pages.columns else F.lit(None)).cast("string").alias("profile_name")).where("id is not null")
+    names = stored(learnt(profiles), "p4-names") if profiles is not None else None
+    if names is None or names.count() <= MAX_LEARNT:
+        shared = pages.sparkSession.sparkContext.broadcast(frozenset(GIVEN) if names is None else _fit(names.collect()))  # at most MAX_LEARNT
+        return chosen.withColumn("_names", F.lit(None).cast("array<string>")), lambda _: shared.value
+    words = chosen.select("id", F.explode(F.array_distinct(F.regexp_extract_all("raw_text", F.lit(r"(\p{Lu}[\p{L}-]+)"), 1))).alias("w"))
+    forms = words.select("id", F.explode(F.array_distinct(F.array("w", F.initcap("w")))).alias("first"))
+    mine = sized_semi_join(forms, names, ["first"]).groupBy("id").agg(F.collect_set("first").alias("_names"))
+    return chosen.join(mine, "id", "left"), lambda value: frozenset(GIVEN) | {w for w in (value if value is not None else ()) if w.lower() not in _NOT_FAMILY}
 
 
 def found_items(pages: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
     """(id, pii_kind, pii_text) of each different item of each text."""
-    names = pages.sparkSession.sparkContext.broadcast(learnt_names(profiles) if profiles is not None else frozenset(GIVEN))
+    columns, names_of = _named(pages, profiles)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text in zip(batch["id"], batch["raw_text"], strict=True):
-                rows.extend((key, kind, item) for kind, item in {(kind, text[a:b]) for a, b, kind in find(text, names.value)})
+            for key, text, name, known in zip(batch["id"], batch["raw_text"], batch["profile_name"], batch["_names"], strict=True):
+                rows.extend((key, kind, item) for kind, item in {(kind, text[a:b]) for a, b, kind in find(text, names_of(known), own_given(name))})
             yield pd.DataFrame(rows, columns=["id", "pii_kind", "pii_text"])
 
-    columns = pages.select("id", "raw_text").where("id is not null and raw_text is not null")
-    return spread(columns).mapInPandas(run, "id string, pii_kind string, pii_text string").distinct()
+    return spread(columns.where("raw_text is not null")).mapInPandas(run, "id string, pii_kind string, pii_text string").distinct()
 
 
-def redacted(pages: DataFrame, profiles: DataFrame | None = None, key: str = "lectern") -> DataFrame:
-    """(id, raw_text, items) of each record once, with placeholders; ``items`` counts them."""
-    names = pages.sparkSession.sparkContext.broadcast(learnt_names(profiles) if profiles is not None else frozenset(GIVEN))
-    secret = key.encode()
+def redacted(pages: DataFrame, key: str, profiles: DataFrame | None = None) -> DataFrame:
+    """(id, raw_text, items) of each record once, with placeholders under the caller's key; ``items`` counts them."""
+    secret = _secret(key)
+    columns, names_of = _named(one_per_key(pages, "id"), profiles)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [redacted_text(t, names.value, secret) for t in batch["raw_text"]]
+            done = [redacted_text(t, names_of(k), secret, own_given(n)) for t, k, n in zip(batch["raw_text"], batch["_names"], batch["profile_name"], strict=True)]
             yield pd.DataFrame({"id": batch["id"], "raw_text": [r[0] for r in done], "items": [r[1] for r in done]})
 
-    columns = pages.select("id", "raw_text").where("id is not null")
-    return spread(columns).mapInPandas(run, "id string, raw_text string, items int").groupBy("id").agg(F.max(F.struct("raw_text", "items")).alias("r")).select("id", "r.*")
+    return spread(columns).mapInPandas(run, "id string, raw_text string, items int")
+
+
+def restored(redacted_pages: DataFrame, pages: DataFrame, key: str, profiles: DataFrame | None = None) -> DataFrame:
+    """(id, raw_text): the texts before redaction, for whoever holds the key and the table of tags.
+
+    That table is made here from the items of the pages, by page, so nothing is held for
+    all pages at once.
+    """
+    secret = _secret(key)
+    columns, names_of = _named(one_per_key(pages, "id"), profiles)
+
+    def tags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for t, k, n in zip(batch["raw_text"], batch["_names"], batch["profile_name"], strict=True):
+                table = {placeholder(t[a:b], kind, secret): t[a:b] for a, b, kind in personal(t, names_of(k), own_given(n))} if t else {}
+                out.append(sorted(x for x in table.items() if re.search(r":[0-9a-f]{32}\]$", x[0])))
+            yield pd.DataFrame({"id": batch["id"], "tags": [[{"tag": a, "item": b} for a, b in x] for x in out]})
+
+    def undo(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            back = [restored_text(t, secret, {x["tag"]: x["item"] for x in (g if g is not None else ())}) for t, g in zip(batch["raw_text"], batch["tags"], strict=True)]
+            yield pd.DataFrame({"id": batch["id"], "raw_text": back})
+
+    known = columns.mapInPandas(tags, "id string, tags array<struct<tag:string,item:string>>")
+    return redacted_pages.select("id", "raw_text").join(known, "id", "left").mapInPandas(undo, "id string, raw_text string")
+
+
+def _secret(key: str) -> bytes:
+    if not key:
+        raise ValueError("redaction needs a key")
+    return key.encode()

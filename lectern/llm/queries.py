@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +52,19 @@ def p4_found(spark, d):
     return pii.found_items(_pages(spark, d), _meta(spark, d))
 
 
+def _p4_key(spark) -> str:
+    """The caller's key; without one a key that nobody keeps, so that pseudonyms can't be undone later."""
+    return spark.conf.get("spark.lectern.pii.key", None) or secrets.token_hex(32)
+
+
 def p4_redacted(spark, d):
-    return pii.redacted(_pages(spark, d), _meta(spark, d))
+    return pii.redacted(_pages(spark, d), _p4_key(spark), _meta(spark, d))
+
+
+def p4_restored(spark, d):
+    """The texts again, from the redacted ones, their key and their tags."""
+    pages, meta, key = _pages(spark, d), _meta(spark, d), _p4_key(spark)
+    return pii.restored(pii.redacted(pages, key, meta), pages, key, meta).select("id", F.md5("raw_text").alias("text_md5"))
 
 
 def p5_found(spark, d):
@@ -111,7 +123,7 @@ def p10_stats(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        p1_found, p1_pieces, p2_found, p2_persons, p3_found, p3_main_text, p4_found, p4_redacted, p5_found, p5_cleaned, p5_rebuilt,
+        p1_found, p1_pieces, p2_found, p2_persons, p3_found, p3_main_text, p4_found, p4_redacted, p4_restored, p5_found, p5_cleaned, p5_rebuilt,
         p6_found, p6_scored, p7_found, p7_matches, p8_containers, p9_found, p9_leaks, p10_found, p10_stats,
     ]
     return {f.__name__: f for f in found}
@@ -128,6 +140,7 @@ g AS (SELECT host, k FROM k WHERE length(k) >= 25 GROUP BY 1, 2 HAVING count(DIS
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": "SELECT DISTINCT id FROM extracted_content WHERE length(cleaned_text) > 4000",
+        "p4_restored": "SELECT id, md5(max(raw_text)) AS text_md5 FROM extracted_content WHERE id IS NOT NULL GROUP BY id",
         "p5_found": f"WITH {_P5_LINES} SELECT k.id, k.line_no FROM k JOIN g ON k.host = g.host AND k.k = g.k",
         "p5_cleaned": f"""WITH {_P5_LINES},
             c AS (SELECT DISTINCT k.id, k.line_no FROM k JOIN g ON k.host = g.host AND k.k = g.k),
