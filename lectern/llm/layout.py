@@ -46,11 +46,13 @@ class Node:
 
     __slots__ = ("attrs", "children", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
+    def __init__(self, tag: str, attrs: dict):
         self.tag, self.attrs, self.children = tag, attrs, []
 
     def visible(self) -> bool:
         a = self.attrs
+        if not a or (len(a) == 1 and "lines" in a):
+            return self.tag not in _HIDDEN
         style = (a.get("style") or "").replace(" ", "").lower()
         return not (self.tag in _HIDDEN or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style or _CLASS.search(f"{a.get('class') or ''} {a.get('id') or ''}"))
 
@@ -427,14 +429,14 @@ def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     raw = [s.replace("\r", "") for s in text.split("\n")]
     root = Node("body", {})
     kinds = elements(text, own, recurrent) if kinds is None else kinds
-    cells = {n: _ROW.split(raw[n].strip()) for n, k in kinds if k in ("main", "name")}
+    cells = {n: _ROW.split(raw[n].strip()) for n, k in kinds if k == "main" and ("|" in raw[n] or "\t" in raw[n] or "  " in raw[n])}
     region: Node | None = None
     lists: list[tuple[int, Node]] = []
     block: Node | None = None
     before = -1
 
     def leaf(parent: Node, tag: str, n: int, content: str) -> Node:
-        node = Node(tag, {"line": str(n)})
+        node = Node(tag, {"lines": [n]})
         node.children.append(content)
         parent.children.append(node)
         return node
@@ -442,19 +444,19 @@ def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     for i, (n, kind) in enumerate(kinds):
         tag = _REGION.get(kind, "article")
         if region is None or region.tag != tag:
-            region = Node(tag, {"hidden": ""} if kind in HIDDEN_KINDS else {})
+            region = Node(tag, {"hidden": "", "lines": []} if kind in HIDDEN_KINDS else {})
             root.children.append(region)
             lists, block = [], None
-        s = raw[n].strip("﻿ \t\xa0​")
         if n > before + 1:
             block = None
         before = n
+        if tag != "article":
+            region.attrs["lines"].append(n)
+            region.children += [raw[n], Node("br", {})]
+            continue
+        s = raw[n].strip("﻿ \t\xa0​")
         mark = _BULLET.match(raw[n])
-        if tag == "nav":
-            leaf(region, "li", n, s)
-        elif tag != "article":
-            leaf(region, "p", n, s)
-        elif kind == "name" or s.startswith("#") or (s.endswith(":") and len(s.split()) <= 6):
+        if kind == "name" or s.startswith("#") or (s.endswith(":") and len(s.split()) <= 6):
             lists, block = [], None
             leaf(region, "h1" if kind == "name" else "h2", n, s)
         elif mark:
@@ -469,13 +471,13 @@ def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int]
             leaf(lists[-1][1], "li", n, _BULLET.sub("", s))
         else:
             lists = []
-            width = len(cells[n])
-            near = [m for m, k in (kinds[i - 1] if i else (-9, ""), kinds[i + 1] if i + 1 < len(kinds) else (-9, "")) if k == "main" and abs(m - n) == 1 and not _BULLET.match(raw[m])]
-            if width > 1 and any(len(cells[m]) == width for m in near):
+            width = len(cells[n]) if n in cells else 1
+            near = [m for m, k in (kinds[i - 1] if i else (-9, ""), kinds[i + 1] if i + 1 < len(kinds) else (-9, "")) if k == "main" and abs(m - n) == 1 and not _BULLET.match(raw[m])] if width > 1 else []
+            if any(len(cells[m]) == width for m in near if m in cells):
                 if block is None or block.tag != "table" or block.attrs["width"] != str(width):
                     block = Node("table", {"width": str(width)})
                     region.children.append(block)
-                row = Node("tr", {"line": str(n)})
+                row = Node("tr", {"lines": [n]})
                 for c in cells[n]:
                     cell = Node("td", {})
                     cell.children.append(c)
@@ -483,11 +485,12 @@ def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int]
                 block.children.append(row)
             else:
                 if block is None or block.tag != "p":
-                    block = Node("p", {})
+                    block = Node("p", {"lines": []})
                     region.children.append(block)
                 if block.children:
                     block.children.append(Node("br", {}))
-                leaf(block, "span", n, s)
+                block.children.append(s)
+                block.attrs["lines"].append(n)
     return root
 
 
@@ -499,9 +502,8 @@ def lines_of(node: Node, hidden: bool = False) -> tuple[list[int], list[int]]:
     while work:
         e, out = work.pop()
         out = out or not e.visible()
-        if "line" in e.attrs:
-            (other if out else kept).append(int(e.attrs["line"]))
-        work.extend((c, out) for c in e.children if isinstance(c, Node))
+        (other if out else kept).extend(e.attrs.get("lines", ()))
+        work.extend((c, out) for c in e.children if isinstance(c, Node) and c.tag != "br")
     return sorted(kept), sorted(other)
 
 

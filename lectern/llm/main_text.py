@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from lectern.llm import layout, residue, templates
 from lectern.operators.dedup import one_per_key
+from lectern.session import spread
 
 
 def page_lines(pages: DataFrame, fetches: DataFrame | None = None, cut: float = residue.CUT, with_text: bool = False) -> DataFrame:
     """(id, main, other[, text]) of each page with content, once: line numbers of what its tree shows and hides[, the rendered text]."""
-    marked, numbers = templates.marked(pages.select("id", "profile_name", "title", "raw_text", "profile_url"))
-    model = pages.sparkSession.sparkContext.broadcast(residue.fit(marked, fetches, numbers=numbers))
+    pages = pages.select("id", "profile_name", "title", "raw_text", "profile_url")
+    lines = templates.Templates(pages)
+    numbers = lines.numbers()
+    model = pages.sparkSession.sparkContext.broadcast(residue.fit(pages, fetches, lines=lines))
     schema = "id string, main array<int>, other array<int>" + ", text string" * with_text
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -47,7 +50,7 @@ def page_lines(pages: DataFrame, fetches: DataFrame | None = None, cut: float =
                 rows.append(row)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return one_per_key(marked, "id").mapInPandas(run, schema)
+    return lines.mark(spread(one_per_key(pages, "id"))).drop("profile_url").mapInPandas(run, schema)
 
 
 def main_text(pages: DataFrame, fetches: DataFrame | None = None) -> DataFrame:

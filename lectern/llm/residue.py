@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from lectern.llm import templates
 from lectern.llm.layout import _POSITION, alike, elements, name_words
 from lectern.llm.quality import COMMON
+from lectern.session import spread
 
 BITS = 16
 MAX_TRAIN = 6000
@@ -71,10 +73,34 @@ seite nicht gefunden
 page introuvable
 undefined null object object
 status 500 message internal failure trace""".split("\n")
-_PHRASE = re.compile(
-    r"\b(?:404|not found|nothing at this address|could not be located|access denied|do not have permission|forbidden|410|gone|sign in|log ?in to|session .{0,40}expired|javascript|without scripts|has moved|redirected|not a robot|verify your browser|internal (?:server )?(?:error|failure)|broke on our side|temporarily unavailable|offline|unavailable in your region|certificate|not private|fatal:|warning:|index of|parent directory|not been filled in|not supplied|under construction|coming soon|zero results|could not find|did not work|lorem|ipsum|firstname|goes here|sample (?:person|biography)|placeholder|text to follow|tbd|undefined|object object|insert (?:biography|list))\b|\{\{|\$\{|%[A-Z_]+%|@@\w+@@|<\w+>|\"status\"|\[object|_{4,}|timeout|taken down|no encontrada|nicht gefunden|introuvable",
-    re.I,
-)
+# Phrases that tell such pages, as words, and signs of unfilled templates.
+_PHRASES = """404|not found|nothing at this address|could not be located|access denied|do not have permission|forbidden|410|gone|sign in|login to|log in to|session has expired|session expired|session timed out
+javascript|without scripts|has moved|redirected|not a robot|verify your browser|internal error|internal server error|internal failure|broke on our side|temporarily unavailable|offline|unavailable in your region
+certificate|not private|fatal:|warning:|index of|parent directory|not been filled in|not supplied|under construction|coming soon|zero results|could not find|did not work|lorem|ipsum|firstname|goes here
+sample person|sample biography|placeholder|text to follow|tbd|undefined|object object|insert biography|insert list|timeout|taken down|no encontrada|nicht gefunden|introuvable""".replace("\n", "|").split("|")
+_SIGNS = re.compile(r"\{\{|\$\{|%[a-z_]+%|@@\w+@@|<\w+>|\"status\"|\[object|_{4,}")
+
+
+def _phrase_automaton() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for p in _PHRASES:
+        a.add_word(p, len(p))
+    a.make_automaton()
+    return a
+
+
+_FOUND = _phrase_automaton()
+
+
+def phrase_hits(low: str) -> int:
+    """Occurrences of the phrases (as words) and signs in a text in lower case, the whole of it."""
+    hits = len(_SIGNS.findall(low))
+    for last, size in _FOUND.iter(low):
+        s, e = last - size + 1, last + 1
+        hits += not (s and low[s - 1].isalnum()) and not (low[e - 1].isalnum() and e < len(low) and low[e].isalnum())
+    return hits
+
+
 _WORD = re.compile(r"[^\W\d_]+|\d+|[{}$%<>@#\[\]]|_+")
 _KNOWN = frozenset(w for words in COMMON.values() for w in words)
 DENSE = 13
@@ -114,7 +140,8 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
         kinds = elements(body, own, recurrent)
     lines, named = left_over(body, kinds)
     rest = "\n".join(lines)
-    words = _WORD.findall(rest.lower())
+    low = rest.lower()
+    words = _WORD.findall(low)
     common = sum(map(_KNOWN.__contains__, words)) / max(len(words), 1)
     long = sum(1 for s in lines if len(s) >= 70)
     listed = sum(1 for s in lines if re.search(r"\b(?:19|20)\d\d\b|^\W*[A-Z]{3,4} \d{3}", s))
@@ -123,7 +150,7 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
     t = (title or "").strip().lower()
     own_title = any(w in own for w in name_words(t))
     named = named and any(alike(w, o) for s in lines if len(s) < 80 for w in name_words(s) for o in own)
-    hits = len(_PHRASE.findall(rest))
+    hits = phrase_hits(low)
     dense = np.asarray(
         [
             1.0,
@@ -210,15 +237,13 @@ def error_share(fetches: DataFrame) -> DataFrame:
     return fetches.select(who.alias("id"), (status >= 400).cast("int").alias("bad")).where("id is not null and bad is not null").groupBy("id").agg(F.avg("bad").alias("errors"))
 
 
-def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, numbers: Callable | None = None):
-    """(host, dense, grams, weak) of the pages with the least hashes of their id, at most ``max_train``.
-
-    ``pages`` may have been through :func:`lectern.llm.templates.marked`, which gave ``numbers``.
-    """
-    if numbers is None:
-        pages, numbers = templates.marked(pages)
+def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, lines: templates.Templates | None = None):
+    """(host, dense, grams, weak) of the pages with the least hashes of their id, at most ``max_train``."""
+    lines = lines or templates.Templates(pages)
+    numbers = lines.numbers()
     least = pages.select("id").where("id is not null").orderBy(F.xxhash64("id"), "id").limit(max_train).distinct()
-    sample = pages.join(F.broadcast(least), "id", "left_semi").groupBy("id").agg(F.max(F.struct("raw_text", "profile_name", "title", "profile_url", "_recurs")).alias("r")).select("id", "r.*")
+    columns = ["raw_text", "profile_name", "title", "profile_url"]
+    sample = lines.mark(pages.select("id", *columns).join(F.broadcast(least), "id", "left_semi").groupBy("id").agg(F.max(F.struct(*columns)).alias("r")).select("id", "r.*"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -237,8 +262,8 @@ def sample_rows(pages: DataFrame, fetches: DataFrame | None = None, max_train: i
     return [(r.host, np.asarray(r.dense), np.asarray(r.grams, dtype=np.int64), r.weak) for r in rows]
 
 
-def fit(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, numbers: Callable | None = None) -> Classifier | WeakLabels:
-    return train([r[1:] for r in sample_rows(pages, fetches, max_train, numbers)])
+def fit(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN, lines: templates.Templates | None = None) -> Classifier | WeakLabels:
+    return train([r[1:] for r in sample_rows(pages, fetches, max_train, lines)])
 
 
 def validate(rows, folds: int = 5) -> dict[str, float]:
@@ -260,16 +285,17 @@ def validate(rows, folds: int = 5) -> dict[str, float]:
 
 def scored(pages: DataFrame, fetches: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
     """(id, residue) of each record: the probability that it holds no content."""
-    marked, numbers = templates.marked(pages)
-    model = pages.sparkSession.sparkContext.broadcast(fit(marked, fetches, max_train, numbers))
+    lines = templates.Templates(pages)
+    numbers = lines.numbers()
+    model = pages.sparkSession.sparkContext.broadcast(fit(pages, fetches, max_train, lines))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             p = [model.value.score(*features(text, name, title, recurrent=numbers(r))) for text, name, title, r in zip(batch["raw_text"], batch["profile_name"], batch["title"], batch["_recurs"], strict=True)]
             yield pd.DataFrame({"id": batch["id"], "residue": p})
 
-    columns = marked.select("id", "profile_name", "title", "raw_text", "_recurs").where("id is not null")
-    return columns.mapInPandas(run, "id string, residue double").groupBy("id").agg(F.max("residue").alias("residue"))
+    columns = pages.select("id", "profile_name", "title", "raw_text", "profile_url").where("id is not null")
+    return lines.mark(spread(columns)).drop("profile_url").mapInPandas(run, "id string, residue double").groupBy("id").agg(F.max("residue").alias("residue"))
 
 
 def residue(pages: DataFrame, fetches: DataFrame | None = None, cut: float = CUT) -> DataFrame:

@@ -1,11 +1,13 @@
 """Lines that a site's template repeats, as evidence for the visibility of page elements.
 
 A line is known by its letters (lower case, without the site's own name, so that the
-same sentence of two sites is one). It recurs if it stands on ``PAGES`` pages of its
-site or, if short, on pages of ``SITES`` sites. Both are counts over all pages.
+same sentence of two sites is one). It recurs if it stands on the pages of ``PAGES``
+persons of its site or, if short, on pages of ``SITES`` sites. Both are counts over all
+pages; one person's text under several ids is no template.
 
 Defined cases: pages without address form one site; lines of fewer than ``LETTERS``
-letters, of one word or with more than a digit to four letters never recur; a page delivered twice counts once; empty tables
+letters, of one word or with more than a digit to four letters never recur; a page
+delivered twice counts once, pages without a person's name count by id; empty tables
 have no recurrent lines.
 """
 
@@ -25,25 +27,25 @@ PAGES, SITES, LETTERS = 8, 4, 12
 PROSE = 100
 
 
-def _keys(site: Column) -> Column:
-    """Per line a hash of its letters, 0 for one that is too short."""
+def _keyed(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``_site`` and ``_keys``: per line a hash of its letters, 0 for one that can't recur, negative for prose.
+
+    Each step is a projection of its own, so that a line is lowered, stripped and hashed once.
+    """
+    site = F.coalesce(F.regexp_extract(F.lower("profile_url"), r"^\s*(?:[a-z][a-z0-9+.-]*://)?([^/:?#]+)", 1), F.lit(""))
     own = F.regexp_extract(site, r"([^.-]{4,})(?:-[^.]*)?\.[^.]*$", 1)
-    plain = lambda s: F.regexp_replace(F.regexp_replace(F.replace(F.lower(s), own, F.lit("#")), r"[^\p{L}# ]+", ""), " +", " ")
-    long = lambda s: (F.length(F.regexp_replace(s, "[# ]", "")) >= LETTERS) & F.trim(s).contains(" ")
-    told = lambda l, s: long(s) & (F.regexp_count(l, F.lit("[0-9]")) * 4 <= F.length(s))
-    # the sign of the hash tells short lines (positive) from prose
-    def key(line: Column) -> Column:
-        letters = F.replace(plain(line), F.lit(" "), F.lit(""))
-        h = F.bitwise_not(F.lit(-(1 << 63)).cast("bigint")).bitwiseAND(F.xxhash64(letters))
-        return F.when(told(line, plain(line)), F.when(F.length(letters) <= PROSE, h).otherwise(-h)).otherwise(F.lit(0).cast("bigint"))
+    named = pages.withColumn("_at", site).withColumn("_own", own)
+    digits = lambda l: F.length(l) - F.length(F.translate(l, "0123456789", ""))
+    stripped = lambda l: F.regexp_replace(F.replace(F.lower(l), F.col("_own"), F.lit("#")), r"[^\p{L}#]+", "")
+    parts = F.transform(F.split("raw_text", "\n"), lambda l: F.struct(stripped(l).alias("p"), digits(l).alias("d"), F.trim(l).contains(" ").alias("w")))
+    sized = F.transform(parts, lambda x: F.struct(x["p"].alias("p"), F.length(F.translate(x["p"], "#", "")).alias("n"), x["d"].alias("d"), x["w"].alias("w")))
+    positive = F.lit((1 << 63) - 1).cast("bigint")
 
-    return F.transform(F.split("raw_text", "\n"), key)
+    def key(x: Column) -> Column:
+        h = positive.bitwiseAND(F.xxhash64(x["p"]))
+        return F.when(x["w"] & (x["n"] >= LETTERS) & (x["d"] * 4 <= x["n"]), F.when(x["n"] <= PROSE, h).otherwise(-h)).otherwise(F.lit(0).cast("bigint"))
 
-
-def _keyed(pages: DataFrame) -> DataFrame:
-    site = F.coalesce(F.regexp_extract(F.lower("profile_url"), r"^\s*(?:[a-z][a-z0-9+.-]*://)?([^/:?#]+)", 1), F.lit(""))
-    named = pages.withColumn("_site", site)
-    return named.withColumn("_keys", F.coalesce(_keys(F.col("_site")), F.array().cast("array<bigint>"))).withColumn("_site", F.xxhash64("_site"))
+    return named.withColumn("_keys", F.coalesce(F.transform(sized, key), F.array().cast("array<bigint>"))).withColumn("_site", F.xxhash64("_at")).drop("_at", "_own")
 
 
 def _own(site: Column, key: Column) -> Column:
@@ -52,41 +54,51 @@ def _own(site: Column, key: Column) -> Column:
 
 def recurrent_keys(keyed: DataFrame) -> DataFrame:
     """(key) of the lines that recur: the line's hash, or that of site and line for lines of one site."""
-    rows = keyed.where("id is not null").select("id", "_site", F.explode(F.array_distinct("_keys")).alias("k")).where("k <> 0")
-    by_site = rows.groupBy("_site", "k", "id").agg(F.lit(1).alias("one")).groupBy("_site", "k").agg(F.sum("one").alias("n"))
+    person = F.coalesce(F.lower(F.trim("profile_name")), "id") if "profile_name" in keyed.columns else F.col("id")
+    rows = keyed.where("id is not null").select(F.xxhash64(person).alias("who"), "_site", F.explode(F.array_distinct("_keys")).alias("k")).where("k <> 0")
+    by_site = rows.groupBy("_site", "k", "who").agg(F.lit(1).alias("one")).groupBy("_site", "k").agg(F.sum("one").alias("n"))
     by_site = stored(by_site, "p3-lines")
     here = by_site.where(F.col("n") >= PAGES).select(_own(F.col("_site"), F.col("k")).alias("key"))
     everywhere = by_site.where("k > 0").groupBy("k").agg(F.count("*").alias("sites")).where(F.col("sites") >= SITES).select(F.col("k").alias("key"))
     return here.unionByName(everywhere).distinct()
 
 
-def marked(pages: DataFrame) -> tuple[DataFrame, Callable]:
-    """``pages`` with a column ``_recurs``, and a function from its value to the set of recurrent line numbers.
-
-    The recurrent lines are few beside the lines, so their hashes usually are held by
-    every task; their size is checked, and beyond the bound the pages' lines are joined
-    with them instead.
-    """
-    pages = spread(pages)
-    keyed = _keyed(pages)
-    keys = stored(recurrent_keys(keyed), "p3-recurrent")
-    if keys.count() * 8 <= BROADCAST_BYTES:
-        held = np.sort(np.asarray([r.key for r in keys.collect()], dtype=np.int64))  # at most BROADCAST_BYTES
-        shared = pages.sparkSession.sparkContext.broadcast(held)
-        both = F.concat(F.col("_keys"), F.transform("_keys", lambda k: _own(F.col("_site"), k)))
-
-        def numbers(value) -> set[int]:
-            known = shared.value
-            v = np.asarray(value, dtype=np.int64)
+class Templates:
+    """The recurrent lines of ``pages``, counted once, and what of them any part of the pages has."""
+
+    def __init__(self, pages: DataFrame):
+        self.keys = stored(recurrent_keys(_keyed(spread(pages))), "p3-recurrent")
+        self.held = self.keys.count() * 8 <= BROADCAST_BYTES
+        known = np.sort(np.asarray([r.key for r in self.keys.collect()], dtype=np.int64)) if self.held else None  # at most BROADCAST_BYTES
+        self.shared = pages.sparkSession.sparkContext.broadcast(known)
+
+    def mark(self, pages: DataFrame) -> DataFrame:
+        """``pages`` with a column ``_recurs``, which :meth:`numbers` reads.
+
+        The recurrent lines are few beside the lines, so their hashes usually are held by
+        every task; their size is checked, and beyond the bound the pages' lines are
+        joined with them instead.
+        """
+        keyed = _keyed(pages)
+        if self.held:
+            return keyed.withColumn("_recurs", F.concat(F.col("_keys"), F.transform("_keys", lambda k: _own(F.col("_site"), k)))).drop("_keys", "_site")
+        lines = keyed.select("id", "_site", F.posexplode("_keys").alias("line_no", "k")).where("k <> 0")
+        tries = lines.select("id", "line_no", F.explode(F.array(F.col("k"), _own(F.col("_site"), F.col("k")))).alias("key"))
+        found = sized_semi_join(tries, self.keys, ["key"]).groupBy("id").agg(F.collect_set(F.col("line_no").cast("bigint")).alias("_recurs"))
+        return keyed.drop("_keys", "_site").join(found, "id", "left")
+
+    def numbers(self) -> Callable:
+        """A function from a value of ``_recurs`` to the set of recurrent line numbers, for use in tasks."""
+        if not self.held:
+            return lambda value: set() if value is None else set(value)
+        shared = self.shared
+
+        def read(value) -> set[int]:
+            known, v = shared.value, np.asarray(value, dtype=np.int64)
             if not len(known) or not len(v):
                 return set()
             hit = known[np.minimum(np.searchsorted(known, v), len(known) - 1)] == v
             half = len(v) // 2
             return set(np.flatnonzero((hit[:half] | hit[half:]) & (v[:half] != 0)).tolist())
 
-        return keyed.withColumn("_recurs", both).drop("_keys", "_site"), numbers
-    lines = keyed.select("id", "_site", F.posexplode("_keys").alias("line_no", "k")).where("k <> 0")
-    tries = lines.select("id", "line_no", F.explode(F.array(F.col("k"), _own(F.col("_site"), F.col("k")))).alias("key"))
-    found = sized_semi_join(tries, keys, ["key"]).groupBy("id").agg(F.collect_set(F.col("line_no").cast("bigint")).alias("_recurs"))
-    joined = keyed.drop("_keys", "_site").join(found, "id", "left")
-    return joined, lambda value: set() if value is None else set(value)
+        return read

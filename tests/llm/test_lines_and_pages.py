@@ -133,16 +133,16 @@ def test_recurrent_lines_are_hidden_without_any_phrase(spark):
 
     rows = [(f"p{n}", f"https://a-u.example/{n}", page(n)) for n in range(8)] + [("q", "https://b.example/", "Wander our halls with a brass lantern tonight\nx"), ("n", None, None)]
     pages = spark.createDataFrame(rows + rows[:1], "id string, profile_url string, raw_text string")
-    marked, numbers = templates.marked(pages)
-    got = {r.id: numbers(r._recurs) for r in marked.collect()}
+    lines = templates.Templates(pages)
+    got = {r.id: lines.numbers()(r._recurs) for r in lines.mark(pages).collect()}
     assert 0 in got["p1"] and 4 not in got["p1"] and got["q"] == set() and got["n"] == set()
     kept, other = layout.main_lines(page(3), ["ann", "lee"], got["p3"])
     assert other == [0] and kept == [1, 2, 3, 4, 5, 6]
     # beyond the bound of what tasks hold, lines are joined instead: the same numbers
     templates.BROADCAST_BYTES, held = 0, templates.BROADCAST_BYTES
     try:
-        marked, numbers = templates.marked(pages)
-        assert {r.id: numbers(r._recurs) for r in marked.collect()} == got
+        lines = templates.Templates(pages)
+        assert {r.id: lines.numbers()(r._recurs) for r in lines.mark(pages).collect()} == got
     finally:
         templates.BROADCAST_BYTES = held
 
