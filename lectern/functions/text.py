@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 # Stop words that tell a language.
 STOPWORDS = {
-    "en": "the and of to in is that for it as was with be by on are this at from or an which his her their has have were not".split(),
+    "en": "the and of to in for on with as by at from that this it is are was were be been or an a but if then so than which who whom their there these those its into about".split(),
     "fr": "le la les et de des du un une que qui pour dans sur avec par ses son sa est sont ce ces cette au aux ne pas plus comme".split(),
     "es": "el la los las y de del que en un una por con para como es son su sus no se lo le al este esta".split(),
     "de": "der die das und ist sind ein eine von zu mit den des dem im auf fur nicht auch wird war als".split(),
 }
 
 # Lines of page chrome.
-BOILERPLATE = "cookie|privacy|terms of|all rights reserved|copyright|subscribe|sign in|log in|skip to|newsletter|follow us|share this|menu|navigation"
+BOILERPLATE = r"\bprivacy\b|\bterms\b|\bcookies?\b|\ball rights reserved\b|\bsubscribe\b|\blog\s*in\b|\bmenu\b|\bskip to content\b|\bback to top\b"
+# Lines that are no title.
+TITLE_NOISE = r"^(?:loading|sign in|log in|search\b|menu|skip to content|cookie|shopping basket|shopping cart|home page|return to top|back to top|site archived|=== ?profile page|=== ?seed url)"
 NOISE = "access to this page has been denied|verify you are human|captcha|cloudflare|attention required|press & hold|press and hold|confirm you are a human|checking your browser|proof of work|security check|not a bot|access denied"
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -128,7 +130,7 @@ def ngrams(words: Column, n: int) -> Column:
 
 def title_of(text: Column, most: int = 120) -> Column:
     """The first line that may be a title: four characters at least and no page chrome."""
-    fit = F.filter(lines_of(text), lambda s: (F.length(s) >= 4) & ~F.lower(s).rlike("^(loading|sign in|log in|search|menu|skip to|cookie|home page|return to top|back to top)"))
+    fit = F.filter(lines_of(text), lambda s: (F.length(s) >= 4) & ~F.lower(s).rlike(TITLE_NOISE))
     return F.coalesce(F.rtrim(F.substring(F.try_element_at(fit, F.lit(1)), 1, most)), F.lit(""))
 
 

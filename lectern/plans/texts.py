@@ -146,7 +146,7 @@ def q09_curation_funnel(docs):
 
 
 @R.query(
-    rf"""WITH c AS (SELECT doc_id, list_filter({_LINES}, lambda s: length(s) >= 4 AND NOT regexp_matches(lower(s), '^(loading|sign in|log in|search|menu|skip to|cookie|home page|return to top|back to top)')) AS l FROM documents)
+    rf"""WITH c AS (SELECT doc_id, list_filter({_LINES}, lambda s: length(s) >= 4 AND NOT regexp_matches(lower(s), '^(loading|sign in|log in|search\b|menu|skip to content|cookie|shopping basket|shopping cart|home page|return to top|back to top|site archived|=== ?profile page|=== ?seed url)')) AS l FROM documents)
     SELECT doc_id, coalesce(rtrim(substr(l[1], 1, 120)), '') AS derived_title FROM c""",
     "documents",
 )
