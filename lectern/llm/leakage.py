@@ -24,7 +24,8 @@ that of the other passages.
 
 Defined cases: null and empty texts have no passage; items with fewer words than
 ``run`` have no run to share; repeated documents are each reported (by id, once);
-repeated items likewise; without items or documents there are no rows.
+repeated items likewise; without items or documents there are no rows; items beyond
+``BLOCK_CHARS`` are taken in blocks, words counting as an item's own over all of them.
 """
 
 from __future__ import annotations
@@ -44,8 +45,10 @@ RUN, WINDOW, STEP = 13, 20, 8
 RANK, OVERSAMPLE, POWER, SEED = 64, 16, 1, 20240229
 #: Least cosine of a passage and an item window that are compared word by word.
 NEAR = 0.3
-#: Characters of item text up to which the items are held by every task (a stated query set).
-MAX_ITEM_CHARS = 20_000_000
+#: Characters of item text that every task holds at once; more items are taken in blocks.
+BLOCK_CHARS = 4_000_000
+#: Item windows that a block of passages is compared with at once.
+TARGETS = 16_384
 #: Items that may share a word for it to count as one item's own, and the share and number of a window's own words that a paraphrase keeps.
 OWN, OWN_SHARE, OWN_LEAST = 2, 0.5, 2
 _WORD = re.compile(r"[^\W_]+")
@@ -59,7 +62,8 @@ def words(text: str | None) -> list[str]:
 class Items:
     """The evaluation items: vocabulary, windows, and the runs of each."""
 
-    def __init__(self, rows: list[tuple[int, str]], run: int = RUN, window: int = WINDOW, step: int = STEP):
+    def __init__(self, rows: list[tuple[int, str]], run: int = RUN, window: int = WINDOW, step: int = STEP, common: frozenset[str] = frozenset()):
+        """``common`` are words that more than ``OWN`` items hold, those of other blocks counted."""
         self.run = run
         self.ids = [i for i, _ in rows]
         self.vocabulary: dict[str, int] = {}
@@ -70,6 +74,7 @@ class Items:
         held = np.zeros(len(self.vocabulary), dtype=np.int64)
         for t in self.texts:
             held[np.unique(t)] += 1
+        held[[n for w, n in self.vocabulary.items() if w in common]] = OWN + 1
         #: Of each word whether at most ``OWN`` items hold it, and those items (else -1).
         self.rare = held <= OWN
         self.holders = np.full((len(self.vocabulary), OWN), -1, dtype=np.int64)
@@ -278,13 +283,26 @@ def leaks(docs: DataFrame, items_df: DataFrame, run: int = RUN, near: float = NE
     of the item share a subsequence of ``least_lcs`` of the latter and enough of its own
     words.
     """
+    stated = items_df.where("item_text is not null and item_id is not null").select(F.col("item_id").cast("bigint"), "item_text").distinct()
+    chars = stated.agg(F.sum(F.length("item_text").cast("bigint"))).first()[0] or 0
+    blocks = 1 + chars // BLOCK_CHARS
+    common = None
+    if blocks > 1:
+        stated = stored(stated.withColumn("_words", F.array_distinct(F.regexp_extract_all(F.lower("item_text"), F.lit(r"([\p{L}\p{N}]+)"), 1))), "p9-items")
+        common = stored(stated.select("item_id", F.explode("_words").alias("w")).groupBy("w").agg(F.countDistinct("item_id").alias("n")).where(F.col("n") > OWN).select("w"), "p9-common")
+    found = None
+    for b in range(blocks):
+        block = stated.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+        words_of = frozenset() if common is None else frozenset(r.w for r in block.select(F.explode("_words").alias("w")).distinct().join(common, "w").collect())  # words of one block
+        items = Items(sorted((r.item_id, r.item_text) for r in block.select("item_id", "item_text").collect()), run, common=words_of)  # a stated query set, a block of it
+        part = _leaks_of_block(docs, items, run, near, rank, paraphrases, least_lcs)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _leaks_of_block(docs: DataFrame, items: Items, run: int, near: float, rank: int, paraphrases: bool, least_lcs: float) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id bigint, cosine double, run_hits bigint, lcs_share double"
-    stated = items_df.where("item_text is not null and item_id is not null").select(F.col("item_id").cast("bigint"), "item_text").distinct()
-    if (stated.agg(F.sum(F.length("item_text"))).first()[0] or 0) > MAX_ITEM_CHARS:
-        raise ValueError("too many evaluation items for one call; pass them in blocks")
-    rows = sorted((r.item_id, r.item_text) for r in stated.collect())  # the stated query set, of checked size
-    items = Items(rows, run)
     if not items.windows:
         return docs.sparkSession.createDataFrame([], schema)
     least = max(1, math.ceil(least_lcs * run - 1e-9)) if paraphrases else 0
@@ -309,11 +327,15 @@ def leaks(docs: DataFrame, items_df: DataFrame, run: int = RUN, near: float = NE
                 ids = batch["doc_id"].iloc[a : a + 1024].to_numpy()
                 row, term, value = _rows(part, idf)
                 z = unit(_times(len(part), row, term, value, basis)).astype(np.float32)
-                cosine = z @ targets.T
-                which, window = np.nonzero(cosine >= near)
+                near_ones = []
+                for t in range(0, len(targets), TARGETS):
+                    cosine = z @ targets[t : t + TARGETS].T
+                    which, window = np.nonzero(cosine >= near)
+                    near_ones.append((which, window + t, cosine[which, window]))
+                which, window, value = (np.concatenate(x) for x in zip(*near_ones, strict=True))
                 if not len(which):
                     continue
-                pair = pd.DataFrame({"p": which, "item": items.owner[window], "w": window, "c": cosine[which, window]})
+                pair = pd.DataFrame({"p": which, "item": items.owner[window], "w": window, "c": value})
                 best = pair.loc[pair.groupby(["p", "item"], sort=False)["c"].idxmax()]
                 owners = {}
                 for p in best["p"].unique():

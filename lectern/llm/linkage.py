@@ -3,9 +3,11 @@
 A cascade of rules, each an exact join on a weaker combination of attributes than the
 one before. What a pass resolved is out of the next ones: those join what is left of
 either side with the whole of the other, so a record that has found one partner can
-still be found by another that hasn't. The confidence of a rule is its
-precision on labelled pairs, smoothed: a pair is labelled where both sides tell a
-department that the rule doesn't use, and it is right where they agree.
+still be found by another that hasn't. The confidence of a rule is its precision on
+labelled pairs, smoothed: on what the rule would accept if one field that it doesn't
+use weren't told (the department, or the middle initial for rules that use the
+department), a pair is labelled where both sides tell the field, and right where they
+agree.
 
 Attributes: given name in full or as initial, family name (as typed, folded), its
 one-letter deletions (an exact join on them pairs names one edit apart), institution
@@ -121,16 +123,17 @@ def _numbered(n: int):
     return lambda k: F.struct(F.lit(n).alias("rule"), k.alias("key"))
 
 
-def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str, with_dept: bool = True) -> DataFrame:
+def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str) -> DataFrame:
     """``side`` once for each rule and join key that it has, with its columns marked.
 
-    Parts that are blank give no key. Without ``with_dept`` the department is left out
-    of the keys.
+    Parts that are blank give no key. A rule without institution only joins pairs of
+    which one side tells none: such keys end with the side that is blank, so records of
+    two different institutions never meet, however common their name.
     """
     sep = F.lit("\x1f")
     keys = []
     for n, (_, parts, _) in enumerate(rules):
-        used = [p for p in parts if with_dept or p != "dept"]
+        used = parts
         plain = [p for p in used if p != "edit"]
         told = F.lit(True)
         for p in plain:
@@ -139,27 +142,38 @@ def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str,
             told = told & (F.length("given") > 1)
         base = F.concat_ws("\x1f", *plain)
         made = F.transform("edits", _after(base, sep)) if "edit" in used else F.array(base)
+        if "inst" not in used:
+            other = "b" if mark == "a" else "a"
+            # with this side blank every record of the other meets it; a told one only meets a blank one
+            ends = F.when(F.coalesce(F.col("inst"), F.lit("")) == "", F.array(F.lit(mark), F.lit(other))).otherwise(F.array(F.lit(other)))
+            made = F.transform(ends, _after(base, sep))
         keys.append(F.when(told, F.transform(made, _numbered(n))).otherwise(F.array().cast("array<struct<rule:int,key:string>>")))
     rows = side.withColumn("_k", F.explode(F.concat(*keys)))
     return rows.select(F.col("_k.rule").alias("rule"), F.col("_k.key").alias("_key"), *[F.col(c).alias(f"{mark}_{c}") for c in ("key", "given", "initial", "middle", "family", "inst", "dept")])
 
 
-def _agree() -> Column:
-    """Nothing that both sides tell contradicts.
+def _free(c: str) -> Column:
+    """Whether a field contradicts no match: not told on a side, or equal."""
+    return (F.col(f"a_{c}") == "") | (F.col(f"b_{c}") == "") | (F.col(f"a_{c}") == F.col(f"b_{c}"))
 
-    A caption's department speaks against a match only where no institution speaks for
-    it; a given name that no list knows may be a misspelt one.
-    """
 
-    def free(c: str) -> Column:
-        return (F.col(f"a_{c}") == "") | (F.col(f"b_{c}") == "") | (F.col(f"a_{c}") == F.col(f"b_{c}"))
+def _told(c: str) -> Column:
+    return (F.col(f"a_{c}") != "") & (F.col(f"b_{c}") != "")
+
 
+def _names_agree() -> Column:
+    """No contradiction of given names or institutions; a given name that no list knows may be a misspelt one."""
     known = sorted(person._GIVEN)
     both_known = F.col("a_given").isin(known) & F.col("b_given").isin(known)
     part = F.array_contains(F.split("a_given", "-"), F.col("b_given")) | F.array_contains(F.split("b_given", "-"), F.col("a_given"))
     given = (F.length("a_given") < 2) | (F.length("b_given") < 2) | (F.col("a_given") == F.col("b_given")) | ~both_known | part
     initial = (F.col("a_initial") == F.col("b_initial")) | (F.col("a_initial") == "") | (F.col("b_initial") == "")
-    return free("middle") & free("inst") & given & initial & (free("dept") | ((F.col("a_inst") != "") & (F.col("b_inst") != "")))
+    return _free("inst") & given & initial
+
+
+def _departments_agree() -> Column:
+    """A caption's department speaks against a match only where no institution speaks for it."""
+    return _free("dept") | _told("inst")
 
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:
@@ -172,13 +186,18 @@ def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str],
     that record by the rule share one institution, an initial (unless the department is
     in the key) only where the full names that it may stand for are one.
     """
-    hits = _keyed(left, rules, "a").join(_keyed(right, rules, "b"), ["rule", "_key"]).where(_agree())
     weak = [n for n, (_, parts, _) in enumerate(rules) if "inst" not in parts]
     short = [n for n, (_, parts, _) in enumerate(rules) if "initial" in parts and "dept" not in parts]
-    hits = hits.where(~F.col("rule").isin(weak) | (F.col("a_inst") == "") | (F.col("b_inst") == ""))
-    hits = stored(hits.select("rule", *[f"{s}_{c}" for s in "ab" for c in ("key", "given", "inst")]).distinct(), "p7-hits")
+    by_dept = [n for n, (_, _, d) in enumerate(rules) if d]
+    hits = _keyed(left, rules, "a").join(_keyed(right, rules, "b"), ["rule", "_key"]).where(_names_agree())
+    uses = F.col("rule").isin(by_dept)
+    fits = _free("middle") & _departments_agree()
+    # the field held out of each rule tells whether the pair is right
+    label = F.when(uses & _told("middle"), F.col("a_middle") == F.col("b_middle")).when(~uses & _free("middle") & _told("dept"), F.col("a_dept") == F.col("b_dept"))
+    every = stored(hits.select("rule", *[f"{s}_{c}" for s in "ab" for c in ("key", "given", "inst")], fits.alias("fits"), label.alias("label")).where("fits or label is not null").distinct(), "p7-hits")
+    hits = every.where("fits")
     whole = {s: F.when(F.length(f"{s}_given") > 1, F.col(f"{s}_given")) for s in "ab"}
-    kept = hits
+    kept = every
     for side, other in (("a", "b"), ("b", "a")):
         doubt = (
             hits.where(F.col("rule").isin(weak + short))
@@ -193,28 +212,21 @@ def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str],
             .where((F.col("rule").isin(weak) & (F.col("low") != F.col("high"))) | (F.col("rule").isin(short) & (F.col("size") < 2) & (F.col("least") != F.col("most"))))
         )
         kept = kept.join(doubt.select("rule", f"{side}_key"), ["rule", f"{side}_key"], "left_anti")
-    kept = stored(kept.select("rule", F.col("a_key").alias("a"), F.col("b_key").alias("b")), "p7-kept")
+    sure = stored(kept.select("rule", F.col("a_key").alias("a"), F.col("b_key").alias("b"), "fits", "label"), "p7-kept")
+    kept = sure.where("fits").select("rule", "a", "b")
     first = {c: kept.groupBy(c).agg(F.min("rule").alias(f"first_{c}")) for c in "ab"}
     open_still = kept.join(first["a"], "a").join(first["b"], "b").where((F.col("rule") == F.col("first_a")) | (F.col("rule") == F.col("first_b")))
     pairs = open_still.groupBy("a", "b").agg(F.min("rule").alias("rule"))
     titles = F.array(*[F.lit(name) for name, _, _ in rules])
-    return pairs.join(F.broadcast(precisions(left, right, rules)), "rule").withColumn("rule_name", F.element_at(titles, F.col("rule") + 1))
-
+    return pairs.join(F.broadcast(precisions(sure, rules)), "rule").withColumn("rule_name", F.element_at(titles, F.col("rule") + 1))
 
-def precisions(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:
-    """(rule, right, labelled, confidence): smoothed precision of each rule on labelled pairs.
 
-    The pairs are those of the rule's key less the department, before departments are
-    compared; a pair is labelled if both departments are told and right if they agree.
-    """
-    hits = _keyed(left.where("dept <> ''"), rules, "a", with_dept=False).join(_keyed(right.where("dept <> ''"), rules, "b", with_dept=False), ["rule", "_key"])
-    counted = hits.groupBy("rule").agg(F.count("*").alias("labelled"), F.sum((F.col("a_dept") == F.col("b_dept")).cast("bigint")).alias("right"))
-    every = left.sparkSession.range(len(rules)).select(F.col("id").cast("int").alias("rule"))
+def precisions(pairs: DataFrame, rules: list[tuple[str, list[str], bool]] = RULES) -> DataFrame:
+    """(rule, right, labelled, confidence): smoothed precision of each rule on its labelled pairs."""
+    counted = pairs.where("label is not null").groupBy("rule").agg(F.count("*").alias("labelled"), F.count_if("label").alias("right"))
+    every = pairs.sparkSession.range(len(rules)).select(F.col("id").cast("int").alias("rule"))
     counted = every.join(counted, "rule", "left").select("rule", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("right", F.lit(0)).alias("right"))
-    sure = F.element_at(F.array(*[F.lit(d) for _, _, d in rules]), F.col("rule") + 1)
-    plain = (F.col("right") + PRIOR_RIGHT) / (F.col("labelled") + PRIOR_RIGHT + PRIOR_WRONG)
-    # a rule with the department in its key leaves out the pairs on which it was wrong; a quarter of the doubt remains
-    return counted.select("rule", "right", "labelled", F.round(F.when(sure, 1 - (1 - plain) / 4).otherwise(plain), 4).alias("confidence"))
+    return counted.select("rule", "right", "labelled", F.round((F.col("right") + PRIOR_RIGHT) / (F.col("labelled") + PRIOR_RIGHT + PRIOR_WRONG), 4).alias("confidence"))
 
 
 def matches(image: DataFrame, decision: DataFrame, inst: DataFrame) -> DataFrame:

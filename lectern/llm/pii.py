@@ -66,7 +66,8 @@ _AFTER = re.compile(rf"((?:{_GAP}(?:[{_UP}]\.(?:-[{_UP}]\.)?|[{_UP}](?=[ \xa0]))
 _INITIALS = re.compile(rf"(?<![\w.&@-])([{_UP}]\.(?:[ \xa0-]?[{_UP}]\.){{0,3}})[ \xa0]+({_FAMILY})")
 _INITIALS_AFTER = re.compile(rf"(?:{_GAP}[{_UP}]\.?(?![\w]))+")
 _ONE_FAMILY = re.compile(_FAMILY)
-_TITLED = re.compile(rf"(?:\b(?:Prof|Professor|Dr|Doctor|Mr|Mrs|Ms|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?|Doña|Don)\b\.?{_GAP}|\b[Cc]ontact:?{_GAP}|\b[Ss]upervis(?:or|ed by):?{_GAP})((?:{_FAMILY}{_GAP}){{1,3}}{_FAMILY})(?:(?:{_GAP}(?:and|or|und|et|y|ou|oder)|,){_GAP}((?:{_FAMILY}{_GAP}){{1,3}}{_FAMILY}))?")
+_ONE_GAP = r"[ \xa0]"
+_TITLED = re.compile(rf"(?:\b(?:Prof|Professor|Dr|Doctor|Mr|Mrs|Ms|Herr|Frau|Mme|Monsieur|Madame|Señora?|Sra?|Doña|Don)\b\.?{_ONE_GAP}|\b[Cc]ontact:?{_ONE_GAP}|\b[Ss]upervis(?:or|ed by):?{_ONE_GAP})((?:{_FAMILY}{_ONE_GAP}){{1,3}}{_FAMILY})(?:(?:{_ONE_GAP}(?:and|or|und|et|y|ou|oder)|,){_ONE_GAP}((?:{_FAMILY}{_ONE_GAP}){{1,3}}{_FAMILY}))?")
 _LAST_INITIAL = re.compile(rf"(?m)^[^\w\n]*(?:(?:Prof|Dr|Professor|Doctor)\.?[ ]+)*({_FAMILY}[ ]?,[ ]?[{_UP}]\.(?:[ ]?[{_UP}]\.)*)[ ]*\r?$")
 
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?|[ ]dot[ ])"

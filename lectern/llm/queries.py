@@ -28,6 +28,17 @@ def p1_pieces(spark, d):
     return segment.pieces(_pages(spark, d))
 
 
+def p1_cover(spark, d):
+    """Of each text what its pieces cover, overlaps counted once, and whether each keeps the limits."""
+    found = segment.pieces(_pages(spark, d)).groupBy("id").agg(
+        F.sum((F.col("end") - F.col("start") - F.col("overlap")).cast("bigint")).alias("chars"),
+        ((F.max(F.length("piece")) <= segment.LIMIT) & (F.max("overlap") <= segment.OVERLAP) & (F.min("start") == 0)).alias("fits"),
+        (F.count("*") > 1).alias("cut"),
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_no", F.expr("substring(piece, overlap + 1)").alias("p")))), lambda x: x["p"]), "")).alias("text_md5"),
+    )
+    return found
+
+
 def _p2_tables(spark, d):
     return _meta(spark, d), read_table(spark, d, "match_decision"), read_table(spark, d, "institution")
 
@@ -104,6 +115,17 @@ def p8_containers(spark, d):
     return packing.pack(packing.token_counts(read_table(spark, d, "documents")))
 
 
+def p8_invariants(spark, d):
+    """What holds of any packing: each document once, nothing over the capacity, no text cut that fits, little room left."""
+    docs = read_table(spark, d, "documents")
+    packed = packing.pack(packing.token_counts(docs))
+    loads = packed.where("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("load"), F.count("*").alias("n"))
+    whole = loads.agg(F.max("load").alias("most"), (F.sum("load") / F.count("*") / packing.CAPACITY).alias("fill"))
+    each = packed.groupBy("doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("tokens"))
+    cut = each.agg(F.count("*").alias("docs"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= packing.CAPACITY)).alias("needless_cuts"))
+    return cut.crossJoin(whole).select("docs", "needless_cuts", (F.col("most") <= packing.CAPACITY).alias("fits"), (F.col("fill") >= 0.99).alias("full"))  # one row each
+
+
 def p9_found(spark, d):
     return leakage.leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_item")).select("doc_id", "item_id")
 
@@ -123,8 +145,8 @@ def p10_stats(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        p1_found, p1_pieces, p2_found, p2_persons, p3_found, p3_main_text, p4_found, p4_redacted, p4_restored, p5_found, p5_cleaned, p5_rebuilt,
-        p6_found, p6_scored, p7_found, p7_matches, p8_containers, p9_found, p9_leaks, p10_found, p10_stats,
+        p1_found, p1_pieces, p1_cover, p2_found, p2_persons, p3_found, p3_main_text, p4_found, p4_redacted, p4_restored, p5_found, p5_cleaned, p5_rebuilt,
+        p6_found, p6_scored, p7_found, p7_matches, p8_containers, p8_invariants, p9_found, p9_leaks, p10_found, p10_stats,
     ]
     return {f.__name__: f for f in found}
 
@@ -140,6 +162,8 @@ g AS (SELECT host, k FROM k WHERE length(k) >= 25 GROUP BY 1, 2 HAVING count(DIS
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": "SELECT DISTINCT id FROM extracted_content WHERE length(cleaned_text) > 4000",
+        "p1_cover": "SELECT id, length(max(cleaned_text)) AS chars, true AS fits, length(max(cleaned_text)) > 4000 AS cut, md5(max(cleaned_text)) AS text_md5 FROM extracted_content WHERE id IS NOT NULL AND cleaned_text IS NOT NULL GROUP BY id",
+        "p8_invariants": "SELECT count(DISTINCT doc_id) AS docs, 0::BIGINT AS needless_cuts, true AS fits, true AS full FROM documents",
         "p4_restored": "SELECT id, md5(max(raw_text)) AS text_md5 FROM extracted_content WHERE id IS NOT NULL GROUP BY id",
         "p5_found": f"WITH {_P5_LINES} SELECT k.id, k.line_no FROM k JOIN g ON k.host = g.host AND k.k = g.k",
         "p5_cleaned": f"""WITH {_P5_LINES},

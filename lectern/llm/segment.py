@@ -10,8 +10,8 @@ start.
 Defined cases: null and empty texts, and texts of at most ``limit`` code points,
 give one piece (none for null); units longer than a window are cut at white space,
 else at ``limit``, never before a combining mark or joiner; equal depths take the
-stronger and then the later boundary; a repeated row gives its pieces once; extra
-columns are ignored. Pieces cover every character of the text.
+stronger and then the later boundary; a repeated row gives its pieces once, and of
+different texts of one id the greatest gives all pieces; extra columns are ignored. Pieces cover every character of the text.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.dedup import one_per_key
 from lectern.session import spread
 
 LIMIT, OVERLAP = 4000, 200
@@ -148,12 +149,12 @@ def pieces_of(texts: DataFrame, text: str = "cleaned_text", limit: int = LIMIT,
 
 
 def pieces(texts: DataFrame, text: str = "cleaned_text", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """Pieces of every text: oversized ones cut, the others as one piece; each row once."""
-    short = texts.where((F.length(text) <= limit) & F.col("id").isNotNull()).select(
+    """Pieces of every text: oversized ones cut, the others as one piece. Of several texts of one id the greatest is cut."""
+    one = one_per_key(texts.select("id", text), "id")
+    short = one.where(F.length(text) <= limit).select(
         "id", F.lit(0).alias("piece_no"), F.lit(0).alias("start"), F.length(text).alias("end"), F.lit(0).alias("overlap"), F.lit(1).alias("n_pieces"), F.col(text).alias("piece")
     )
-    both = pieces_of(texts, text, limit, overlap).unionByName(short)
-    return both.groupBy("id", "piece_no").agg(F.max(F.struct("start", "end", "overlap", "n_pieces", "piece")).alias("p")).select("id", "piece_no", "p.*")
+    return pieces_of(one, text, limit, overlap).unionByName(short)
 
 
 def oversized(texts: DataFrame, text: str = "cleaned_text", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:

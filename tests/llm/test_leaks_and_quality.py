@@ -115,3 +115,18 @@ def test_not_prose(spark):
     assert abs(sum(r[f"{s}_part"] for s in quality.STATS) - r.distance) < 1e-6 * max(1, r.distance)
     assert quality.not_prose(d.limit(0), lab).count() == 0
     assert {r.doc_id for r in quality.not_prose(d, lab.limit(0)).collect()} == {200, 201, 204}
+
+
+def test_items_in_blocks_give_the_same(spark, monkeypatch):
+    words = [f"{a}{b}" for a in ("lake", "river", "glass", "stone", "wind", "moss") for b in ("a", "e", "i", "o", "u", "y")]
+    rng = np.random.default_rng(7)
+    items = [(n, " ".join(rng.choice(words, 30))) for n in range(8)]
+    docs = [(n, "before that came " + " ".join(items[n % 8][1].split()[5:20]) + " and so on") for n in range(16)] + [(99, "nothing of it"), (100, None)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    for paraphrases in (False, True):
+        whole = {(r.doc_id, r.item_id, r.run_hits) for r in leakage.leaks(d, i, paraphrases=paraphrases).collect()}
+        monkeypatch.setattr(leakage, "BLOCK_CHARS", 200)
+        monkeypatch.setattr(leakage, "TARGETS", 3)
+        parts = {(r.doc_id, r.item_id, r.run_hits) for r in leakage.leaks(d, i, paraphrases=paraphrases).collect()}
+        monkeypatch.undo()
+        assert parts == whole and {(n, n % 8) for n in range(16)} <= {(a, b) for a, b, _ in whole}

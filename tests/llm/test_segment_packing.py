@@ -86,3 +86,11 @@ def test_packing_of_documents(spark):
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world"), (2, ""), (3, None)], "doc_id bigint, text string")
     assert {tuple(r) for r in packing.token_counts(df).collect()} == {(1, 2), (2, 0), (3, 0)}
+
+
+def test_two_texts_of_one_id_give_the_pieces_of_one(spark):
+    a, b = "first text here. " * 600, "some other words. " * 500
+    rows = [("x", a), ("x", b), ("x", a), ("y", "short"), (None, a), ("z", None)]
+    got = segment.pieces(spark.createDataFrame(rows, "id string, cleaned_text string")).collect()
+    parts = sorted((r.piece_no, r.piece[r.overlap :]) for r in got if r.id == "x")
+    assert "".join(p for _, p in parts) == max(a, b) and {r.id for r in got} == {"x", "y"}
