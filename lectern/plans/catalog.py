@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import chunks, links, people, persons, ranking, texts, web
+from lectern.plans import chunks, cleaning, links, people, persons, ranking, texts, web
 from lectern.plans._base import Query
 
-_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R]
+_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R, cleaning.R]
 
 
 def queries() -> dict[str, Query]:
