@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import links as L
 from lectern.functions.persons import looks_like_id
+from lectern.functions.text import distinct_by, let
 
 # Headers of sections, and the names that some stand for.
 HEADERS = "RESEARCH INTERESTS|RESEARCH EXPERIENCE|EDUCATION|AWARDS|HONORS|AWARDS AND HONORS|TEACHING EXPERIENCE|INDUSTRY EXPERIENCE|PUBLICATIONS|PUBLICATIONS AND PRESENTATIONS|JOURNALS|CONFERENCES|RESEARCH PROJECTS|TECHNICAL REPORTS|BOOKS|PROFESSIONAL ACTIVITIES|PROFESSIONAL ACTIVITES|EDITORIAL BOARD|LANGUAGES|BIO|BIOGRAPHY|ABOUT|EXPERIENCE|SKILLS|CONTACT".split("|")
@@ -55,13 +56,6 @@ def lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), strip)
 
 
-def firsts(items: Column, key=F.lower) -> Column:
-    """The entries of an array, each once by ``key``, in order of first occurrence."""
-    keys = F.transform(items, key)
-    marked = F.filter(F.transform(items, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: F.array_position(keys, key(y["x"])) == y["i"] + 1)
-    return F.transform(marked, lambda y: y["x"])
-
-
 def _digits(s: Column) -> Column:
     return F.length(s) - F.length(F.translate(s, "0123456789", ""))
 
@@ -92,7 +86,7 @@ def clean_section(text: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(t, r"[\s\x{A0}]{2,}", " "), r"(?i)\[PDF\]|\(PDF\)", "")
     t = F.regexp_replace(t, r"[\\/]", " ")
     kept = F.filter(F.transform(F.split(t, "\n"), spaced), lambda s: ~noise_line(s))
-    return spaced(F.array_join(firsts(kept), " "))
+    return spaced(F.array_join(distinct_by(kept, F.lower), " "))
 
 
 def micro_split(text: Column, least: int = 50) -> Column:
@@ -185,14 +179,17 @@ def drop_chunk(text: Column, name: Column) -> Column:
 
 def profile_lines(text: Column, name: Column) -> Column:
     """The lines of a page that may be about its person: no markers, walls, counters, menus, short or digit lines without the name; each once."""
-    n = F.lower(F.trim(F.coalesce(name, F.lit(""))))
-    last = F.coalesce(F.try_element_at(F.filter(F.split(n, " "), lambda w: F.length(w) >= 3), F.lit(-1)), F.lit(""))
-    named = lambda s: ((n != "") & F.lower(s).contains(n)) | ((last != "") & F.lower(s).contains(last))
     pages = lambda s: (F.regexp_count(F.lower(s), F.lit(PAGE_OF)) >= 2) | F.lower(s).rlike(COMPACT_PAGE)
     noise = lambda s: (s == "") | s.rlike("^===.*===$") | F.lower(s).rlike(f"{BOT}|{REFERENCE}|{NAV_TERMS}") | pages(s)
     thin = lambda s: ((_digits(s) >= 10) & (_letters(s) <= _digits(s))) | (F.size(F.split(s, r"[\s\x{A0}]+")) < 5)
-    kept = F.filter(lines(text), lambda s: ~noise(s) & (named(s) | ~thin(s)))
-    return F.array_join(firsts(kept, lambda s: spaced(F.lower(s))), "\n")
+
+    def about(w: Column) -> Column:
+        named = lambda s: ((w["n"] != "") & F.lower(s).contains(w["n"])) | ((w["last"] != "") & F.lower(s).contains(w["last"]))
+        return F.array_join(distinct_by(F.filter(lines(text), lambda s: ~noise(s) & (named(s) | ~thin(s))), lambda s: spaced(F.lower(s))), "\n")
+
+    n = F.lower(F.trim(F.coalesce(name, F.lit(""))))
+    last = F.coalesce(F.try_element_at(F.filter(F.split(n, " "), lambda w: F.length(w) >= 3), F.lit(-1)), F.lit(""))
+    return let(F.struct(n.alias("n"), last.alias("last")), about)
 
 
 def pruned(text: Column) -> Column:
@@ -207,12 +204,15 @@ def _without_site(title: Column) -> Column:
     for sep in (" - ", " – ", " — ", " | "):
         head = strip(F.split_part(title, F.lit(sep), F.lit(1)))
         out = F.when(title.contains(sep) & (F.length(head) >= 5), head).otherwise(out)
+
     # a trail of short parts after colons
-    parts = F.filter(F.transform(F.split(out, ":"), strip), lambda s: s != "")
-    rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    average = F.aggregate(rest, F.lit(0), lambda a, s: a + F.length(s)) / F.greatest(F.size(rest), F.lit(1))
-    trail = (F.size(parts) >= 3) & (F.length(F.try_element_at(parts, F.lit(1))) >= 4) & (average <= 40)
-    return spaced(F.when(trail, F.try_element_at(parts, F.lit(1))).otherwise(out))
+    def trail(x: Column) -> Column:
+        rest = F.slice(x["p"], F.lit(2), F.greatest(F.size(x["p"]) - 1, F.lit(0)))
+        average = F.aggregate(rest, F.lit(0), lambda a, s: a + F.length(s)) / F.greatest(F.size(rest), F.lit(1))
+        first = F.try_element_at(x["p"], F.lit(1))
+        return spaced(F.when((F.size(x["p"]) >= 3) & (F.length(first) >= 4) & (average <= 40), first).otherwise(x["t"]))
+
+    return let(out, lambda t: let(F.struct(t.alias("t"), F.filter(F.transform(F.split(t, ":"), strip), lambda s: s != "").alias("p")), trail))
 
 
 def page_title(link_text: Column, text: Column) -> Column:
@@ -225,18 +225,18 @@ def page_title(link_text: Column, text: Column) -> Column:
 
 def source_label(link_text: Column, url: Column, kind: Column) -> Column:
     """What to call a source: its link text, the last readable part of its path with the host, the host, or its kind."""
-    text = _without_site(strip(F.coalesce(link_text, F.lit(""))))
     host = F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), r"^www\.", "")
     path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     tidy = lambda s: F.trim(F.regexp_replace(F.regexp_replace(s, r"(?i)\.(?:html?|pdf|aspx?|php|json|xml)$", ""), "[-_]+", " "))
     parts = F.filter(F.transform(F.split(path, "/"), tidy), lambda s: (s != "") & ~looks_like_id(s))
     slug = F.try_element_at(parts, F.lit(-1))
     kind_label = F.initcap(F.replace(F.coalesce(F.nullif(kind, F.lit("")), F.lit("Source")), F.lit("_"), F.lit(" ")))
-    return (
-        F.when(F.length(text).between(5, 120) & ~looks_like_id(text), text)
-        .when(slug.isNotNull(), F.substring(F.concat(F.initcap(slug), F.when(host != "", F.concat(F.lit(" ("), host, F.lit(")"))).otherwise("")), 1, 120))
+    own = let(_without_site(strip(F.coalesce(link_text, F.lit("")))), lambda t: F.when(F.length(t).between(5, 120) & ~looks_like_id(t), t))
+    return F.coalesce(
+        own,
+        F.when(slug.isNotNull(), F.substring(F.concat(F.initcap(slug), F.when(host != "", F.concat(F.lit(" ("), host, F.lit(")"))).otherwise("")), 1, 120))
         .when(host != "", F.concat(F.lit("Source: "), host))
-        .otherwise(kind_label)
+        .otherwise(kind_label),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import links as L
 from lectern.functions import urls as U
-from lectern.functions.text import collapsed
+from lectern.functions.text import collapsed, distinct_by, let
 
 
 def _accents() -> tuple[str, str]:
@@ -153,34 +153,36 @@ def name_variants(name: Column) -> Column:
     first, last = F.try_element_at(w, F.lit(1)), F.try_element_at(w, F.lit(-1))
     short = F.when((F.size(w) >= 2) & (F.length(first) <= 2) & first.rlike(r"^\p{L}+$"), F.concat_ws(" ", F.substring(first, 1, 1), last))
     made = F.filter(F.array(raw, plain, one, short), lambda v: v.isNotNull() & (v != ""))
-    keep = F.filter(F.transform(made, lambda v, i: F.struct(v.alias("v"), i.alias("i"))), lambda x: F.array_position(F.transform(made, lambda y: F.lower(y)), F.lower(x["v"])) == x["i"] + 1)
-    return F.when(F.coalesce(raw, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.transform(keep, lambda x: x["v"]))
+    return F.when(F.coalesce(raw, F.lit("")) == "", F.array().cast("array<string>")).otherwise(distinct_by(made, F.lower))
 
 
 def conflicts(text: Column, first: Column, last: Column, reach: int = 2, ignored: Sequence[str] = tuple(NOT_NEAR)) -> Column:
     """Whether the last name stands beside another first name: some mention has neither the first name nor its initial within ``reach`` words, but another word."""
-    t = F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), 1)
-    near = lambda i: F.filter(F.array(*[F.when(i + o >= 1, F.try_element_at(t, F.greatest(i + o, F.lit(1)))) for o in range(-reach, reach + 1) if o]), lambda w: w.isNotNull())
-    mine = lambda w: (w == first) | ((F.length(w) <= 2) & (F.substring(w, 1, 1) == F.substring(first, 1, 1)))
-    bad = lambda i: ~F.exists(near(i), mine) & F.exists(near(i), lambda w: (F.length(w) >= 3) & ~w.isin(list(ignored)))
-    at = F.filter(F.transform(t, lambda w, i: F.when(w == last, (i + 1).cast("int"))), lambda i: i.isNotNull())
-    return F.coalesce((first != "") & (last != "") & F.exists(at, bad), F.lit(False))
+    def check(t: Column) -> Column:
+        near = lambda i: F.filter(F.array(*[F.when(i + o >= 1, F.try_element_at(t, F.greatest(i + o, F.lit(1)))) for o in range(-reach, reach + 1) if o]), lambda w: w.isNotNull())
+        mine = lambda w: (w == first) | ((F.length(w) <= 2) & (F.substring(w, 1, 1) == F.substring(first, 1, 1)))
+        bad = lambda n: ~F.exists(n, mine) & F.exists(n, lambda w: (F.length(w) >= 3) & ~w.isin(list(ignored)))
+        at = F.filter(F.transform(t, lambda w, i: F.when(w == last, (i + 1).cast("int"))), lambda i: i.isNotNull())
+        return F.exists(F.transform(at, near), bad)
+
+    return F.coalesce((first != "") & (last != "") & let(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), 1), check), F.lit(False))
 
 
 def tells_person(text: Column, who: Column) -> Column:
     """Whether a title or address tells the person (:func:`identity_parts`) by any way of writing the name."""
     low = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[_/-]+", " "), r"\s+", " "))
-    tight = F.regexp_replace(low, "[^a-z0-9]+", "")
-    hit = F.exists(who["variants"], lambda v: low.contains(v) | ((F.regexp_replace(v, "[^a-z0-9]+", "") != "") & tight.contains(F.regexp_replace(v, "[^a-z0-9]+", ""))))
-    ends = (who["first"] != "") & (who["last"] != "") & low.contains(who["first"]) & low.contains(who["last"])
-    return F.coalesce(hit | ends, F.lit(False))
+    tight = lambda v: F.regexp_replace(v, "[^a-z0-9]+", "")
+
+    def check(x: Column) -> Column:
+        hit = F.exists(who["variants"], lambda v: x["low"].contains(v) | ((tight(v) != "") & x["tight"].contains(tight(v))))
+        return hit | ((who["first"] != "") & (who["last"] != "") & x["low"].contains(who["first"]) & x["low"].contains(who["last"]))
+
+    return F.coalesce(let(F.struct(low.alias("low"), tight(low).alias("tight")), check), F.lit(False))
 
 
 def front_matter(text: Column, who: Column, within: int = 30) -> Column:
     """Whether a document names the person within its first characters."""
-    low = F.lower(collapsed(text))
-    places = F.transform(who["variants"], lambda v: F.position(v, low))
-    return F.coalesce(F.exists(places, lambda p: p.between(1, within + 1)), F.lit(False))
+    return F.coalesce(let(F.lower(collapsed(text)), lambda low: F.exists(who["variants"], lambda v: F.position(v, low).between(1, within + 1))), F.lit(False))
 
 
 def relevant(text: Column, name: Column) -> Column:
@@ -341,6 +343,4 @@ def years(text: Column) -> Column:
 def keywords(parts: Column, most: int = 20) -> Column:
     """The first ``most`` different entries, trimmed, case aside, blank ones dropped."""
     plain = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
-    low = F.transform(plain, lambda p: F.lower(p))
-    firsts = F.filter(F.transform(plain, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda x: F.array_position(low, F.lower(x["p"])) == x["i"] + 1)
-    return F.slice(F.transform(firsts, lambda x: x["p"]), 1, most)
+    return F.slice(distinct_by(plain, F.lower), 1, most)

@@ -24,6 +24,21 @@ WORD = r"[\p{L}\p{N}_]+"
 SPACE = r"[\s\x{A0}]+"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once however often the body uses it, also within its lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def distinct_by(items: Column, key) -> Column:
+    """The entries of an array, each once by ``key``, in order of first occurrence."""
+
+    def kept(m: Column) -> Column:
+        placed = F.transform(m, lambda y, i: F.struct(y.alias("y"), i.alias("i")))
+        return let(F.transform(m, lambda y: y["k"]), lambda ks: F.transform(F.filter(placed, lambda z: F.array_position(ks, z["y"]["k"]) == z["i"] + 1), lambda z: z["y"]["x"]))
+
+    return let(F.transform(items, lambda x: F.struct(key(x).alias("k"), x.alias("x"))), kept)
+
+
 def collapsed(text: Column) -> Column:
     """White space runs as one blank, ends trimmed."""
     return F.trim(F.regexp_replace(text, SPACE, " "))
