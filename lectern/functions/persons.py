@@ -44,7 +44,7 @@ def ascii_only(text: Column) -> Column:
 
 def normalized(name: Column) -> Column:
     """Lower case without accents and punctuation, single blanks; "" for null."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(without_accents(F.coalesce(name, F.lit("")))), "[.,;:'\"()-]", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(without_accents(F.coalesce(name, F.lit("")))), "[.,;:'\"()-]", " "), r"[\s\x{A0}]+", " "))
 
 
 def _word(text: Column, n: int) -> Column:

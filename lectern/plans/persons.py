@@ -11,7 +11,7 @@ R = Registry()
 
 
 def norm(c: str) -> str:
-    return rf"trim(regexp_replace(regexp_replace(strip_accents(lower(coalesce({c}, ''))), '[.,;:''\"()-]', ' ', 'g'), '\s+', ' ', 'g'))"
+    return rf"trim(regexp_replace(regexp_replace(strip_accents(lower(coalesce({c}, ''))), '[.,;:''\"()-]', ' ', 'g'), '[\s\x{{A0}}]+', ' ', 'g'))"
 
 
 def words(c: str) -> str:
