@@ -60,3 +60,47 @@ def names_match(a: Column, b: Column) -> Column:
     short = (F.length(first) == 1) | (F.length(other) == 1)
     agree = F.when(short, F.substring(first, 1, 1) == F.substring(other, 1, 1)).otherwise(first == other)
     return F.coalesce((F.try_element_at(x, F.lit(-1)) == F.try_element_at(y, F.lit(-1))) & agree, F.lit(False))
+
+
+def lookup_status(left: DataFrame, right: DataFrame, key: str, ref: str, right_key: str, value: str) -> DataFrame:
+    """(key, status): matched, record_found_no_file, not_found or missing_id, by what a referenced record holds. ``right`` has one row a key."""
+    found = right.select(F.col(right_key).alias("_k"), F.col(value).alias("_v"))
+    status = (
+        F.when(F.coalesce(F.col(ref), F.lit("")) == "", "missing_id").when(F.col("_k").isNull(), "not_found").when(F.coalesce(F.col("_v"), F.lit("")) == "", "record_found_no_file").otherwise("matched")
+    )
+    return left.join(found, F.col(ref) == F.col("_k"), "left").select(key, status.alias("status"))
+
+
+def presence(left: DataFrame, key: str, stages: dict[str, DataFrame]) -> DataFrame:
+    """``left`` with a flag for each stage: whether its table (of one column) has the key."""
+    out = left
+    for name, table in stages.items():
+        marked = table.toDF("_k").where("_k is not null").distinct().withColumn(name, F.lit(True))
+        out = out.join(marked, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return out
+
+
+def resolved_prefixes(rows: DataFrame, ids: DataFrame, cited: str, id_col: str, least: int = 4) -> DataFrame:
+    """``rows`` with the id that ``cited`` means: itself, the only one that begins with it, or the only one by letters and digits; else null.
+
+    Distinct cited strings are joined, by their first ``least`` characters with those of
+    the ids, so no pair without a common start is formed; shorter ones are not resolved.
+    Ids that share a start with a third of all others still are compared by it: the bucket
+    is the start of the cited string's own length, one join for each length that occurs.
+    """
+    tight = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    one = rows.select(F.col(cited).alias("_c")).where("_c <> ''").distinct()
+    exact = one.join(ids.select(F.col(id_col).alias("_c")).distinct(), "_c", "left_semi").select("_c", F.col("_c").alias("_id"), F.lit(0).alias("_r"))
+    found = exact
+    for rank, form in ((1, lambda c: c), (2, tight)):
+        tries = one.select("_c", form(F.col("_c")).alias("_f")).where(F.length("_f") >= least)
+        sizes = sorted(r.n for r in tries.select(F.length("_f").alias("n")).distinct().collect())  # lengths of ids: few
+        if not sizes:
+            continue
+        starts = ids.select(F.col(id_col).alias("_id"), form(F.col(id_col)).alias("_g"))
+        cut = starts.select("_id", F.explode(F.transform(F.array(*[F.lit(n) for n in sizes]), lambda n: F.when(n <= F.length("_g"), F.substring("_g", F.lit(1), n)))).alias("_f")).where("_f is not null")
+        # an index of starts that cited strings have, each with how many ids it may mean
+        means = cut.join(tries.select("_f").distinct(), "_f", "left_semi").groupBy("_f").agg(F.countDistinct("_id").alias("_n"), F.min("_id").alias("_id")).where("_n = 1")
+        found = found.unionByName(tries.join(means, "_f").select("_c", "_id", F.lit(rank).alias("_r")))
+    best = found.groupBy("_c").agg(F.min(F.struct("_r", "_id")).alias("_b")).select("_c", F.col("_b._id").alias(id_col))
+    return rows.join(best, F.col(cited) == F.col("_c"), "left").drop("_c")

@@ -111,37 +111,13 @@ def q19_registry_versions(sources):
 
 
 @R.query(
-    """WITH r AS (SELECT source_id, max(struct_pack(v := record_version, t := recorded_at, s := status)) AS x FROM source_record GROUP BY source_id)
-    SELECT source_id, x.v AS record_version, x.s AS status FROM r""",
-    "source_record",
-)
-def q20_registry_latest(sources):
-    """The latest version of each source."""
-    rows = sources.select("source_id", "record_version", "recorded_at", "status")
-    return dedup.latest_by(rows, ["source_id"], ["record_version", "recorded_at"]).select("source_id", "record_version", "status")
-
-
-@R.query(
-    """WITH u AS (SELECT profile_id AS id, profile_url AS link, 0 AS part FROM collected_meta UNION ALL SELECT profile_context['profile_id'], final_url, 1 FROM source_record),
-    m AS (SELECT id, link, min(part) AS part FROM u WHERE id IS NOT NULL AND link IS NOT NULL GROUP BY 1, 2) SELECT id, link, CAST(part AS INTEGER) AS part FROM m""",
-    "collected_meta",
-    "source_record",
+    r"""WITH d AS (SELECT doc_id, doc_id % 2 AS batch, md5(lower(trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g')))) AS h FROM documents WHERE text IS NOT NULL), f AS (SELECT doc_id, first_value(doc_id) OVER (PARTITION BY h ORDER BY batch, doc_id) AS duplicate_of FROM d) SELECT * FROM f WHERE duplicate_of <> doc_id""",
+    "documents",
 )
-def q21_ordered_link_union(meta, sources):
-    """Each profile's links once, seeds before what was found later."""
-    seeds = meta.select(F.col("profile_id").alias("id"), F.col("profile_url").alias("link"), F.lit(0).alias("part"))
-    found = sources.select(F.try_element_at("profile_context", F.lit("profile_id")).alias("id"), F.col("final_url").alias("link"), F.lit(1).alias("part"))
-    both = seeds.unionByName(found).where("id is not null and link is not null")
-    return both.groupBy("id", "link").agg(F.min("part").alias("part"))
-
+def q22_same_content(docs):
+    """Texts of a registry (even ids) and of a new batch (odd ids) that an earlier one has: the registry first, then by id."""
+    from lectern.functions.text import text_hash
 
-@R.query(
-    """WITH r AS (SELECT source_id, max(struct_pack(v := record_version, t := recorded_at, h := content.text_hash)) AS x FROM source_record GROUP BY source_id),
-    f AS (SELECT source_id, x.h AS h FROM r) SELECT source_id, first_value(source_id) OVER (PARTITION BY h ORDER BY source_id) AS duplicate_of FROM f WHERE h IS NOT NULL QUALIFY count(*) OVER (PARTITION BY h) > 1""",
-    "source_record",
-)
-def q22_same_content(sources):
-    """Sources whose latest content another source has too, with the first of them."""
-    rows = sources.select("source_id", "record_version", "recorded_at", F.col("content.text_hash").alias("h"))
-    last = dedup.latest_by(rows, ["source_id"], ["record_version", "recorded_at"]).where("h is not null")
-    return dedup.class_of_copies(last, "h", "source_id", "duplicate_of", "copies").where("copies > 1").select("source_id", "duplicate_of")
+    rows = docs.where("text is not null").select("doc_id", (F.col("doc_id") % 2).alias("batch"), text_hash(F.col("text")).alias("h"))
+    firsts = rows.groupBy("h").agg(F.min(F.struct("batch", "doc_id")).alias("f"), F.count("*").alias("n")).where("n > 1").select("h", F.col("f.doc_id").alias("duplicate_of"))
+    return rows.join(firsts, "h").where("duplicate_of <> doc_id").select("doc_id", "duplicate_of")
