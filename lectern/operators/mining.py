@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from lectern.functions import text as T
 from lectern.session import stored
 
+_WORDS = re.compile(r"[a-z0-9]+(?:'[a-z]+)?")
+
 
 def phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 2, least_docs: int = 3) -> DataFrame:
     """(phrase, docs, hits, weight) of runs of ``n`` words of four letters and more, by hits x log inverse frequency."""
@@ -101,3 +105,45 @@ def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_c
         h *= total[:, :v] / np.maximum(total[:, v:] @ h, 1e-9)
     out = [(t, p, words[j], float(round(h[t, j], 6))) for t in range(k) for p, j in enumerate(np.argsort(-h[t], kind="stable")[:top])]
     return docs.sparkSession.createDataFrame(out, "topic int, place int, word string, weight double")
+
+
+# ---------------------------------------------------------------- topics in words
+
+# Words that no topic begins or ends with.
+TOPIC_STOPWORDS = frozenset("a an and are as at be but by for from if in into is it its of on or the to was were will with".split())
+
+
+def viable_phrase(phrase: str | None) -> bool:
+    """Whether a phrase may be a topic: two different words or more, no number, no stop word at an end."""
+    words = _WORDS.findall((phrase or "").lower())
+    return len(words) >= 2 and len(set(words)) >= 2 and not any(w.isdigit() for w in words) and words[0] not in TOPIC_STOPWORDS and words[-1] not in TOPIC_STOPWORDS
+
+
+def composed_topic(terms: list[str], most: int = 3) -> str:
+    """A topic of at most ``most`` terms, longer ones first, none within another: "a", "a and b", "a, b, and c"."""
+    kept: list[str] = []
+    sets: list[frozenset[str]] = []
+    for term in sorted(terms, key=lambda t: -len(_WORDS.findall(t.lower()))):
+        words = list(dict.fromkeys(w for w in _WORDS.findall(term.lower()) if w not in TOPIC_STOPWORDS))
+        if not words or any(frozenset(words[:2]) <= s or frozenset(words) <= s for s in sets):
+            continue
+        kept.append(f"{words[0]} and {words[1]}" if " and " in term.lower() and len(words) >= 2 else " ".join(words[:2]))
+        sets.append(frozenset(words))
+        if len(kept) == most:
+            break
+    return kept[0] if len(kept) == 1 else " and ".join(kept) if len(kept) == 2 else ", ".join(kept[:-1]) + f", and {kept[-1]}" if kept else ""
+
+
+def chosen_topic(rows: DataFrame, *candidates: str, fallback: str = "recent work") -> DataFrame:
+    """``rows`` with ``topic``: the first of the columns that is a viable phrase, else the first that isn't blank, else the fallback, and ``topic_from``."""
+    import pyspark.sql.types as t
+
+    @F.pandas_udf(t.BooleanType())
+    def viable(s: pd.Series) -> pd.Series:
+        return s.map(viable_phrase)
+
+    out = rows
+    for c in candidates:
+        out = out.withColumn(f"_v_{c}", viable(F.coalesce(c, F.lit(""))))
+    good = F.coalesce(*[F.when(F.col(f"_v_{c}"), F.struct(F.col(c).alias("t"), F.lit(c).alias("f"))) for c in candidates], *[F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.struct(F.col(c).alias("t"), F.lit(c).alias("f"))) for c in candidates], F.struct(F.lit(fallback).alias("t"), F.lit("fallback").alias("f")))
+    return out.withColumn("_g", good).withColumn("topic", F.col("_g.t")).withColumn("topic_from", F.col("_g.f")).drop("_g", *[f"_v_{c}" for c in candidates])

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import chunks, cleaning, collected, links, people, persons, ranking, scores, texts, web
+from lectern.plans import articles, chunks, cleaning, collected, links, people, persons, ranking, scores, texts, web
 from lectern.plans._base import Query
 
-_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R, cleaning.R, collected.R, scores.R]
+_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R, cleaning.R, collected.R, scores.R, articles.R]
 
 
 def queries() -> dict[str, Query]:

@@ -207,35 +207,61 @@ def _events(spark, d):
 
 
 _WHEN = "SELECT CAST(a AS TIMESTAMP) AS start, CAST(b AS TIMESTAMP) AS \"end\", event_type, n, round(total, 2) AS total"
+#: Windows that the watermark has closed: those that end an hour or more before the latest row.
+_CLOSED = "b <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 
 def _shown(df):
     return df.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
-@R.query(f"WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS a, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS b, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL) {_WHEN} FROM w")
+@R.query(f"WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS a, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS b, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL) {_WHEN} FROM w WHERE {_CLOSED}")
 def q66_tumbling_stream(spark, d):
-    return _shown(S.drained(S.tumbling(_events(spark, d), "ts", "1 day", "30 days", "event_type"), "complete"))
+    """Days that are over, each given out once; the watermark drops their state."""
+    return _shown(S.drained(S.tumbling(_events(spark, d), "ts", "1 day", "1 hour", "event_type")))
 
 
 @R.query(
     f"""WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - i * INTERVAL 6 HOUR AS a, time_bucket(INTERVAL 6 HOUR, ts) - i * INTERVAL 6 HOUR + INTERVAL 12 HOUR AS b, event_type, count(*) AS n, sum(value) AS total
-    FROM events, range(0, 2) r(i) GROUP BY ALL) {_WHEN} FROM w"""
+    FROM events, range(0, 2) r(i) GROUP BY ALL) {_WHEN} FROM w WHERE {_CLOSED}"""
 )
 def q67_sliding_stream(spark, d):
-    return _shown(S.drained(S.sliding(_events(spark, d), "ts", "12 hours", "6 hours", "30 days", "event_type"), "complete"))
+    return _shown(S.drained(S.sliding(_events(spark, d), "ts", "12 hours", "6 hours", "1 hour", "event_type")))
 
 
 @R.query(
-    """WITH o AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 2 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-    g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o)
-    SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n FROM g GROUP BY user_id, k"""
+    f"""WITH o AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 2 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o), x AS (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL 2 HOUR AS b, count(*) AS n FROM g GROUP BY user_id, k)
+    SELECT user_id, a AS start, b AS "end", n FROM x WHERE {_CLOSED}"""
 )
 def q68_session_stream(spark, d):
-    found = S.drained(S.sessions(_events(spark, d), "ts", "2 hours", "60 days", "user_id"), "complete")
+    found = S.drained(S.sessions(_events(spark, d), "ts", "2 hours", "1 hour", "user_id"))
     return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
 
 
+@R.query(
+    """WITH h AS (SELECT event_id < (SELECT max(event_id) // 2 FROM events) AS early, * FROM events), w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS a, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS b, event_type, count(*) AS n, sum(value) AS total FROM h GROUP BY ALL)
+    SELECT CAST(a AS TIMESTAMP) AS start, event_type, n, round(total, 2) AS total FROM w WHERE b <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+)
+def q153_late_rows_stream(spark, d):
+    """Three deliveries, the third of which repeats the first days' rows: they are later than the watermark, so no day counts them twice."""
+    import uuid
+
+    from lectern.session import shared_dir
+
+    rows = read_table(spark, d, "events")
+    half = rows.agg(F.max("event_id").alias("m"))
+    at = f"{shared_dir(spark).rstrip('/')}/lectern/late-{uuid.uuid4().hex}"
+    marked = rows.join(F.broadcast(half)).withColumn("early", F.col("event_id") < F.floor(F.col("m") / 2)).drop("m")  # one row
+    first = rows.agg(F.min("ts").alias("t"))
+    late = rows.join(F.broadcast(first)).where(F.col("ts") < F.col("t") + F.expr("interval 5 days")).drop("t")  # one row
+    for n, part in enumerate((marked.where("early").drop("early"), marked.where("not early").drop("early"), late)):
+        part.coalesce(1).write.parquet(f"{at}/{n}")
+    stream = S.file_stream(spark, f"{at}/*", rows.schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    found = S.drained(S.tumbling(stream, "ts", "1 day", "1 day", "event_type"))
+    return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
 @R.query("SELECT DISTINCT user_id, event_type FROM events")
 def q69_first_seen_stream(spark, d):
     return S.drained(S.first_seen(_events(spark, d), "ts", "90 days", "user_id", "event_type")).select("user_id", "event_type")
@@ -260,15 +286,16 @@ def q71_ttl_cache(events):
 
 
 @R.query(
-    """WITH s AS (SELECT DISTINCT id, md5(coalesce(raw_text, '')) AS signature, scraped_at FROM extracted_content), m AS (SELECT quantile_disc(scraped_at, 0.5) AS t FROM s)
-    SELECT id FROM s, m WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.id = s.id AND o.signature = s.signature AND o.scraped_at <= m.t)""",
+    """WITH s AS (SELECT DISTINCT id, md5(coalesce(raw_text, '')) AS signature, scraped_at FROM extracted_content), m AS (SELECT (min(epoch_us(scraped_at)) + max(epoch_us(scraped_at))) / 2 AS t FROM s)
+    SELECT id FROM s, m WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.id = s.id AND o.signature = s.signature AND epoch_us(o.scraped_at) <= m.t)""",
     "extracted_content",
 )
 def q72_resume_by_signature(pages):
-    """What a run has left that was broken off after half of the records by time."""
+    """What a run has left that was broken off in the middle of the period."""
     rows = pages.select("id", F.md5(F.coalesce("raw_text", F.lit(""))).alias("signature"), "scraped_at").distinct()
-    half = rows.agg(F.expr("percentile_disc(0.5) within group (order by unix_micros(cast(scraped_at as timestamp)))").alias("t")).first().t
-    done = rows.where(F.unix_micros(F.col("scraped_at").cast("timestamp")) <= F.lit(half))
+    at = F.unix_micros(F.col("scraped_at").cast("timestamp"))
+    ends = rows.agg(((F.min(at) + F.max(at)) / 2).alias("t"))
+    done = rows.join(F.broadcast(ends)).where(at <= F.col("t")).drop("t")  # one row
     return S.changed(rows, done, "id", "signature").select("id")
 
 
@@ -292,3 +319,110 @@ def q74_adjacent_keep(events):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     marked = events.select("user_id", "event_id", "ts", (F.col("event_type") == "click").alias("mark"))
     return marked.withColumn("before", F.lag("mark").over(w)).where(F.col("mark") | F.coalesce("before", F.lit(False))).select("event_id")
+
+
+_VEC = "SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+_COS = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
+
+
+@R.query(
+    f"""WITH v AS ({_VEC}), s AS (SELECT q.vec_id AS query_id, v.vec_id, round({_COS.format(a='q.e', b='v.e')}, 6) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id AND q.label = v.label WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s) SELECT query_id, vec_id, score, CAST(place AS INTEGER) AS place FROM r WHERE place <= 5""",
+    "embeddings",
+)
+def q154_filtered_top_k(vectors):
+    """The five nearest vectors of each stated query among those of its label."""
+    return retrieval.cosine_top_k(vectors, vectors.where("vec_id % 20 = 0").select("vec_id", "embedding", "label"), 5, same="label")
+
+
+_PW = f"(0.7::DOUBLE * (len(list_intersect(list_distinct(w), {_QUERY})) / {len(_QUERY)}::DOUBLE) + 0.3::DOUBLE * least(1, 8 * len(list_filter(w, lambda x: list_contains({_QUERY}, x))) / greatest(len(w), 1)::DOUBLE))"
+_DENSE = f"q AS (SELECT e AS q FROM ({_VEC}) ORDER BY vec_id LIMIT 1), v AS (SELECT vec_id, {_COS.format(a='e', b='q')} AS dense FROM ({_VEC}), q), t AS (SELECT doc_id, section, published_at, regexp_extract_all(lower(text), '[a-z]{{3,}}') AS w FROM documents WHERE text IS NOT NULL)"
+_HYB = f"""{_DENSE}, s AS (SELECT doc_id, published_at, dense, {_PW} AS lexical, 1.0::DOUBLE / (1 + least(CASE lower(coalesce(section, '')) WHEN 'about' THEN 0 WHEN 'biography' THEN 0 WHEN 'background_and_work' THEN 1 WHEN 'milestones' THEN 2 WHEN 'publications' THEN 3 WHEN 'misc' THEN 4 ELSE 99 END, 10)) AS prior FROM t LEFT JOIN v ON doc_id = vec_id),
+    h AS (SELECT doc_id, round(0.55::DOUBLE * greatest(coalesce(dense, 0), 0) + 0.30::DOUBLE * lexical + 0.15::DOUBLE * prior, 6) AS score, lexical, dense, published_at FROM s ORDER BY score DESC, doc_id LIMIT 40)"""
+
+
+def _dense(docs, vectors):
+    """Documents with the cosine of their vector and the stated one: that of the first vector."""
+    good = vectors.where(retrieval.valid_vector(F.col("embedding"), 64))
+    asked = good.agg(F.min_by("embedding", "vec_id").alias("_q"))
+    v = good.join(F.broadcast(asked)).select(F.col("vec_id").alias("doc_id"), retrieval.cosine(F.col("embedding"), F.col("_q")).alias("dense"))  # one row
+    return docs.where("text is not null").join(v, "doc_id", "left")
+
+
+def _pool(docs, vectors):
+    lexical = retrieval.passage_words(F.col("text"), _QUERY)
+    rows = _dense(docs, vectors).select("doc_id", "published_at", "dense", lexical.alias("lexical"), retrieval.section_prior(F.coalesce("section", F.lit(""))).alias("prior"))
+    scored = rows.select("doc_id", F.round(retrieval.hybrid_score(F.col("dense"), F.col("lexical"), F.col("prior")), 6).alias("score"), "lexical", "dense", "published_at")
+    return scored.orderBy(F.col("score").desc(), "doc_id").limit(40)
+
+
+@R.query(f"WITH {_HYB} SELECT doc_id, score FROM h", "documents", "embeddings")
+def q155_hybrid(docs, vectors):
+    """The forty best passages by vector, words and section."""
+    return _pool(docs, vectors).select("doc_id", "score")
+
+
+@R.query(f"WITH {_HYB}, b AS (SELECT min(score) AS lo, max(score) AS hi FROM h) SELECT doc_id, round(0.65::DOUBLE * ((score - lo) / greatest(hi - lo, 1e-9)) + 0.35::DOUBLE * (doc_id % 7) / 7, 6) AS blended FROM h, b ORDER BY blended DESC, doc_id LIMIT 10", "documents", "embeddings")
+def q156_reranked(docs, vectors):
+    """The ten best of that pool after a second judge's word, which enters as a column."""
+    pool = _pool(docs, vectors).withColumn("cross", F.col("doc_id") % 7 / 7.0)
+    return retrieval.reranked(pool, "score", "cross", 10, "doc_id").select("doc_id", "blended")
+
+
+@R.query(
+    f"""WITH {_DENSE}, s AS (SELECT doc_id, dense, {_PW} AS lexical, published_at FROM t LEFT JOIN v ON doc_id = vec_id) SELECT doc_id, round(0.55::DOUBLE * greatest(coalesce(dense, 0), 0) + 0.35::DOUBLE * lexical + 0.10::DOUBLE * coalesce(1.0::DOUBLE / (1 + greatest(date_diff('second', published_at, TIMESTAMP '2026-01-01 00:00:00') / 3600::DOUBLE, 0) / 48), 0.15), 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 5""",
+    "documents",
+    "embeddings",
+)
+def q157_trend_choice(docs, vectors):
+    """The five documents that fit a topic best by vector, words and recency."""
+    age = (F.lit("2026-01-01 00:00:00").cast("timestamp").cast("double") - F.floor(F.col("published_at").cast("timestamp").cast("double"))) / 3600
+    rows = _dense(docs, vectors)
+    score = retrieval.trend_score(F.col("dense"), retrieval.passage_words(F.col("text"), _QUERY), age)
+    return rows.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.col("score").desc(), "doc_id").limit(5)
+
+
+@R.query(
+    """WITH k AS (SELECT user_id, max(struct_pack(t := ts, i := event_id)) AS x FROM events WHERE date_diff('microsecond', ts, TIMESTAMP '2024-01-30 00:00:00') <= 72 * 3600000000 GROUP BY 1) SELECT user_id, x.i AS event_id FROM k ORDER BY x.t DESC, user_id LIMIT 40""",
+    "events",
+)
+def q158_cache(events):
+    """The forty latest keys of a cache that keeps 72 hours."""
+    return S.cached(events.select("user_id", "ts", "event_id"), "user_id", "ts", F.lit("2024-01-30 00:00:00"), 72, 40).select("user_id", "event_id")
+
+
+@R.query(
+    """WITH r AS (SELECT user_id, max(CAST(event_type <> 'error' AS INTEGER)) = 1 AND user_id % 3 <> 0 AS success FROM events GROUP BY 1) SELECT user_id, success OR user_id % 2 = 0 AS success, CASE WHEN success THEN 1 WHEN user_id % 2 = 0 THEN 2 ELSE 1 END AS attempt FROM r""",
+    "events",
+)
+def q159_retried(events):
+    """Failed keys run again, of which the even ones succeed."""
+    results = events.groupBy("user_id").agg(F.bool_or(F.col("event_type") != "error").alias("s")).select("user_id", (F.col("s") & (F.col("user_id") % 3 != 0)).alias("success"), F.lit(1).alias("attempt"))
+    return S.retried(results, lambda keys: keys.where("user_id % 2 = 0").select("user_id", F.lit(True).alias("success"), F.lit(2).alias("attempt")), "user_id")
+
+
+@R.query(
+    """WITH v AS (SELECT DISTINCT vec_id AS doc_id FROM embeddings), d AS (SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM v)) SELECT doc_id FROM d""",
+    "documents",
+    "embeddings",
+)
+def q160_two_stages(docs, vectors):
+    """Documents that have a vector, and so may go on to the next store."""
+    return S.advanced(docs.select("doc_id"), vectors.select(F.col("vec_id").alias("doc_id")), "doc_id")
+
+
+@R.query(
+    """WITH m AS (SELECT profile_id, min(profile_name) AS n FROM collected_meta WHERE profile_name IS NOT NULL GROUP BY 1), i AS (SELECT d.profile_id, '10.1/' || (doc_id // 2) AS doi, min(CAST(doc_id AS VARCHAR)) AS o, max(n_chars % 997) AS c, row_number() OVER (PARTITION BY d.profile_id ORDER BY max(n_chars % 997) DESC) AS r FROM documents d JOIN m ON d.profile_id = m.profile_id GROUP BY 1, 2)
+    SELECT profile_id, count(*) AS works FROM i GROUP BY 1"""
+)
+def q161_two_waves(spark, d):
+    """Works of the first wave's collectors that the second wave asks about: each profile's, once."""
+    from lectern.operators import collectors as K
+    from lectern.plans.collected import _items
+    from lectern.session import stored
+
+    items = _items(spark, d)
+    first = lambda i: K.collected(K.responses(i, "openalex", ["profile_id", "name"]), "openalex")
+    second = lambda i, one: K.collected(K.responses(i.join(K.dois(one, most=1000).select("profile_id", "doi"), ["profile_id", "doi"], "left_semi"), "unpaywall", ["profile_id", "name"]), "unpaywall")
+    found = S.in_two_waves(items, first, second, lambda r: stored(r, "wave"))
+    return found.where("source = 'unpaywall'").select("profile_id", F.col("items").cast("bigint").alias("works"))

@@ -81,14 +81,13 @@ def latest_state(events: DataFrame, key: str, at: str, value: str, ttl_hours: fl
             state.remove()
             return
         old = state.get if state.exists else None
-        rows = pd.concat(list(batches)).sort_values(at, kind="stable")
-        newest = rows.iloc[-1]
-        stamp = int(newest[at].timestamp() * 1e6)
-        if old is not None and old[0] > stamp:
-            stamp, held = old[0], old[1]
-        else:
-            held = newest[value]
-        version = (old[2] if old is not None else 0) + len(rows)
+        stamp, held, version = old if old is not None else (None, None, 0)
+        for batch in batches:  # a hot key's rows come in several batches, of which only the newest row is held
+            newest = batch.loc[batch[at].idxmax()]
+            when = int(newest[at].timestamp() * 1e6)
+            if stamp is None or when >= stamp:
+                stamp, held = when, newest[value]
+            version += len(batch)
         state.update((stamp, held, version))
         state.setTimeoutTimestamp(max(int(stamp / 1000 + ttl_hours * 3_600_000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(stamp, unit="us")], value: [held], "version": [version]})
@@ -97,12 +96,42 @@ def latest_state(events: DataFrame, key: str, at: str, value: str, ttl_hours: fl
     return rows.groupBy(key).applyInPandasWithState(update, schema, f"stamp long, held {kind[value]}, version int", "update", "EventTimeTimeout")
 
 
-def into_store(stream: DataFrame, upsert: Callable[[DataFrame], None], checkpoint: str, files_per_batch: int | None = None) -> None:
-    """Drain a stream into a keyed store, one upsert a micro-batch; a batch that is replayed changes nothing."""
+def into_store(stream: DataFrame, upsert: Callable[[DataFrame], None], checkpoint: str) -> None:
+    """Drain a stream into a keyed store, one upsert a micro-batch; a batch that is replayed changes nothing.
+
+    How many files make a batch is a matter of the stream (:func:`file_stream`).
+    """
     q = stream.writeStream.foreachBatch(lambda df, _: upsert(df)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
+def advanced(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows of a second stage whose key the first stage has finished."""
+    return rows.join(done.select(key).distinct(), key, "left_semi")
+
+
+def retried(results: DataFrame, again: Callable[[DataFrame], DataFrame], key: str, ok: str = "success") -> DataFrame:
+    """Results with the failed ones run again: what succeeded stays, each failed key has its new result, or its old one if it has none."""
+    failed = results.where(~F.coalesce(F.col(ok), F.lit(False)))
+    new = again(failed.select(key).distinct()).select(*results.columns)
+    still = failed.join(new.select(key).distinct(), key, "left_anti").select(*results.columns)
+    return results.where(F.coalesce(F.col(ok), F.lit(False))).unionByName(new).unionByName(still)
+
+
+def in_two_waves(items: DataFrame, first: Callable[[DataFrame], DataFrame], second: Callable[[DataFrame, DataFrame], DataFrame], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Results of the first wave, stored, and of the second, which works on what the first found."""
+    one = keep(first(items))
+    return one.unionByName(second(items, one))
+
+
+def cached(rows: DataFrame, key: str, at: str, now: Column, hours: float, most: int) -> DataFrame:
+    """The newest row of each key that is no older than ``hours``, newest first, at most ``most``."""
+    fresh = expired(rows, F.col(at), now, hours)
+    rest = [c for c in rows.columns if c not in (key, at)]
+    one = fresh.groupBy(key).agg(F.max(F.struct(at, *rest)).alias("_r")).select(key, f"_r.{at}", *[f"_r.{c}" for c in rest])
+    return one.orderBy(F.col(at).desc(), key).limit(most)
+
+
 def expired(rows: DataFrame, at: Column, now: Column, hours: float) -> DataFrame:
     """Rows no older than ``hours`` at a stated time."""
     return rows.where((now.cast("timestamp").cast("double") - at.cast("timestamp").cast("double")) <= hours * 3600)
