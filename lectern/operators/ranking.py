@@ -30,15 +30,17 @@ def disambiguated(rows: DataFrame, key: str, affiliated: Column, exact: Column,
     and the last name. Keys that no rule settles have no row.
     """
     plain = [c for c in rows.columns if c != key]
-    marked = rows.select(key, F.struct(*plain).alias("r"), affiliated.alias("a"), exact.alias("e"), F.coalesce(works, F.lit(0)).alias("w"), has_last.alias("l"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    marked = rows.select(key, F.struct(*plain).alias("r"), affiliated.alias("a"), exact.alias("e"), F.coalesce(works, F.lit(0)).alias("w"), has_last.alias("l"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).distinct()
     rank = [F.struct((-F.col("w")).alias("w"), *[F.col(f"_o{i}") for i in range(len(order))], F.col("r").alias("r"))]
     firsts = F.struct(*[F.col(f"_o{i}") for i in range(len(order))], F.col("r").alias("r"))
     told = F.col("w") > 0
     s = marked.groupBy(key).agg(
         F.min(F.when(F.col("a"), firsts)).alias("by_place"), F.count_if(told).alias("n"), F.min(F.when(told, rank[0])).alias("top"), F.min(F.when(told & F.col("e") & (F.col("w") >= few), rank[0])).alias("by_first"),
-        F.slice(F.array_sort(F.expr("max_by(w, w, 2)")), 1, 1).alias("second"), F.min(F.when(told & F.col("l"), rank[0])).alias("by_last"),
+        F.min(F.when(told & F.col("l"), rank[0])).alias("by_last"),
     )
-    top, second = -F.col("top.w"), F.coalesce(F.when(F.col("n") > 1, F.try_element_at("second", F.lit(1))), F.lit(0))
+    others = marked.where(told).join(s.select(key, "top"), key).where(rank[0] != F.col("top")).groupBy(key).agg(F.max("w").alias("second"))
+    s = s.join(others, key, "left")
+    top, second = -F.col("top.w"), F.coalesce("second", F.lit(0))
     rules = [
         ("affiliation", F.col("by_place").isNotNull(), F.col("by_place.r")),
         ("only_one", F.col("n") == 1, F.col("top.r")),

@@ -146,3 +146,17 @@ def q174_priority_union(docs, pages):
     chunked = docs.where("profile_id is not null").select("profile_id").distinct().withColumn("stage", F.lit("chunked"))
     cache = pages.where("id is not null").select(F.col("id").alias("profile_id")).distinct().withColumn("stage", F.lit("cache"))
     return dedup.priority_union(chunked, cache, ["profile_id"])
+
+
+@R.query("SELECT doc_id, 0 AS kind, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE text IS NOT NULL AND length(text) > 0 UNION ALL SELECT o_custkey, 1, CAST(round(exp(avg(ln(o_totalprice)))) AS BIGINT) FROM orders GROUP BY 1")
+def q175_udfs_in_sql(spark, d):
+    """A table function and an aggregate function of one's own, called in SQL: the pieces of each text add up to it."""
+    from lectern.functions.udfs import register
+
+    register(spark)
+    read_table(spark, d, "documents").createOrReplaceTempView("lectern_documents")
+    read_table(spark, d, "orders").createOrReplaceTempView("lectern_orders")
+    return spark.sql(
+        """SELECT doc_id, 0 AS kind, max(start + length(chunk)) AS chars FROM lectern_documents, LATERAL seventy_chunks(text, 1000) WHERE length(text) > 0 GROUP BY doc_id
+        UNION ALL SELECT o_custkey, 1, CAST(round(geometric_mean(o_totalprice)) AS BIGINT) FROM lectern_orders GROUP BY o_custkey"""
+    ).select("doc_id", "kind", F.col("chars").cast("bigint").alias("chars"))
