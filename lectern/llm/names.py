@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 from lectern.llm import person
 from lectern.operators.components import connected_components
 from lectern.operators.grouped import map_sorted_groups
+from lectern.operators.joins import BROADCAST_BYTES
 from lectern.session import stored
 
 FAMILY_LIKE, FAMILY_NEAR, GIVEN_LIKE, INSTITUTION_LIKE = 0.92, 0.84, 0.84, 0.87
 #: Institutions that the comparison holds in every task (a clean list of fixed size).
 MAX_INSTITUTIONS = 100_000
+#: Keys of one person beyond which its pairs are made in parts.
+PAIR_BLOCK = 1000
 
 _SEP = "\x1f"
 FIELDS = ("given", "middle", "family", "inst", "dept", "hint", "email")
@@ -292,64 +295,103 @@ def _adrift(left: DataFrame, alike: DataFrame) -> DataFrame:
     return joined.join(only, "c", "left").select("own", F.coalesce("to", "c").alias("person"))
 
 
-class _Group:
-    __slots__ = ("depts", "emails", "givens", "middles", "size")
+_Spelling = namedtuple("_Spelling", "given middle dept n")
 
-    def __init__(self):
-        self.givens, self.middles, self.depts, self.emails, self.size = set(), set(), set(), set(), 0
 
-    def add(self, given, middle, dept, email, n):
-        for s, v in ((self.givens, given), (self.middles, middle), (self.depts, dept), (self.emails, email)):
-            if v:
-                s.add(v)
-        self.size += n
+class _Persons:
+    """Disjoint sets of spellings, each with what its members tell."""
 
+    def __init__(self, rows: list[_Spelling]):
+        self.up = list(range(len(rows)))
+        self.given = [{r.given} - {""} for r in rows]
+        self.middle = [{r.middle} - {""} for r in rows]
+        self.dept = [{r.dept} - {""} for r in rows]
+        self.size = [r.n for r in rows]
 
-_Spelling = namedtuple("_Spelling", "node given middle dept email n")
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
 
+    def contradict(self, a: int, b: int) -> bool:
+        """Whether two sets tell different middle names or departments: where components are cut."""
+        return any(x[a] and x[b] and not x[a] & x[b] for x in (self.middle, self.dept))
 
-def resolve(rows: list[_Spelling]) -> list[int]:
-    """A person number for each distinct spelling of one family name at one institution."""
-    groups: list[_Group] = []
-    number = [0] * len(rows)
-    # full names first, better described and more frequent ones before others
-    order = sorted(range(len(rows)), key=lambda i: (len(rows[i].given) < 2, -(bool(rows[i].dept) + bool(rows[i].middle) + bool(rows[i].email)), -rows[i].n, rows[i].node))
-    for i in order:
-        r = rows[i]
-        best, best_score = None, -1.0
-        tied = False
-        for k, g in enumerate(groups):
-            same_email = bool(r.email) and r.email in g.emails
-            if len(r.given) > 1:
-                fits = any(given_alike(r.given, x) if len(x) > 1 else x == r.given[0] for x in g.givens) or not g.givens
-            else:
-                fits = not r.given or any(x[0] == r.given for x in g.givens) or not g.givens
-            if not fits:
-                continue
-            if not same_email and (r.middle and g.middles and r.middle not in g.middles or r.dept and g.depts and r.dept not in g.depts):
-                continue
-            exact = r.given in g.givens
-            score = 8 * same_email + 4 * exact * (len(r.given) > 1) + 2 * bool(r.dept and r.dept in g.depts) + 2 * bool(r.middle and r.middle in g.middles) + min(g.size, 50) / 100
-            if score > best_score + (1 if len(r.given) < 2 else 0):
-                best, best_score, tied = k, score, False
-            elif len(r.given) < 2 and abs(score - best_score) <= 1:
-                tied = True
-                if score > best_score:
-                    best, best_score = k, score
-        if best is None and len(r.given) > 1 and r.given not in person._GIVEN:
-            # a misspelt name belongs to the only group with its initial
-            near = [k for k, g in enumerate(groups) if any(x[0] == r.given[0] for x in g.givens)]
-            best = near[0] if len(near) == 1 else None
-        if best is None or tied and len(r.given) < 2:
-            alone = next((k for k, g in enumerate(groups) if tied and g.givens == {r.given} and (not r.middle or not g.middles or r.middle in g.middles) and (not r.dept or not g.depts or r.dept in g.depts)), None)
-            if alone is None:
-                groups.append(_Group())
-                best = len(groups) - 1
-            else:
-                best = alone
-        groups[best].add(r.given, r.middle, r.dept, r.email, r.n)
-        number[i] = best
-    return number
+    def join(self, i: int, j: int, force: bool = False) -> None:
+        a, b = self.root(i), self.root(j)
+        if a == b or not force and self.contradict(a, b):
+            return
+        self.up[b] = a
+        for x in (self.given, self.middle, self.dept):
+            x[a] |= x[b]
+        self.size[a] += self.size[b]
+
+
+def resolve(rows: list[_Spelling], links: list[list[int]] = ()) -> list[int]:
+    """A person number for each distinct spelling of one family name at one institution.
+
+    Pairs of full given names that are alike and don't contradict are accepted, the best
+    described first, and persons are the components of accepted pairs, cut where the two
+    sides tell different middle names or departments. ``links`` are spellings that share
+    an address, which stands above a contradiction. An initial joins the one person that
+    it may stand for; where several are as likely, initials stay among themselves.
+    """
+    sets = _Persons(rows)
+
+    def fits(a: str, b: str) -> bool:
+        if not a or not b:
+            return True
+        return given_alike(a, b) if len(a) > 1 and len(b) > 1 else a[0] == b[0]
+
+    for group in links:
+        for j in group[1:]:
+            if fits(rows[group[0]].given, rows[j].given):
+                sets.join(group[0], j, force=True)
+    full = [i for i, r in enumerate(rows) if len(r.given) > 1]
+    by_given: dict[str, list[int]] = {}
+    for i in full:
+        by_given.setdefault(rows[i].given, []).append(i)
+    names = sorted(by_given)
+    alike = {g: [h for h in names if h == g or given_alike(g, h)] for g in names}
+    pairs = []
+    for g in names:
+        for h in alike[g]:
+            for i in by_given[g]:
+                for j in by_given[h]:
+                    a, b = rows[i], rows[j]
+                    if i < j and not (a.middle and b.middle and a.middle != b.middle or a.dept and b.dept and a.dept != b.dept):
+                        pairs.append((-(4 * (g == h) + 2 * bool(a.dept and a.dept == b.dept) + 2 * bool(a.middle and a.middle == b.middle)), -(a.n + b.n), i, j))
+    for _, _, i, j in sorted(pairs):
+        sets.join(i, j)
+    # a misspelt name belongs to the only person with its initial
+    for i in sorted(full, key=lambda i: (rows[i].n, rows[i])):
+        own = sets.root(i)
+        if all(g not in person._GIVEN for g in sets.given[own]):
+            near = {r for k in full if (r := sets.root(k)) != own and any(g[0] == rows[i].given[0] for g in sets.given[r])}
+            if len(near) == 1:
+                sets.join(near.pop(), i)
+    settled = {sets.root(i) for i in full}
+    alone: list[int] = []
+    short = sorted((i for i, r in enumerate(rows) if len(r.given) < 2), key=lambda i: (-(bool(rows[i].dept) + bool(rows[i].middle)), -rows[i].n, rows[i]))
+    for i in short:
+        own = sets.root(i)
+        if own in {sets.root(k) for k in settled}:
+            continue
+        may = []
+        for k in {sets.root(k) for k in settled}:
+            if (not rows[i].given or not sets.given[k] or any(g[0] == rows[i].given[0] for g in sets.given[k])) and not sets.contradict(k, own):
+                may.append((2 * bool(sets.dept[k] & sets.dept[own]) + 2 * bool(sets.middle[k] & sets.middle[own]) + min(sets.size[k], 50) / 100, k))
+        may.sort(reverse=True)
+        if may and (len(may) == 1 or may[0][0] - may[1][0] > 1):
+            sets.join(may[0][1], i)
+            continue
+        same = next((k for k in alone if sets.root(k) != own and fits(rows[k].given, rows[i].given) and bool(rows[k].given) == bool(rows[i].given) and not sets.contradict(sets.root(k), own)), None)
+        if same is None:
+            alone.append(i)
+        else:
+            sets.join(same, i)
+    return [sets.root(i) for i in range(len(rows))]
 
 
 def persons(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:
@@ -359,14 +401,26 @@ def persons(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame
     placed = nodes.where("inst <> ''")
     clusters = stored(family_clusters(placed), "p2-families")
 
+    named = stored(placed.join(clusters, ["inst", "family"]).select("cluster", "node", "given", "middle", "dept", "email", "n"), "p2-named")
+    triple = ["given", "middle", "dept"]
+    # what a task holds of a family are its different given names, middle names and departments, and which share an address
+    spelt = named.groupBy("cluster", *triple).agg(F.sum("n").alias("n")).select("cluster", F.lit(0).alias("kind"), F.array(*triple).alias("of"), "n")
+    shared = named.where("email <> ''").groupBy("cluster", "email").agg(F.collect_set(F.array(*triple)).alias("s")).where("size(s) > 1")
+    linked_ = shared.select("cluster", "s").distinct().select("cluster", F.lit(1).alias("kind"), F.flatten(F.array_sort("s")).alias("of"), F.lit(0).cast("bigint").alias("n"))
+
     def number(key: tuple, group: Iterator[tuple]) -> Iterator[tuple]:
-        rows = [_Spelling(*r) for r in group]
-        for r, k in zip(rows, resolve(rows), strict=True):
-            yield r.node, f"{key[0]}{_SEP}{k}"
+        rows, links = [], []
+        for kind, of, n in group:
+            if kind == 0:
+                rows.append(_Spelling(*of, n))
+            else:
+                links.append([tuple(of[k : k + 3]) for k in range(0, len(of), 3)])
+        at = {(r.given, r.middle, r.dept): i for i, r in enumerate(rows)}
+        for r, k in zip(rows, resolve(rows, [[at[t] for t in ts] for ts in links]), strict=True):
+            yield key[0], r.given, r.middle, r.dept, f"{key[0]}{_SEP}{k}"
 
-    named = placed.join(clusters, ["inst", "family"])
-    at = map_sorted_groups(named, ["cluster"], list(_Spelling._fields), number, "node string, person string", order=["node"])
-    at = stored(at, "p2-placed")
+    of_triple = map_sorted_groups(spelt.unionByName(linked_), ["cluster"], ["kind", "of", "n"], number, "cluster string, given string, middle string, dept string, person string", order=["kind", "of"])
+    at = stored(named.join(stored(of_triple, "p2-triples"), ["cluster", *triple]).select("node", "person"), "p2-placed")
     loose = nodes.where("inst = ''").select("node", F.col("given").alias("k"), "family", "dept")
     # whom a name and department may mean: persons by full name and by initial
     both = F.explode(F.array_distinct(F.array("given", F.substring("given", 1, 1)))).alias("k")
@@ -410,5 +464,9 @@ def linked(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:
 def pairs(meta: DataFrame, decisions: DataFrame, inst: DataFrame) -> DataFrame:
     """(key_a, key_b) of all pairs of keys of one person, key_a < key_b."""
     found = stored(persons(meta, decisions, inst), "p2-persons")
-    a, b = found.select("person", F.col("key").alias("key_a")), found.select("person", F.col("key").alias("key_b"))
-    return a.join(b, "person").where("key_a < key_b").select("key_a", "key_b")
+    hot = found.groupBy("person").agg(F.count("*").alias("n")).where(F.col("n") > PAIR_BLOCK).select("person", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("parts"))
+    split = stored(found.join(F.broadcast(hot) if hot.count() * 64 <= BROADCAST_BYTES else hot, "person", "left").select("person", "key", F.coalesce("parts", F.lit(1)).alias("parts")), "p2-split")
+    # each key of a person is in one part on one side and in every part on the other
+    a = split.select("person", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.col("key").alias("key_a"))
+    b = split.select("person", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("key").alias("key_b"))
+    return a.join(b, ["person", "part"]).where("key_a < key_b").select("key_a", "key_b")
