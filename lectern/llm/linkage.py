@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import person
 from lectern.llm.names import compared, department, given_alike, institutions
+from lectern.operators.components import connected_components
 from lectern.session import stored
 
 #: Pseudo-counts of right and wrong pairs that each rule starts from.
@@ -112,6 +113,9 @@ RULES: list[tuple[str, list[str], bool]] = [
     ("initial, family one edit apart, institution", ["initial", "edit", "inst"], False),
     ("full name, department", ["given", "family", "dept"], True),
     ("full name", ["given", "family"], False),
+    ("full name one edit apart, department", ["given", "edit", "dept"], True),
+    ("full name one edit apart", ["given", "edit"], False),
+    ("initial, family, department", ["initial", "family", "dept"], True),
 ]
 
 
@@ -119,6 +123,10 @@ def _after(base: Column, sep: Column):
     return lambda e: F.concat(base, sep, e)
 
 
+def _with_each(ends: Column, sep: Column):
+    return lambda k: F.transform(ends, lambda e: F.concat(k, sep, e))
+
+
 def _numbered(n: int):
     return lambda k: F.struct(F.lit(n).alias("rule"), k.alias("key"))
 
@@ -146,7 +154,7 @@ def _keyed(side: DataFrame, rules: list[tuple[str, list[str], bool]], mark: str)
             other = "b" if mark == "a" else "a"
             # with this side blank every record of the other meets it; a told one only meets a blank one
             ends = F.when(F.coalesce(F.col("inst"), F.lit("")) == "", F.array(F.lit(mark), F.lit(other))).otherwise(F.array(F.lit(other)))
-            made = F.transform(ends, _after(base, sep))
+            made = F.flatten(F.transform(made, _with_each(ends, sep)))
         keys.append(F.when(told, F.transform(made, _numbered(n))).otherwise(F.array().cast("array<struct<rule:int,key:string>>")))
     rows = side.withColumn("_k", F.explode(F.concat(*keys)))
     return rows.select(F.col("_k.rule").alias("rule"), F.col("_k.key").alias("_key"), *[F.col(c).alias(f"{mark}_{c}") for c in ("key", "given", "initial", "middle", "family", "inst", "dept")])
@@ -181,7 +189,9 @@ def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str],
 
     The passes run as one exact join whose key begins with the number of the rule. The
     anti join of a pass then is a comparison: a pair stands if its rule is the first
-    that resolved either record, for then that record was still open in its pass.
+    that resolved either record, for then that record was still open in its pass. Pairs
+    that a weaker rule accepts stand too if both records already belong to one group of
+    resolved ones.
     A full name without institution on a side is accepted only where all partners of
     that record by the rule share one institution, an initial (unless the department is
     in the key) only where the full names that it may stand for are one.
@@ -216,7 +226,13 @@ def cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str],
     kept = sure.where("fits").select("rule", "a", "b")
     first = {c: kept.groupBy(c).agg(F.min("rule").alias(f"first_{c}")) for c in "ab"}
     open_still = kept.join(first["a"], "a").join(first["b"], "b").where((F.col("rule") == F.col("first_a")) | (F.col("rule") == F.col("first_b")))
-    pairs = open_still.groupBy("a", "b").agg(F.min("rule").alias("rule"))
+    resolved = stored(open_still.groupBy("a", "b").agg(F.min("rule").alias("rule")), "p7-resolved")
+    # pairs whose two records were resolved with others of one group come by their own rule
+    group = stored(connected_components(resolved.select(F.concat(F.lit("a"), "a").alias("a"), F.concat(F.lit("b"), "b").alias("b"))), "p7-groups")
+    side = {c: group.where(F.col("node").startswith(c)).select(F.expr("substring(node, 2)").alias(c), F.col("component").alias(f"group_{c}")) for c in "ab"}
+    rest = kept.groupBy("a", "b").agg(F.min("rule").alias("rule")).join(resolved.select("a", "b"), ["a", "b"], "left_anti")
+    late = rest.join(side["a"], "a").join(side["b"], "b").where("group_a = group_b").select("a", "b", "rule")
+    pairs = resolved.unionByName(late)
     titles = F.array(*[F.lit(name) for name, _, _ in rules])
     return pairs.join(F.broadcast(precisions(sure, rules)), "rule").withColumn("rule_name", F.element_at(titles, F.col("rule") + 1))
 
