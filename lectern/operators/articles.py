@@ -225,3 +225,24 @@ def chunk_quality(text: Column) -> Column:
 def trusted_links(article: Column) -> Column:
     """How many of an article's links lead to trusted hosts."""
     return F.size(F.filter(F.regexp_extract_all(F.coalesce(article, F.lit("")), F.lit(r"(https?://[^\s)\]>\"']+)"), 1), lambda u: L.source_score(U.host(u)) >= 2))
+
+
+def stronger_citations(articles: DataFrame, passages: DataFrame, key: str, article: str, passage: str, text: str, least: int = 3) -> DataFrame:
+    """(key, n, was, now): citations of paragraphs that share fewer than ``least`` words with what they cite, each with the cited passage of the same article that shares most.
+
+    Only what an article cites is compared with its paragraphs, so work follows the
+    citations; where no passage does better the citation isn't listed.
+    """
+    long = lambda c: F.array_distinct(F.filter(T.tokens(c), lambda w: F.length(w) >= 4))
+    p = articles.where(F.col(article).isNotNull()).select(key, F.posexplode(cited_paragraphs(F.col(article))).alias("n", "p")).select(key, "n", long(F.regexp_replace("p", CITED, " ")).alias("w"), F.array_distinct(F.regexp_extract_all("p", F.lit(CITED), 1)).alias("ids"))
+    pool = p.select(key, F.explode("ids").alias("c")).distinct().join(passages.where(F.col(text).isNotNull()).select(F.col(passage).cast("string").alias("c"), long(F.col(text)).alias("v")), "c")
+    own = p.select(key, "n", "w", F.explode("ids").alias("was")).join(pool.withColumnRenamed("c", "was"), [key, "was"], "left")
+    weak = own.select(key, "n", "w", "was", F.coalesce(F.size(F.array_intersect("w", "v")), F.lit(0)).alias("had")).where(F.col("had") < least)
+    scored = weak.join(pool, key).select(key, "n", "was", "had", F.size(F.array_intersect("w", "v")).alias("hits"), "c").where((F.col("c") != F.col("was")) & (F.col("hits") >= least) & (F.col("hits") > F.col("had")))
+    best = scored.groupBy(key, "n", "was").agg(F.min(F.struct((-F.col("hits")).alias("h"), "c")).alias("b"))
+    return best.select(key, "n", "was", F.col("b.c").alias("now"))
+
+
+def repaired(article: Column, name: Column, trend_url: Column, expected_url: Column) -> Column:
+    """(article, trend_url): an article without its person's bylines, and the link that it must name where it names another or none."""
+    return F.struct(without_bylines(article, name).alias("article"), F.when(L.external(trend_url) & (trend_url == expected_url), trend_url).otherwise(expected_url).alias("trend_url"))

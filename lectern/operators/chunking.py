@@ -380,3 +380,47 @@ def subject_chunks(chunks: DataFrame, id_col: str, name: str, quality: Column, n
     last = F.last(F.when(F.col("subject"), F.col(number)), ignorenulls=True).over(Window.partitionBy(id_col).orderBy(number).rowsBetween(Window.unboundedPreceding, 0))
     near = F.col(number) - F.coalesce(last, F.lit(-10)) <= 1
     return said.where("subject").unionByName(said.withColumn("_near", near).where(F.col("_near") & ~F.col("subject") & (quality >= 0) & continues_subject(F.col(text), F.col(name))).drop("_near"))
+
+
+def noise_segment(text: Column) -> Column:
+    """Whether a segment is mostly bot walls, references, page counters or digits, so that it isn't worth a model's time."""
+    from lectern.functions import cleaning as C
+
+    t = C.strip(F.coalesce(text, F.lit("")))
+    low, digits = F.lower(t), F.regexp_count(t, F.lit("[0-9]"))
+    return (t == "") | low.rlike(C.BOT) | low.rlike(C.REFERENCE) | (F.regexp_count(low, F.lit(C.PAGE_OF)) >= 6) | ((digits >= 80) & (F.regexp_count(t, F.lit(r"\p{L}")) <= digits))
+
+
+def embedded(rows: DataFrame, text: str, embed, size: int, out: str = "embedding", batch: int = 50) -> DataFrame:
+    """``rows`` with a vector of each text by ``embed``, a function from a list of texts to a list of vectors, called for ``batch`` texts at a time where the rows are.
+
+    Null and blank texts get null; a vector of another size is an error.
+    """
+    import pyspark.sql.types as t
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            found: list = [None] * len(s)
+            told = [i for i, x in enumerate(s) if isinstance(x, str) and x.strip()]
+            for a in range(0, len(told), batch):
+                part = told[a : a + batch]
+                for i, v in zip(part, embed([s.iloc[i] for i in part]), strict=True):
+                    if len(v) != size:
+                        raise ValueError(f"a vector of {len(v)} numbers where {size} were expected")
+                    found[i] = [float(x) for x in v]
+            yield pd.Series(found)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return rows.withColumn(out, F.pandas_udf(run, t.ArrayType(t.DoubleType()))(F.col(text)))
+
+
+def semantic_cuts(sentences: list[str], vectors: list[list[float]], drop: float = 0.3) -> list[int]:
+    """Places before which a new part begins: where the cosine of two neighbours falls by ``drop`` below the mean of all neighbours."""
+    import numpy as np
+
+    if len(sentences) < 3:
+        return []
+    v = np.asarray(vectors, dtype=float)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    near = (v[:-1] * v[1:]).sum(1)
+    return [int(i) + 1 for i in np.flatnonzero(near < near.mean() - drop)]

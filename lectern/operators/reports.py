@@ -51,3 +51,11 @@ def markdown(title: str, report: DataFrame, most: int = 1000) -> str:
     head = "| " + " | ".join(report.columns) + " |\n|" + "-|" * len(report.columns)
     cells = ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows]
     return "\n".join([f"# {title}", "", head, *cells, ""])
+
+
+def run_counters(rows: DataFrame, name: str = "run", **counts: Column) -> tuple[DataFrame, object]:
+    """``rows``, and an observation that holds their number and each count once an action has run over them: no pass of its own."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in counts.items()]), seen
