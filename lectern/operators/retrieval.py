@@ -127,6 +127,6 @@ def reranked(pool: DataFrame, score: str, cross: str, k: int, id_col: str, weigh
 
 def trend_score(dense: Column, lexical: Column, age_hours: Column, cross: Column | None = None) -> Column:
     """How well an issue fits a topic: vectors, words and recency (0.15 without a date), and a second judge's word where there is one."""
-    recent = F.coalesce(1.0 / (1.0 + F.greatest(age_hours, F.lit(0.0)) / 48.0), F.lit(0.15))
+    recent = F.when(age_hours.isNull(), 0.15).otherwise(1.0 / (1.0 + F.greatest(age_hours, F.lit(0.0)) / 48.0))
     d = F.greatest(F.coalesce(dense, F.lit(0.0)), F.lit(0.0))
     return 0.55 * d + 0.35 * lexical + 0.10 * recent if cross is None else 0.45 * d + 0.25 * lexical + 0.10 * recent + 0.20 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), cross))

@@ -8,7 +8,6 @@ without all pairs. Exact copies share a fingerprint and are compared once.
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 from collections.abc import Iterator
 
@@ -30,34 +29,23 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     Null and empty texts have fingerprint 0.
     """
-    words = docs.select(F.col(id_col), F.coalesce(T.tokens(F.col(text)), F.array().cast("array<string>")).alias("w"))
+    # the first eight bytes of each word's digest, one after the other, made in the JVM
+    digests = F.unhex(F.array_join(F.transform(F.coalesce(T.tokens(F.col(text)), F.array().cast("array<string>")), lambda w: F.substring(F.md5(w), 1, 16)), ""))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
-        shifts = np.arange(64, dtype=np.uint64)
         for batch in batches:
             out = []
-            for w in batch["w"]:
-                if not len(w):
-                    out.append(0)
-                    continue
-                if len(known) > 1_000_000:
-                    known.clear()
-                codes = np.empty(len(w), dtype=np.uint64)
-                for i, x in enumerate(w):
-                    h = known.get(x)
-                    if h is None:
-                        h = known[x] = int.from_bytes(hashlib.md5(x.encode("utf-8", "ignore")).digest()[:8], "big")
-                    codes[i] = h
+            for raw in batch["h"]:
+                rows = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8)
                 ones = np.zeros(64, dtype=np.int64)
-                for a in range(0, len(codes), 65_536):
-                    ones += ((codes[a : a + 65_536, None] >> shifts) & np.uint64(1)).sum(0).astype(np.int64)
-                out.append(int(sum(1 << i for i in range(64) if 2 * ones[i] > len(codes))))
+                for a in range(0, len(rows), 65_536):
+                    ones += np.unpackbits(rows[a : a + 65_536], axis=1).sum(0, dtype=np.int64)
+                out.append(int.from_bytes(np.packbits(2 * ones > len(rows)).tobytes(), "big") if len(rows) else 0)
             signed = [v - (1 << 64) if v >= 1 << 63 else v for v in out]
             yield pd.DataFrame({id_col: batch[id_col], "bits": signed, "simhash": [f"0x{v:016x}" for v in out]})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return words.mapInPandas(run, f"{id_col} {kind}, bits bigint, simhash string")
+    return docs.select(F.col(id_col), digests.alias("h")).mapInPandas(run, f"{id_col} {kind}, bits bigint, simhash string")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import articles, chunks, cleaning, collected, links, markup, people, persons, ranking, scores, stored, texts, web
+from lectern.plans import articles, chunks, cleaning, collected, ingest, links, markup, people, persons, ranking, scores, stored, texts, web
 from lectern.plans._base import Query
 
-_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R, cleaning.R, collected.R, scores.R, articles.R, stored.R, markup.R]
+_PARTS = [texts.R, web.R, chunks.R, people.R, ranking.R, links.R, persons.R, cleaning.R, collected.R, scores.R, articles.R, stored.R, markup.R, ingest.R]
 
 
 def queries() -> dict[str, Query]:

@@ -370,7 +370,7 @@ def q156_reranked(docs, vectors):
 
 
 @R.query(
-    f"""WITH {_DENSE}, s AS (SELECT doc_id, dense, {_PW} AS lexical, published_at FROM t LEFT JOIN v ON doc_id = vec_id) SELECT doc_id, round(0.55::DOUBLE * greatest(coalesce(dense, 0), 0) + 0.35::DOUBLE * lexical + 0.10::DOUBLE * coalesce(1.0::DOUBLE / (1 + greatest(date_diff('second', published_at, TIMESTAMP '2026-01-01 00:00:00') / 3600::DOUBLE, 0) / 48), 0.15), 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 5""",
+    f"""WITH {_DENSE}, s AS (SELECT doc_id, dense, {_PW} AS lexical, published_at FROM t LEFT JOIN v ON doc_id = vec_id) SELECT doc_id, round(0.55::DOUBLE * greatest(coalesce(dense, 0), 0) + 0.35::DOUBLE * lexical + 0.10::DOUBLE * CASE WHEN published_at IS NULL THEN 0.15 ELSE 1.0::DOUBLE / (1 + greatest(date_diff('second', published_at, TIMESTAMP '2026-01-01 00:00:00') / 3600::DOUBLE, 0) / 48) END, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 5""",
     "documents",
     "embeddings",
 )
