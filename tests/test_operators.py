@@ -163,3 +163,14 @@ def test_flagship_queries_run(spark, data, k):
     from lectern.plans import catalog
 
     assert catalog.queries()[k](spark, data).count() > 0
+
+
+def test_components_settled_by_one_task_or_by_rounds(spark, monkeypatch):
+    from lectern.operators import components
+
+    edges = spark.createDataFrame([("b", "a"), ("b", "c"), ("x", "y"), ("y", "z"), ("z", "w"), ("b", "a"), ("q", "q"), (None, "a"), ("é", "z1")], "a string, b string")
+    few = {tuple(r) for r in components.connected_components(edges).collect()}
+    assert few == {("a", "a"), ("b", "a"), ("c", "a"), ("w", "w"), ("x", "w"), ("y", "w"), ("z", "w"), ("z1", "z1"), ("é", "z1")}
+    assert components.connected_components(edges.limit(0)).count() == 0
+    monkeypatch.setattr(components, "FEW_EDGES", -1)
+    assert {tuple(r) for r in components.connected_components(edges).collect()} == few and components.connected_components(edges.limit(0)).count() == 0
