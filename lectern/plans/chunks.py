@@ -98,11 +98,6 @@ def q29_sections(pages):
     return chunking.section_spans(pages.select("id", "raw_text").distinct())
 
 
-@R.query(None, "documents")
-def q30_sentence_packs(docs):
-    return chunking.sentence_packs(docs)
-
-
 @R.query(None, "documents")
 def q31_boundary_windows(docs):
     return chunking.boundary_windows(docs)
@@ -214,13 +209,14 @@ def q137_section_packs(docs):
 
 
 @R.query(
-    f"""WITH RECURSIVE {_STEPS}, f AS (SELECT doc_id, r, n AS c, 0 AS k FROM x WHERE r = 1 UNION ALL SELECT x.doc_id, x.r, CASE WHEN f.c + x.n > 400 THEN x.n ELSE f.c + x.n END, CASE WHEN f.c + x.n > 400 THEN f.k + 1 ELSE f.k END FROM f JOIN x ON x.doc_id = f.doc_id AND x.r = f.r + 1)
-    SELECT doc_id, CAST(k AS INTEGER) AS chunk_no, CAST(max(c) AS INTEGER) AS words FROM f GROUP BY 1, 2""",
+    f"""WITH RECURSIVE y AS (SELECT doc_id, unnest(s) AS s, unnest(range(1, len(s) + 1)) AS r FROM (SELECT doc_id, {_SENT} AS s FROM documents WHERE text IS NOT NULL)), x AS (SELECT doc_id, s, r, len(list_filter(string_split_regex(s, '[\\s\\x{{A0}}]+'), lambda w: w <> '')) AS n FROM y),
+    f AS (SELECT doc_id, r, s, n AS c, 0 AS k FROM x WHERE r = 1 UNION ALL SELECT x.doc_id, x.r, x.s, CASE WHEN f.c > 0 AND f.c + x.n > 400 THEN x.n ELSE f.c + x.n END, CASE WHEN f.c > 0 AND f.c + x.n > 400 THEN f.k + 1 ELSE f.k END FROM f JOIN x ON x.doc_id = f.doc_id AND x.r = f.r + 1)
+    SELECT doc_id, CAST(k AS INTEGER) AS chunk_no, CAST(max(c) AS INTEGER) AS words, md5(string_agg(s, ' ' ORDER BY r)) AS chunk_md5 FROM f GROUP BY 1, 2""",
     "documents",
 )
-def q138_sentence_packs(docs):
+def q30_sentence_packs(docs):
     """Whole sentences of each text packed up to 400 words."""
-    return chunking.sentence_packs(docs).select("doc_id", "chunk_no", "words")
+    return chunking.sentence_packs(docs).select("doc_id", "chunk_no", "words", F.md5("chunk").alias("chunk_md5"))
 
 
 def _cut(size: int, rule: str) -> str:

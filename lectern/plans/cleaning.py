@@ -108,6 +108,15 @@ def q94_consent_free(pages):
     return cleaners.consent_free(_pages(pages), "id", "raw")
 
 
+@R.query(f"WITH {_PAGES} SELECT id, true AS only_own_lines, true AS none_left, length(raw) >= 0 AS shorter FROM e", "extracted_content")
+def q181_consent_gone(pages):
+    """Whether what is left of each page are lines of its own, none of which speaks of cookies."""
+    left = cleaners.consent_free(_pages(pages), "id", "raw").join(_pages(pages, out="was"), "id")
+    rows = lambda c: F.transform(F.split(c, "\n"), C.strip)
+    own = F.size(F.array_except(F.filter(rows("raw"), lambda s: s != ""), rows("was"))) == 0
+    return left.select("id", own.alias("only_own_lines"), (~F.exists(rows("raw"), lambda s: F.lower(s).rlike("cookie|gdpr|ccpa"))).alias("none_left"), (F.col("removed") >= 0).alias("shorter"))
+
+
 _SAID = " + ".join(f"CAST(contains(lower(raw), '{w}') AS INTEGER)" for w in "cookie|cookies|cookie policy|cookie notice|cookie consent|strictly necessary cookies|performance cookies|functional cookies|targeting cookies|about cookies|cookie information|always active|cookies and related technologies".split("|"))
 
 
