@@ -98,7 +98,7 @@ def institutions(table: DataFrame) -> Institutions:
 def department(s: str | None) -> str:
     """The first telling word of a department's name."""
     words = [w for w in re.findall(r"[a-z]+", person.plain(s or "")) if w not in ("dept", "department", "of", "school", "faculty", "division", "institute", "the", "for", "portrait")]
-    return words[0][:6] if words else ""
+    return words[0] if words else ""
 
 
 def compared(family: str) -> str:
