@@ -14,6 +14,9 @@ from lectern.session import stored
 
 _WORDS = re.compile(r"[a-z0-9]+(?:'[a-z]+)?")
 
+#: Different words that topics are made of at most, the most frequent ones; a million holds those of any language.
+VOCABULARY = 1 << 20
+
 
 def phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 2, least_docs: int = 3) -> DataFrame:
     """(phrase, docs, hits, weight) of runs of ``n`` words of four letters and more, by hits x log inverse frequency."""
@@ -46,7 +49,18 @@ def _counted(docs: DataFrame, id_col: str, text: str, vocabulary: int):
     return counter.vocabulary, counted, IDF(inputCol="counts", outputCol="tfidf").fit(counted).transform(counted)
 
 
-def kmeans_topics(docs: DataFrame, k: int = 8, id_col: str = "doc_id", text: str = "text", vocabulary: int = 2000, seed: int = 42) -> DataFrame:
+def _entries(docs: DataFrame, id_col: str, text: str, vocabulary: int) -> tuple[list[str], DataFrame]:
+    """The vocabulary (words of two documents and more, the most common first), and (i, x) of each document: its words' places in it and their TF-IDF."""
+    words = F.filter(T.tokens(F.coalesce(F.col(text), F.lit(""))), lambda w: F.length(w) >= 5)
+    pairs = stored(docs.select(F.col(id_col).alias("d"), F.explode(words).alias("w")).groupBy("d", "w").agg(F.count("*").alias("n")), "nmf-words")
+    common = pairs.groupBy("w").agg(F.count("*").alias("df")).where("df >= 2").orderBy(F.col("df").desc(), "w").limit(vocabulary).collect()  # at most the vocabulary
+    total = docs.count()
+    known = docs.sparkSession.createDataFrame([(r.w, i, float(np.log((total + 1) / (r.df + 1)))) for i, r in enumerate(common)], "w string, i int, idf double")
+    listed = pairs.join(known, "w").groupBy("d").agg(F.sort_array(F.collect_list(F.struct("i", (F.col("n") * F.col("idf")).alias("x")))).alias("e"))
+    return [r.w for r in common], listed.select(F.transform("e", lambda e: e["i"]).alias("i"), F.transform("e", lambda e: e["x"]).alias("x"))
+
+
+def kmeans_topics(docs: DataFrame, k: int = 8, id_col: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, seed: int = 42) -> DataFrame:
     """(doc_id, cluster) by k-means on normalised TF-IDF."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
@@ -57,7 +71,7 @@ def kmeans_topics(docs: DataFrame, k: int = 8, id_col: str = "doc_id", text: str
     return model.transform(unit).select(id_col, "cluster")
 
 
-def lda_topics(docs: DataFrame, k: int = 8, top: int = 8, id_col: str = "doc_id", text: str = "text", vocabulary: int = 2000, seed: int = 42) -> DataFrame:
+def lda_topics(docs: DataFrame, k: int = 8, top: int = 8, id_col: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, seed: int = 42) -> DataFrame:
     """(topic, place, word, weight) of the words that mark each topic."""
     from pyspark.ml.clustering import LDA
 
@@ -68,17 +82,15 @@ def lda_topics(docs: DataFrame, k: int = 8, top: int = 8, id_col: str = "doc_id"
     return flat.select("topic", "place", F.element_at(named, F.col("t.termIndices") + 1).alias("word"), F.round("t.termWeights", 6).alias("weight"))
 
 
-def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_col: str = "doc_id", text: str = "text", vocabulary: int = 1000, seed: int = 42) -> DataFrame:
+def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_col: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, seed: int = 42) -> DataFrame:
     """(topic, place, word, weight) by non-negative factors of TF-IDF.
 
     Multiplicative updates: each task keeps the rows of W of its documents implicit by
     solving them anew, and returns sums of the size vocabulary x k, which alone reach
     the driver. Documents are never collected.
     """
-    words, _, weighted = _counted(docs, id_col, text, vocabulary)
-    from pyspark.ml.functions import vector_to_array
-
-    rows = stored(weighted.select(F.col(id_col), vector_to_array("tfidf", "float32").alias("x")), "nmf")
+    words, entries = _entries(docs, id_col, text, vocabulary)
+    rows = stored(entries, "nmf")
     v = len(words)
     if not v:
         return docs.sparkSession.createDataFrame([], "topic int, place int, word string, weight double")
@@ -88,17 +100,29 @@ def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_c
 
         def sums(batches, shared=shared):
             h = shared.value
+            hh = h @ h.T
             up, gram = np.zeros((k, v)), np.zeros((k, k))
             for b in batches:
-                x = np.stack(b["x"].to_numpy()).astype(float) if len(b) else np.zeros((0, v))
-                w = np.full((len(x), k), 0.5)
+                told = b[b["i"].map(len) > 0]
+                if not len(told):
+                    continue
+                n = told["i"].map(len).to_numpy()
+                i, x = np.concatenate(told["i"].to_numpy()), np.concatenate(told["x"].to_numpy())
+                starts = np.r_[0, np.cumsum(n)[:-1]]
+                xh = np.add.reduceat(h[:, i].T * x[:, None], starts, axis=0)
+                w = np.full((len(n), k), 0.5)
                 for _ in range(8):
-                    w *= (x @ h.T) / np.maximum(w @ (h @ h.T), 1e-9)
-                up += w.T @ x
+                    w *= xh / np.maximum(w @ hh, 1e-9)
+                wide = np.repeat(w, n, axis=0)
+                for t in range(k):
+                    up[t] += np.bincount(i, wide[:, t] * x, minlength=v)
                 gram += w.T @ w
-            yield pd.DataFrame({"i": np.repeat(np.arange(k), v + k), "j": np.tile(np.arange(v + k), k), "s": np.hstack([up, gram]).ravel()})
+            used = np.flatnonzero(up.any(0))
+            both = np.hstack([up[:, used], gram])
+            at = np.r_[used, v + np.arange(k)]
+            yield pd.DataFrame({"i": np.repeat(np.arange(k), len(at)), "j": np.tile(at, k), "s": both.ravel()})
 
-        added = rows.select("x").mapInPandas(sums, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()  # k x (vocabulary + k) numbers
+        added = rows.mapInPandas(sums, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()  # k x (vocabulary + k) numbers
         total = np.zeros((k, v + k))
         for r in added:
             total[r.i, r.j] = r.s
