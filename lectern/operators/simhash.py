@@ -58,7 +58,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
         mask -= (1 << 64) if mask >= 1 << 63 else 0
         keys.append(F.struct(F.lit(len(keys)).alias("t"), F.col("bits").bitwiseAND(F.lit(mask)).alias("k")))
     filed = distinct.select("bits", F.explode(F.array(*keys)).alias("f")).select("bits", "f.t", "f.k")
-    a, b = filed.select("t", "k", F.col("bits").alias("a")), filed.select("t", "k", F.col("bits").alias("b"))
+    # Spark counts an exploded row once, so its estimate of these 20 rows a fingerprint would let it broadcast them; merged, they aren't held at once
+    a, b = filed.select("t", "k", F.col("bits").alias("a")).hint("merge"), filed.select("t", "k", F.col("bits").alias("b")).hint("merge")
     near = stored(a.join(b, ["t", "k"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= NEAR).select("a", "b").distinct(), "simhash-near")
     links = near.select(F.col("a").alias("bits")).unionByName(near.select(F.col("b").alias("bits"))).groupBy("bits").agg(F.count("*").alias("links"))
     found = connected_components(near).select(F.col("node").alias("bits"), "component")

@@ -129,6 +129,22 @@ def test_simhash_classes_against_brute_force(spark):
     assert {tuple(r) for r in simhash.classes(docs).collect()} == want
 
 
+def test_simhash_keys_are_not_broadcast(spark, monkeypatch):
+    held = {}
+
+    def kept(df, name, **more):
+        held[name] = df
+        return stored(df, name, **more)
+
+    stored = simhash.stored
+    monkeypatch.setattr(simhash, "stored", kept)
+    docs = spark.createDataFrame([(i, f"w{i} ice lakes rivers") for i in range(50)], "doc_id int, text string")
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    assert simhash.classes(docs).count() == 50
+    plan = held["simhash-near"]._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_candidates_and_names(spark):
     left = spark.createDataFrame([(1, "ann lee"), (2, "bo ray"), (3, "no one")], "id int, n string")
     right = spark.createDataFrame([("i1", "ann lee"), ("i2", "bo ray"), ("i3", "bo ray"), ("i3", "bo ray")], "img string, m string")
