@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lectern.functions import text as T
-from lectern.session import stored
+from lectern.session import dropped, stored
 
 _WORDS = re.compile(r"[a-z0-9]+(?:'[a-z]+)?")
 
 #: Different words that topics are made of at most, the most frequent ones; a million holds those of any language.
 VOCABULARY = 1 << 20
+#: Words that a batch of factors or sums holds.
+PART = 1 << 16
 
 
 def phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 2, least_docs: int = 3) -> DataFrame:
@@ -49,15 +57,55 @@ def _counted(docs: DataFrame, id_col: str, text: str, vocabulary: int):
     return counter.vocabulary, counted, IDF(inputCol="counts", outputCol="tfidf").fit(counted).transform(counted)
 
 
-def _entries(docs: DataFrame, id_col: str, text: str, vocabulary: int) -> tuple[list[str], DataFrame]:
-    """The vocabulary (words of two documents and more, the most common first), and (i, x) of each document: its words' places in it and their TF-IDF."""
-    words = F.filter(T.tokens(F.coalesce(F.col(text), F.lit(""))), lambda w: F.length(w) >= 5)
-    pairs = stored(docs.select(F.col(id_col).alias("d"), F.explode(words).alias("w")).groupBy("d", "w").agg(F.count("*").alias("n")), "nmf-words")
-    common = pairs.groupBy("w").agg(F.count("*").alias("df")).where("df >= 2").orderBy(F.col("df").desc(), "w").limit(vocabulary).collect()  # at most the vocabulary
-    total = docs.count()
-    known = docs.sparkSession.createDataFrame([(r.w, i, float(np.log((total + 1) / (r.df + 1)))) for i, r in enumerate(common)], "w string, i int, idf double")
-    listed = pairs.join(known, "w").groupBy("d").agg(F.sort_array(F.collect_list(F.struct("i", (F.col("n") * F.col("idf")).alias("x")))).alias("e"))
-    return [r.w for r in common], listed.select(F.transform("e", lambda e: e["i"]).alias("i"), F.transform("e", lambda e: e["x"]).alias("x"))
+def _read(files: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of parquet files in the shared folder, a batch at a time: a worker reads there what is too large to pass through the driver."""
+    for f in files:
+        system, at = pafs.FileSystem.from_uri(f)
+        with system.open_input_file(at) as opened:
+            yield from pq.ParquetFile(opened).iter_batches()
+
+
+#: The factors that a worker read last, by their files.
+_HELD: dict[tuple[str, ...], np.ndarray] = {}
+
+
+def _factors(files: list[str], v: int, k: int) -> np.ndarray:
+    """The topics' weights of each word, v x k; tasks of one worker read them once."""
+    if tuple(files) not in _HELD:
+        _HELD.clear()
+        h = np.zeros((v, k))
+        for b in _read(files):
+            j = b.column("j").to_numpy()
+            for t in range(k):
+                h[j, t] = b.column(f"h{t}").to_numpy()
+        _HELD[tuple(files)] = h
+    return _HELD[tuple(files)]
+
+
+def _vocabulary(words: DataFrame, most: int) -> DataFrame:
+    """(i, w, df) of the words of two documents and more, numbered with the most common first, in a table."""
+    common = words.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("df")).where("df >= 2").orderBy(F.col("df").desc(), "w").limit(most)
+    place = F.row_number().over(Window.orderBy(F.col("df").desc(), "w"))  # at most the vocabulary, in one task
+    return stored(common.select((place - 1).alias("i"), "w", "df"), "nmf-words")
+
+
+def _entries(words: DataFrame, known: DataFrame, v: int) -> DataFrame:
+    """(i, x) of each document with words of the vocabulary: their places in it and their TF-IDF."""
+    total, files = words.count(), known.inputFiles()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(_read(files)).sort_by("i")
+        named, idf = table["w"].combine_chunks(), np.log((total + 1) / (table["df"].to_numpy() + 1))
+        for b in batches:
+            lists = b.column(0)
+            at = pc.fill_null(pc.index_in(lists.flatten().cast(named.type), value_set=named), -1).to_numpy()
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            pairs, n = np.unique((row * v + at)[at >= 0], return_counts=True)
+            row, i = np.divmod(pairs, v)
+            starts = np.r_[np.flatnonzero(np.diff(row, prepend=-1)), len(row)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts, pa.array(i.astype(np.int32))), pa.ListArray.from_arrays(starts, pa.array(n * idf[i]))], ["i", "x"])
+
+    return stored(words.mapInArrow(listed, "i array<int>, x array<double>"), "nmf")
 
 
 def kmeans_topics(docs: DataFrame, k: int = 8, id_col: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, seed: int = 42) -> DataFrame:
@@ -83,52 +131,76 @@ def lda_topics(docs: DataFrame, k: int = 8, top: int = 8, id_col: str = "doc_id"
 
 
 def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_col: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, seed: int = 42) -> DataFrame:
-    """(topic, place, word, weight) by non-negative factors of TF-IDF.
+    """(topic, place, word, weight) by non-negative factors of TF-IDF; each row is a document.
 
     Multiplicative updates: each task keeps the rows of W of its documents implicit by
-    solving them anew, and returns sums of the size vocabulary x k, which alone reach
-    the driver. Documents are never collected.
+    solving them anew, and gives the sums of its words. Vocabulary, sums and factors are
+    tables in the shared folder, where tasks read and write them; only numbers of the
+    size k x k reach the driver. A task holds factors and sums, vocabulary x k each.
     """
-    words, entries = _entries(docs, id_col, text, vocabulary)
-    rows = stored(entries, "nmf")
-    v = len(words)
+    spark = docs.sparkSession
+    words = docs.select(F.filter(T.tokens(F.coalesce(F.col(text), F.lit(""))), lambda w: F.length(w) >= 5).alias("words"))
+    known = _vocabulary(words, vocabulary)
+    v = known.count()
     if not v:
-        return docs.sparkSession.createDataFrame([], "topic int, place int, word string, weight double")
-    h = np.random.default_rng(seed).random((k, v)) + 0.1
+        return spark.createDataFrame([], "topic int, place int, word string, weight double")
+    rows = _entries(words, known, v).coalesce(spark.sparkContext.defaultParallelism)  # each task gives a row for each of its words
+    hs, ss = [f"h{t}" for t in range(k)], [f"s{t}" for t in range(k)]
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            h = np.random.default_rng(seed).random((k, v)) + 0.1
+            for a in range(0, v, PART):
+                part = h[:, a : a + PART]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + part.shape[1], dtype=np.int32)), *map(pa.array, part)], ["j", *hs])
+
+    factors = stored(spark.range(1, numPartitions=1).mapInArrow(first, ", ".join(["j int", *[f"{c} double" for c in hs]])), "nmf-factors")
     for _ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(h)
+        files = factors.inputFiles()
 
-        def sums(batches, shared=shared):
-            h = shared.value
-            hh = h @ h.T
-            up, gram = np.zeros((k, v)), np.zeros((k, k))
+        def sums(batches: Iterator[pa.RecordBatch], files=files) -> Iterator[pa.RecordBatch]:
+            h = _factors(files, v, k)
+            hh = h.T @ h
+            up, gram = np.zeros((v, k)), np.zeros((k, k))
+            for b in batches:
+                ends = b.column(0).offsets.to_numpy() - b.column(0).offsets[0].as_py()
+                all_i, all_x = b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy()
+                a = 0
+                while a < len(b):  # as many documents as have so many words
+                    z = max(a + 1, int(np.searchsorted(ends, ends[a] + 4 * PART, "right")) - 1)
+                    i, x, n = all_i[ends[a] : ends[z]], all_x[ends[a] : ends[z]], np.diff(ends[a : z + 1])
+                    xh = np.add.reduceat(h[i] * x[:, None], ends[a:z] - ends[a])
+                    w = np.full((z - a, k), 0.5)
+                    for _ in range(8):
+                        w *= xh / np.maximum(w @ hh, 1e-9)
+                    order = np.argsort(i, kind="stable")
+                    i, wide = i[order], (np.repeat(w, n, axis=0) * x[:, None])[order]
+                    starts = np.flatnonzero(np.diff(i, prepend=-1))
+                    up[i[starts]] += np.add.reduceat(wide, starts)
+                    gram += w.T @ w
+                    a = z
+            used = np.flatnonzero(up.any(1)).astype(np.int32)
+            for a in range(0, len(used), PART):
+                j = used[a : a + PART]
+                yield pa.RecordBatch.from_arrays([pa.array(j), *map(pa.array, up[j].T.copy())], ["j", *ss])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-k, 0, dtype=np.int32)), *map(pa.array, gram)], ["j", *ss])  # below the words
+
+        added = rows.mapInArrow(sums, ", ".join(["j int", *[f"{c} double" for c in ss]])).groupBy("j").agg(*[F.sum(c).alias(c) for c in ss])
+        added = stored(added, "nmf-sums")
+        gram = np.array([r[1:] for r in sorted(added.where("j < 0").collect())])  # k x k
+
+        def moved(batches: Iterator[pa.RecordBatch], gram=gram) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                told = b[b["i"].map(len) > 0]
-                if not len(told):
-                    continue
-                n = told["i"].map(len).to_numpy()
-                i, x = np.concatenate(told["i"].to_numpy()), np.concatenate(told["x"].to_numpy())
-                starts = np.r_[0, np.cumsum(n)[:-1]]
-                xh = np.add.reduceat(h[:, i].T * x[:, None], starts, axis=0)
-                w = np.full((len(n), k), 0.5)
-                for _ in range(8):
-                    w *= xh / np.maximum(w @ hh, 1e-9)
-                wide = np.repeat(w, n, axis=0)
-                for t in range(k):
-                    up[t] += np.bincount(i, wide[:, t] * x, minlength=v)
-                gram += w.T @ w
-            used = np.flatnonzero(up.any(0))
-            both = np.hstack([up[:, used], gram])
-            at = np.r_[used, v + np.arange(k)]
-            yield pd.DataFrame({"i": np.repeat(np.arange(k), len(at)), "j": np.tile(at, k), "s": both.ravel()})
-
-        added = rows.mapInPandas(sums, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()  # k x (vocabulary + k) numbers
-        total = np.zeros((k, v + k))
-        for r in added:
-            total[r.i, r.j] = r.s
-        h *= total[:, :v] / np.maximum(total[:, v:] @ h, 1e-9)
-    out = [(t, p, words[j], float(round(h[t, j], 6))) for t in range(k) for p, j in enumerate(np.argsort(-h[t], kind="stable")[:top])]
-    return docs.sparkSession.createDataFrame(out, "topic int, place int, word string, weight double")
+                h, s = (np.array([b.column(c).to_numpy() for c in names]) for names in (hs, ss))
+                yield pa.RecordBatch.from_arrays([b.column("j"), *map(pa.array, h * (s / np.maximum(gram @ h, 1e-9)))], ["j", *hs])
+
+        before = factors
+        factors = stored(before.join(added.where("j >= 0"), "j", "left").fillna(0.0, ss).mapInArrow(moved, before.schema), "nmf-factors")
+        for done in (before, added):
+            dropped(done)
+    weights = factors.select("j", F.posexplode(F.array(*hs)).alias("topic", "h"))
+    tops = weights.withColumn("n", F.row_number().over(Window.partitionBy("topic").orderBy(F.col("h").desc(), "j"))).where(F.col("n") <= top)
+    return tops.join(known, tops["j"] == known["i"]).select("topic", (F.col("n") - 1).alias("place"), F.col("w").alias("word"), F.round("h", 6).alias("weight"))
 
 
 # ---------------------------------------------------------------- topics in words

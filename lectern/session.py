@@ -71,6 +71,14 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(at)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete a table that ``stored`` gave and that nothing reads any more."""
+    spark = table.sparkSession
+    for at in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(at))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan that yields fewer splits than there are cores.
 

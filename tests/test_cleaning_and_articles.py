@@ -1,7 +1,10 @@
 import io
+import random
 import zipfile
 import zlib
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lectern.functions import cleaning as C
@@ -131,6 +134,32 @@ def test_planted_topics(spark):
     assert all(t <= set(words[0]) or t <= set(words[1]) for t in tops.values())
 
 
+def test_topic_factors_stay_off_the_driver(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(("lakes", "rivers", "verses")) + str(rnd.randrange(60)) for _ in range(rnd.randrange(1, 50))) for _ in range(80)]
+    docs = spark.createDataFrame([*enumerate(texts), (98, None), (99, "no word")], "doc_id int, text string")
+    held = []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: held.append(collect(df)) or held[-1])
+    got = mining.nmf_topics(docs, k=2, top=500, rounds=3)
+    assert max(map(len, held), default=0) <= 2  # neither words nor factors
+    n = [Counter(t.split()) for t in texts]
+    df = Counter(w for c in n for w in c)
+    words = sorted((w for w in df if df[w] >= 2), key=lambda w: (-df[w], w))
+    x = np.array([[c[w] * np.log((len(texts) + 3) / (df[w] + 1)) for w in words] for c in n])
+    h = np.random.default_rng(42).random((2, len(words))) + 0.1
+    for _ in range(3):
+        w = np.full((len(x), 2), 0.5)
+        for _ in range(8):
+            w *= (x @ h.T) / np.maximum(w @ (h @ h.T), 1e-9)
+        h *= (w.T @ x) / np.maximum(w.T @ w @ h, 1e-9)
+    want = {(t, words[j]): h[t, j] for t in range(2) for j in range(len(words))}
+    rows = collect(got)
+    assert {(r.topic, r.word) for r in rows} == set(want) and all(abs(r.weight - want[r.topic, r.word]) < 1e-5 for r in rows)
+    assert [r.weight for r in sorted(rows, key=lambda r: (r.topic, r.place)) if r.topic == 0] == sorted((r.weight for r in rows if r.topic == 0), reverse=True)
+    assert collect(mining.nmf_topics(docs.limit(0))) == []
+
+
 def test_documents(spark, tmp_path):
     at = tmp_path / "docs"
     at.mkdir()
