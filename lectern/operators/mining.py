@@ -22,7 +22,9 @@ _WORDS = re.compile(r"[a-z0-9]+(?:'[a-z]+)?")
 
 #: Different words that topics are made of at most, the most frequent ones; a million holds those of any language.
 VOCABULARY = 1 << 20
-#: Words that a batch of factors or sums holds.
+#: Words of five letters, digits or underscores and more; runs of fewer have no match.
+LONG_WORD = T.WORD.removesuffix("+") + "{5,}"
+#: Words that a batch of factors or sums holds, and of documents that are solved at once.
 PART = 1 << 16
 
 
@@ -65,21 +67,33 @@ def _read(files: list[str]) -> Iterator[pa.RecordBatch]:
             yield from pq.ParquetFile(opened).iter_batches()
 
 
-#: The factors that a worker read last, by their files.
-_HELD: dict[tuple[str, ...], np.ndarray] = {}
+#: The factors that a worker has, and the shape, seed and steps that led to them.
+_HELD: list[tuple] = []
 
 
-def _factors(files: list[str], v: int, k: int) -> np.ndarray:
-    """The topics' weights of each word, v x k; tasks of one worker read them once."""
-    if tuple(files) not in _HELD:
-        _HELD.clear()
-        h = np.zeros((v, k))
+def _factors(shape: tuple[int, int], seed: int, steps: list[tuple[list[str], np.ndarray]]) -> np.ndarray:
+    """The topics' weights of each word, v x k, after ``steps``, each with its files of sums and its k x k products.
+
+    A worker goes on from the factors that it has; one that has none, or others, takes all steps.
+    """
+    names = [files for files, _ in steps]
+    held, _HELD[:] = _HELD[:], []  # nothing is held if a step fails
+    h, done = next(((h, done) for h, done, *of in held if of == [shape, seed] and done == names[: len(done)]), (None, []))
+    held = None
+    if h is None:
+        rnd, h = np.random.default_rng(seed), np.empty(shape)
+        for t in range(shape[1]):
+            h[:, t] = rnd.random(shape[0]) + 0.1
+    for files, gram in steps[len(done) :]:
+        moved = np.zeros(shape)  # a word without sums has no weight any more
         for b in _read(files):
             j = b.column("j").to_numpy()
-            for t in range(k):
-                h[j, t] = b.column(f"h{t}").to_numpy()
-        _HELD[tuple(files)] = h
-    return _HELD[tuple(files)]
+            s, told = np.array([b.column(f"s{t}").to_numpy() for t in range(shape[1])]).T[j >= 0], j[j >= 0]
+            moved[told] = h[told] * (s / np.maximum(h[told] @ gram, 1e-9))
+        h = moved
+        pa.default_memory_pool().release_unused()
+    _HELD.append((h, names, shape, seed))
+    return h
 
 
 def _vocabulary(words: DataFrame, most: int) -> DataFrame:
@@ -104,6 +118,7 @@ def _entries(words: DataFrame, known: DataFrame, v: int) -> DataFrame:
             row, i = np.divmod(pairs, v)
             starts = np.r_[np.flatnonzero(np.diff(row, prepend=-1)), len(row)].astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts, pa.array(i.astype(np.int32))), pa.ListArray.from_arrays(starts, pa.array(n * idf[i]))], ["i", "x"])
+        pa.default_memory_pool().release_unused()  # the worker stays, and needs it for the factors
 
     return stored(words.mapInArrow(listed, "i array<int>, x array<double>"), "nmf")
 
@@ -134,51 +149,42 @@ def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_c
     """(topic, place, word, weight) by non-negative factors of TF-IDF; each row is a document.
 
     Multiplicative updates: each task keeps the rows of W of its documents implicit by
-    solving them anew, and gives the sums of its words. Vocabulary, sums and factors are
-    tables in the shared folder, where tasks read and write them; only numbers of the
-    size k x k reach the driver. A task holds factors and sums, vocabulary x k each.
+    solving them anew, and gives the sums of its words. Vocabulary and sums are tables in
+    the shared folder, where tasks read them and move their factors by them; only numbers
+    of the size k x k reach the driver. A task holds factors and sums, vocabulary x k each.
     """
     spark = docs.sparkSession
-    words = docs.select(F.filter(T.tokens(F.coalesce(F.col(text), F.lit(""))), lambda w: F.length(w) >= 5).alias("words"))
+    words = stored(docs.select(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(LONG_WORD), 0).alias("words")), "nmf-texts")
     known = _vocabulary(words, vocabulary)
     v = known.count()
     if not v:
         return spark.createDataFrame([], "topic int, place int, word string, weight double")
     rows = _entries(words, known, v).coalesce(spark.sparkContext.defaultParallelism)  # each task gives a row for each of its words
+    dropped(words)
     hs, ss = [f"h{t}" for t in range(k)], [f"s{t}" for t in range(k)]
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _ in batches:
-            h = np.random.default_rng(seed).random((k, v)) + 0.1
-            for a in range(0, v, PART):
-                part = h[:, a : a + PART]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + part.shape[1], dtype=np.int32)), *map(pa.array, part)], ["j", *hs])
-
-    factors = stored(spark.range(1, numPartitions=1).mapInArrow(first, ", ".join(["j int", *[f"{c} double" for c in hs]])), "nmf-factors")
+    steps: list[tuple[list[str], np.ndarray]] = []
+    tables = []
     for _ in range(rounds):
-        files = factors.inputFiles()
 
-        def sums(batches: Iterator[pa.RecordBatch], files=files) -> Iterator[pa.RecordBatch]:
-            h = _factors(files, v, k)
+        def sums(batches: Iterator[pa.RecordBatch], steps=tuple(steps)) -> Iterator[pa.RecordBatch]:
+            h = _factors((v, k), seed, steps)
             hh = h.T @ h
-            up, gram = np.zeros((v, k)), np.zeros((k, k))
+            up, gram = np.zeros(v * k), np.zeros((k, k))
             for b in batches:
                 ends = b.column(0).offsets.to_numpy() - b.column(0).offsets[0].as_py()
                 all_i, all_x = b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy()
                 a = 0
                 while a < len(b):  # as many documents as have so many words
-                    z = max(a + 1, int(np.searchsorted(ends, ends[a] + 4 * PART, "right")) - 1)
-                    i, x, n = all_i[ends[a] : ends[z]], all_x[ends[a] : ends[z]], np.diff(ends[a : z + 1])
-                    xh = np.add.reduceat(h[i] * x[:, None], ends[a:z] - ends[a])
+                    z = max(a + 1, int(np.searchsorted(ends, ends[a] + PART, "right")) - 1)
+                    i, x = all_i[ends[a] : ends[z]], all_x[ends[a] : ends[z], None]
+                    xh = np.add.reduceat(h[i] * x, ends[a:z] - ends[a])
                     w = np.full((z - a, k), 0.5)
                     for _ in range(8):
                         w *= xh / np.maximum(w @ hh, 1e-9)
-                    order = np.argsort(i, kind="stable")
-                    i, wide = i[order], (np.repeat(w, n, axis=0) * x[:, None])[order]
-                    starts = np.flatnonzero(np.diff(i, prepend=-1))
-                    up[i[starts]] += np.add.reduceat(wide, starts)
+                    np.add.at(up, (i.astype(np.int64)[:, None] * k + np.arange(k)).ravel(), (np.repeat(w, np.diff(ends[a : z + 1]), axis=0) * x).ravel())
                     gram += w.T @ w
                     a = z
+            up = up.reshape(v, k)
             used = np.flatnonzero(up.any(1)).astype(np.int32)
             for a in range(0, len(used), PART):
                 j = used[a : a + PART]
@@ -186,21 +192,23 @@ def nmf_topics(docs: DataFrame, k: int = 8, top: int = 8, rounds: int = 12, id_c
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(-k, 0, dtype=np.int32)), *map(pa.array, gram)], ["j", *ss])  # below the words
 
         added = rows.mapInArrow(sums, ", ".join(["j int", *[f"{c} double" for c in ss]])).groupBy("j").agg(*[F.sum(c).alias(c) for c in ss])
-        added = stored(added, "nmf-sums")
-        gram = np.array([r[1:] for r in sorted(added.where("j < 0").collect())])  # k x k
+        tables.append(stored(added, "nmf-sums"))
+        steps.append((sorted(tables[-1].inputFiles()), np.array([r[1:] for r in sorted(tables[-1].where("j < 0").collect())])))  # k x k
 
-        def moved(batches: Iterator[pa.RecordBatch], gram=gram) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                h, s = (np.array([b.column(c).to_numpy() for c in names]) for names in (hs, ss))
-                yield pa.RecordBatch.from_arrays([b.column("j"), *map(pa.array, h * (s / np.maximum(gram @ h, 1e-9)))], ["j", *hs])
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            h = _factors((v, k), seed, steps)
+            for a in range(0, v, PART):
+                part = h[a : a + PART]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + len(part), dtype=np.int32)), *map(pa.array, part.T.copy())], ["j", *hs])
 
-        before = factors
-        factors = stored(before.join(added.where("j >= 0"), "j", "left").fillna(0.0, ss).mapInArrow(moved, before.schema), "nmf-factors")
-        for done in (before, added):
-            dropped(done)
+    factors = stored(spark.range(1).coalesce(1).mapInArrow(last, ", ".join(["j int", *[f"{c} double" for c in hs]])), "nmf-factors")
+    for table in tables:
+        dropped(table)
     weights = factors.select("j", F.posexplode(F.array(*hs)).alias("topic", "h"))
-    tops = weights.withColumn("n", F.row_number().over(Window.partitionBy("topic").orderBy(F.col("h").desc(), "j"))).where(F.col("n") <= top)
-    return tops.join(known, tops["j"] == known["i"]).select("topic", (F.col("n") - 1).alias("place"), F.col("w").alias("word"), F.round("h", 6).alias("weight"))
+    falling = F.round(F.log("h"), 9).desc()  # words that always stand together differ in the last digits only, by the order of sums
+    tops = weights.withColumn("n", F.row_number().over(Window.partitionBy("topic").orderBy(falling, "j"))).where(F.col("n") <= top)
+    return known.join(F.broadcast(tops), known["i"] == tops["j"]).select("topic", (F.col("n") - 1).alias("place"), F.col("w").alias("word"), F.round("h", 6).alias("weight"))
 
 
 # ---------------------------------------------------------------- topics in words
