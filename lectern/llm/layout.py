@@ -187,16 +187,23 @@ _TOOL = re.compile(
 )
 
 
-def _automaton() -> ahocorasick.Automaton:
+def _automaton(stems: list[str]) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for stems, _ in _CUES:
-        for stem in stems.split("|"):
-            a.add_word(stem, 1)
+    for stem in stems:
+        a.add_word(stem, 1)
     a.make_automaton()
     return a
 
 
-_STEMS = _automaton()
+_STEMS = _automaton([stem for stems, _ in _CUES for stem in stems.split("|")])
+
+
+#: Positions and titles, in lower case, without which ``_POSITION`` finds nothing.
+_POSITION_STEMS = _automaton(
+    "professor lecturer instructor scientist fellow reader researcher director dean chair emeritus dozent professur wissenschaftliche maître chercheu professeur profesor investigador catedrátic".split()
+)
+#: Letters that are others to ``lower`` than to expressions that ignore case.
+_ODD_CASE = re.compile("[ſıİ]")
 
 
 def cued(line: str) -> bool:
@@ -215,13 +222,22 @@ _POSITION = re.compile(
     r"\b(?:professor|lecturer|instructor|scientist|fellow|reader|researcher|director|dean|chair|emeritus|dozent\w*|professur|wissenschaftliche\w*|maître|maîtresse|chercheu\w+|professeure?|profesora?|investigadora?|catedrátic\w+)\b",
     re.I,
 )
+
+
+def has_position(s: str) -> bool:
+    """Whether ``_POSITION`` is found; it is tried only if the line holds one of its stems."""
+    return (next(_POSITION_STEMS.iter(s.lower()), None) is not None or not s.isascii() and _ODD_CASE.search(s) is not None) and _POSITION.search(s) is not None
+
+
 _INSTITUTION = re.compile(r"\b(?:university|universität|universidad|université|college|institute of technology|hochschule|state university|medical school|école)\b", re.I)
 _ADDRESS_FOOT = re.compile(r"^[^\d|,]{4,70}\s?[|,]\s.*\d")
 _PUBLISHED = re.compile(r"\bdoi:|\(\d{4}\)|[“”]")
 _CRUMB = re.compile(r"^[^.!?;:]{2,60}(?:\s(?:»|›|>|::|/|→)\s[^.!?;:]{1,60})+$")
 _TEASER = re.compile(r"^(?!The )[^\W\d]\w{2,}(?: (?:report|weekly|news|today|monthly|daily))?\s?(?::| -| –) \S")
+#: What a breadcrumb has between its parts.
+_CRUMB_MARK = re.compile(r"»|›|>|/|→|::")
+_COLUMNS = re.compile(r"\s\|\s|\s{2,}")
 _BULLET = re.compile(r"^[\s]*(?:[›>»*•·–-])\s+")
-_SPACES = re.compile(r"[\s\xa0]+")
 _WORDS = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _DEGREES = frozenset("prof professor dr doctor phd md mr mrs ms assoc assistant jr sr ii iii iv faas msc bsc ma dphil emeritus ing habil".split())
 
@@ -273,14 +289,16 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     own = own or []
     raw = text.split("\n")
     at = [n for n, s in enumerate(raw) if s.strip("﻿ \t\r\xa0​")]
-    lines = [_SPACES.sub(" ", raw[n]).strip(" ﻿​") for n in at]
-    wide = [raw[n].replace("\r", "").strip() for n in at]
+    single = [" ".join(raw[n].split()) for n in at]
+    lines = [s.strip(" ﻿​") for s in single]
+    bullet = [_BULLET.match(s) for s in lines]
+    bares = [s[b.end() :] if b else s for s, b in zip(lines, bullet, strict=True)]
+    lows = [s.casefold().rstrip(":") for s in bares]
     n = len(lines)
     kind = [""] * n
     is_menu = [False] * n
     for i, s in enumerate(lines):
-        bare = _BULLET.sub("", s)
-        low = bare.casefold().rstrip(":")
+        bare, low = bares[i], lows[i]
         if (s[0] in "%$<[{#-*@xXtTfFuUnNlL" or not s[0].isalnum()) and _MARKER.match(s):
             kind[i] = "marker"
         elif low in MENU:
@@ -290,10 +308,12 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
         elif cued(bare):
             kind[i] = "notice"
         else:
-            parts = [p for p in re.split(r"\s\|\s|\s{2,}", wide[i]) if p]
+            wide = raw[at[i]].strip()
+            # without a bar and with single spaces only, the line is one part
+            parts = [p for p in _COLUMNS.split(wide.replace("\r", "").strip()) if p] if "|" in wide or len(wide) != len(single[i]) or "\r" in wide else ()
             if len(parts) >= 2 and sum(_BULLET.sub("", p).casefold() in MENU for p in parts) >= 0.6 * len(parts):
                 kind[i] = "menu"
-            elif _CRUMB.match(s) and not re.search(r"\d", s):
+            elif _CRUMB_MARK.search(s) and _CRUMB.match(s) and not re.search(r"\d", s):
                 kind[i] = "crumb"
 
     # the line of the page's person
@@ -306,15 +326,15 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     longest = max(own, key=len, default="")
     name_at = next((i for i in range(n) if mine(i) and any(alike(w, longest) or alike(w, own[-1]) or alike(w, own[0]) for w in name_words(lines[i]))), None)
     if name_at is None:
-        name_at = next((i for i in range(1, n) if not kind[i - 1] and not is_menu[i - 1] and _looks_name(lines[i - 1]) and _POSITION.search(lines[i]) and not kind[i]), None)
+        name_at = next((i for i in range(1, n) if not kind[i - 1] and not is_menu[i - 1] and _looks_name(lines[i - 1]) and has_position(lines[i]) and not kind[i]), None)
         name_at = None if name_at is None else name_at - 1
     if name_at is None:
-        name_at = next((i for i in range(n) if not kind[i] and not is_menu[i] and at[i] not in recurrent and (len(lines[i]) > 90 and not _TEASER.match(lines[i]) or _POSITION.search(lines[i]))), n)
+        name_at = next((i for i in range(n) if not kind[i] and not is_menu[i] and at[i] not in recurrent and (len(lines[i]) > 90 and not _TEASER.match(lines[i]) or has_position(lines[i]))), n)
         while name_at > 0 and name_at < n and not kind[name_at - 1] and lines[name_at - 1].startswith("#"):
             name_at -= 1
 
     if recurrent:
-        _mark_recurrent(kind, lines, [not is_menu[i] and i != name_at and at[i] in recurrent for i in range(n)], name_at)
+        _mark_recurrent(kind, lines, bullet, [not is_menu[i] and i != name_at and at[i] in recurrent for i in range(n)], name_at)
 
     # boxes: a title implies a block of the entries that fit it
     i = 0
@@ -322,11 +342,11 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
         if kind[i] != "title":
             i += 1
             continue
-        what = _BOX[_BULLET.sub("", lines[i]).casefold().rstrip(":")]
+        what = _BOX[lows[i]]
         j = i + 1
         while j < n and j != name_at and kind[j] in ("", "notice") and _entry(what, lines[j], kind[j], is_menu[j], own):
             kind[j], j = "box", j + 1
-        ambiguous = _BULLET.sub("", lines[i]).casefold().rstrip(":") in MENU
+        ambiguous = lows[i] in MENU
         kind[i] = "box" if j > i + 1 or not ambiguous else "notice"
         i = j
 
@@ -339,18 +359,18 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
         j = i
         while j < n and is_menu[j]:
             j += 1
-        if j - i >= 2 or i < name_at or _BULLET.match(lines[i]):
+        if j - i >= 2 or i < name_at or bullet[i]:
             for k in range(i, j):
                 kind[k] = "menu"
             # a run in the body may end with the heading of what follows
             last = j - 1
-            if i > name_at and j < n and not kind[j] and (len(lines[j]) > 60 or _BULLET.match(lines[j])) and not _BULLET.match(lines[last]) and i - 1 >= 0 and j - i <= 2:
+            if i > name_at and j < n and not kind[j] and (len(lines[j]) > 60 or bullet[j]) and not bullet[last] and i - 1 >= 0 and j - i <= 2:
                 kind[last] = ""
         i = j
     for i, s in enumerate(lines):
         if i < name_at and kind[i] in ("", "title"):
             kind[i] = "head"
-        if kind[i] == "" and len(s) < 160 and _ADDRESS_FOOT.match(s) and _INSTITUTION.search(s[:80]) and not _PUBLISHED.search(s):
+        if kind[i] == "" and len(s) < 160 and ("," in s or "|" in s) and _ADDRESS_FOOT.match(s) and _INSTITUTION.search(s[:80]) and not _PUBLISHED.search(s):
             kind[i] = "footer"
 
     # what follows the last line of substance is the footer
@@ -365,22 +385,21 @@ def elements(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     return [(at[i], kind[i] or ("name" if i == name_at else "main")) for i in range(n)]
 
 
-def _mark_recurrent(kind: list[str], lines: list[str], recurs: list[bool], name_at: int) -> None:
+def _mark_recurrent(kind: list[str], lines: list[str], bullet: list[re.Match | None], recurs: list[bool], name_at: int) -> None:
     """Lines that recur are notices, but for headings, position and contact lines right under the name, and entries of lists that don't recur as a whole."""
     n = len(lines)
     under = name_at + 1
-    while under < n and not kind[under] and len(lines[under]) < 100 and (under == name_at + 1 or not recurs[under] or _POSITION.search(lines[under]) or re.search(r"@|\d", lines[under])):
+    while under < n and not kind[under] and len(lines[under]) < 100 and (under == name_at + 1 or not recurs[under] or has_position(lines[under]) or re.search(r"@|\d", lines[under])):
         under += 1
     i = 0
     while i < n:
-        if not _BULLET.match(lines[i]):
-            short = len(lines[i].split()) <= 5 and _looks_heading(lines[i])
-            if recurs[i] and not kind[i] and not short and not name_at < i < under:
+        if not bullet[i]:
+            if recurs[i] and not kind[i] and not name_at < i < under and not (len(lines[i].split()) <= 5 and _looks_heading(lines[i])):
                 kind[i] = "notice"
             i += 1
             continue
         j = i
-        while j < n and _BULLET.match(lines[j]):
+        while j < n and bullet[j]:
             j += 1
         if sum(recurs[i:j]) > 0.5 * (j - i):
             for k in range(i, j):
@@ -390,18 +409,19 @@ def _mark_recurrent(kind: list[str], lines: list[str], recurs: list[bool], name_
 
 def _entry(what: str, s: str, kind: str, in_menu: bool, own: list[str]) -> bool:
     """Whether a line may be an entry of a box of that kind."""
-    bare = _BULLET.sub("", s)
+    mark = _BULLET.match(s)
+    bare = s[mark.end() :] if mark else s
     if s.startswith("#"):
         return False
     if what == "links":
-        return len(bare.split()) <= 4 and not re.search(r"\d|[.,]$", bare) and not _POSITION.search(bare)
+        return len(bare.split()) <= 4 and not re.search(r"\d|[.,]$", bare) and not has_position(bare)
     if what == "people":
         return _looks_name(s) and not in_menu
     if what == "news":
-        return bool(_TEASER.match(s) or _MORE.search(s) or (len(s) < 100 and _CALL.match(s) and not s.endswith("."))) and not _POSITION.search(bare[:40])
+        return bool(_TEASER.match(s) or _MORE.search(s) or (len(s) < 100 and _CALL.match(s) and not s.endswith("."))) and not has_position(bare[:40])
     if what == "contact":
         return len(s) < 80 and bool(re.search(r"@|\bat\b|\d{3}", s)) and not any(w in own for w in name_words(s) if len(w) > 3)
-    short = len(s) < 100 and not re.search(r"[.:]$", s) and not _BULLET.match(s) and not _looks_heading(s) and not _YEARS.search(s) and not _POSITION.search(s)
+    short = len(s) < 100 and not re.search(r"[.:]$", s) and not _BULLET.match(s) and not _looks_heading(s) and not _YEARS.search(s) and not has_position(s)
     return short or kind == "notice" and cued(bare)
 
 
@@ -494,6 +514,11 @@ def line_tree(text: str, own: list[str] | None = None, recurrent: frozenset[int]
     return root
 
 
+def parted(kinds: list[tuple[int, str]]) -> tuple[list[int], list[int]]:
+    """What :func:`lines_of` tells of the tree of such lines: each stands in one element, which its kind names, and what is within an article is visible."""
+    return [n for n, k in kinds if k not in HIDDEN_KINDS], [n for n, k in kinds if k in HIDDEN_KINDS]
+
+
 def lines_of(node: Node, hidden: bool = False) -> tuple[list[int], list[int]]:
     """Numbers of the visible lines under an element, and of the others."""
     kept: list[int] = []

@@ -43,10 +43,9 @@ def page_lines(pages: DataFrame, fetches: DataFrame | None = None, cut: float =
                 kinds = layout.elements(body, own, numbers(recurs))
                 if model.value.score(*residue.features(body, name, title, kinds)) >= cut:
                     continue
-                root = layout.line_tree(body, own, kinds=kinds)
-                row = (key, *layout.lines_of(root))
+                row = (key, *layout.parted(kinds))
                 if with_text:
-                    row += (layout.render_lines(root),)
+                    row += (layout.render_lines(layout.line_tree(body, own, kinds=kinds)),)
                 rows.append(row)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 

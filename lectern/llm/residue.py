@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import templates
-from lectern.llm.layout import _POSITION, alike, elements, name_words
+from lectern.llm.layout import _YEARS, alike, elements, has_position, name_words
 from lectern.llm.quality import COMMON
 from lectern.session import spread
 
@@ -78,7 +78,7 @@ _PHRASES = """404|not found|nothing at this address|could not be located|access
 javascript|without scripts|has moved|redirected|not a robot|verify your browser|internal error|internal server error|internal failure|broke on our side|temporarily unavailable|offline|unavailable in your region
 certificate|not private|fatal:|warning:|index of|parent directory|not been filled in|not supplied|under construction|coming soon|zero results|could not find|did not work|lorem|ipsum|firstname|goes here
 sample person|sample biography|placeholder|text to follow|tbd|undefined|object object|insert biography|insert list|timeout|taken down|no encontrada|nicht gefunden|introuvable""".replace("\n", "|").split("|")
-_SIGNS = re.compile(r"\{\{|\$\{|%[a-z_]+%|@@\w+@@|<\w+>|\"status\"|\[object|_{4,}")
+_SIGNS = re.compile(r"\{\{|\$\{|%[a-z_]+%|@@\w+@@|<\w+>|\"status\"|\[object|____+")
 
 
 def _phrase_automaton() -> ahocorasick.Automaton:
@@ -102,28 +102,52 @@ def phrase_hits(low: str) -> int:
 
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[{}$%<>@#\[\]]|_+")
+_COURSE = re.compile(r"\W*[A-Z]{3,4} \d{3}")
 _KNOWN = frozenset(w for words in COMMON.values() for w in words)
 DENSE = 13
 
-_codes: dict[str, int] = {}
 
 
-def _code(word: str) -> int:
-    c = _codes.get(word)
-    if c is None:
-        if len(_codes) > 500_000:
-            _codes.clear()
-        c = _codes[word] = zlib.crc32(word.encode("utf-8", "replace"))
-    return c
+class _Codes(dict):
+    """Hash of a word; all numbers are one word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        c = self[word] = zlib.crc32(("0" if word.isdigit() else word).encode("utf-8", "replace"))
+        return c
+
+
+_codes = _Codes()
+
+
+def _letters() -> str:
+    """The ranges of ``[^\\W\\d_]`` below U+10000, which make a table of what are tests of each letter otherwise."""
+    inside = [c != "_" and c.isalnum() and not c.isdecimal() for c in map(chr, range(1 << 16))] + [False]
+    edges = [n for n in range(len(inside)) if inside[n] != inside[n - 1]]
+    return "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+_WORD_BELOW = re.compile(_WORD.pattern.replace(r"[^\W\d_]", f"[{_letters()}]"))
+_WORD_ASCII = re.compile(_WORD.pattern.replace(r"[^\W\d_]", "[a-zA-Z]"), re.A)
+
+
+def words_of(low: str) -> list[str]:
+    """``_WORD.findall(low)``, by an expression that is faster on the letters of ``low``."""
+    return (_WORD_ASCII if low.isascii() else _WORD if _BEYOND.search(low) else _WORD_BELOW).findall(low)
 
 
 def grams(words: list[str]) -> np.ndarray:
     """Distinct hashed 1- and 2-grams of lower-case words."""
     if not words:
         return np.zeros(0, dtype=np.int64)
-    one = np.fromiter(map(_code, ("0" if w.isdigit() else w for w in words)), dtype=np.int64, count=len(words))
+    one = np.fromiter(map(_codes.__getitem__, words), dtype=np.int64, count=len(words))
     two = (one[:-1] * 31 + one[1:] * 17 + 7) & 0x7FFFFFFF
-    return np.unique(np.concatenate([one, two]) & ((1 << BITS) - 1))
+    held = np.zeros(1 << BITS, dtype=bool)
+    held[one & ((1 << BITS) - 1)] = True
+    held[two & ((1 << BITS) - 1)] = True
+    return np.flatnonzero(held)
 
 
 def left_over(text: str, kinds: list[tuple[int, str]]) -> tuple[list[str], bool]:
@@ -141,11 +165,11 @@ def features(text: str | None, name: str | None, title: str | None, kinds: list[
     lines, named = left_over(body, kinds)
     rest = "\n".join(lines)
     low = rest.lower()
-    words = _WORD.findall(low)
+    words = words_of(low)
     common = sum(map(_KNOWN.__contains__, words)) / max(len(words), 1)
     long = sum(1 for s in lines if len(s) >= 70)
-    listed = sum(1 for s in lines if re.search(r"\b(?:19|20)\d\d\b|^\W*[A-Z]{3,4} \d{3}", s))
-    position = any(_POSITION.search(s) for s in lines if len(s) < 120)
+    listed = sum(1 for s in lines if ("19" in s or "20" in s) and _YEARS.search(s) or _COURSE.match(s))
+    position = any(has_position(s) for s in lines if len(s) < 120)
     marked = sum(1 for _, k in kinds if k == "marker") / max(len(lines), 1)
     t = (title or "").strip().lower()
     own_title = any(w in own for w in name_words(t))

@@ -30,15 +30,16 @@ PROSE = 100
 def _keyed(pages: DataFrame) -> DataFrame:
     """``pages`` with ``_site`` and ``_keys``: per line a hash of its letters, 0 for one that can't recur, negative for prose.
 
-    Each step is a projection of its own, so that a line is lowered, stripped and hashed once.
+    Texts are lowered and stripped as a whole, which keeps their line breaks, and split
+    then. Each step is a projection of its own, so that a line is hashed once.
     """
     site = F.coalesce(F.regexp_extract(F.lower("profile_url"), r"^\s*(?:[a-z][a-z0-9+.-]*://)?([^/:?#]+)", 1), F.lit(""))
     own = F.regexp_extract(site, r"([^.-]{4,})(?:-[^.]*)?\.[^.]*$", 1)
-    named = pages.withColumn("_at", site).withColumn("_own", own)
-    digits = lambda l: F.length(l) - F.length(F.translate(l, "0123456789", ""))
-    stripped = lambda l: F.regexp_replace(F.replace(F.lower(l), F.col("_own"), F.lit("#")), r"[^\p{L}#]+", "")
-    parts = F.transform(F.split("raw_text", "\n"), lambda l: F.struct(stripped(l).alias("p"), digits(l).alias("d"), F.trim(l).contains(" ").alias("w")))
-    sized = F.transform(parts, lambda x: F.struct(x["p"].alias("p"), F.length(F.translate(x["p"], "#", "")).alias("n"), x["d"].alias("d"), x["w"].alias("w")))
+    named = pages.withColumn("_at", site).withColumn("_own", F.when(own.contains("\n"), "").otherwise(own))  # of two lines it is in no line
+    stripped = F.regexp_replace(F.replace(F.lower("raw_text"), F.col("_own"), F.lit("#")), r"[^\p{L}#\n]+", "")
+    digits = F.regexp_replace("raw_text", r"[^0-9\n]+", "")
+    parts = F.arrays_zip(*(F.split(text, "\n").alias(n) for n, text in (("l", F.col("raw_text")), ("p", stripped), ("d", digits))))
+    sized = F.transform(parts, lambda x: F.struct(x["p"].alias("p"), F.length(F.replace(x["p"], F.lit("#"), F.lit(""))).alias("n"), F.length(x["d"]).alias("d"), F.trim(x["l"]).contains(" ").alias("w")))
     positive = F.lit((1 << 63) - 1).cast("bigint")
 
     def key(x: Column) -> Column:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +208,63 @@ def test_pages_and_residue_share_a_model(spark, data, monkeypatch):
     for q in ("p6_found", "p3_found", "p3_main_text"):
         queries.queries()[q](spark, data)
     assert len(fitted) == 3 and all((m.hashed == fitted[0].hashed).all() and (m.dense == fitted[0].dense).all() for m in fitted)
+
+
+class Counted:
+    """An expression that counts how often it is tried."""
+
+    def __init__(self, pattern):
+        self.pattern, self.tried = pattern, 0
+
+    def search(self, s):
+        self.tried += 1
+        return self.pattern.search(s)
+
+
+def test_positions_are_sought_only_in_lines_that_hold_a_stem(monkeypatch):
+    counted = Counted(layout._POSITION)
+    for m in (layout, residue):
+        if hasattr(m, "_POSITION"):
+            monkeypatch.setattr(m, "_POSITION", counted)
+    plain = "\n".join(f"The river rose in spring {n} and fell again." for n in range(200))
+    residue.features(plain, "Ada Quill", "River notes")
+    assert counted.tried < 10  # each of the 200 lines before
+    for s in ("Profeſſor of law", "DİRECTOR", "CATEDRÁTICO", "wıssenschaftliche Hilfe", "Professeure émérite", "Profesor", "profesora", "Investigador", "maîtresse de conférences", "Chercheuse"):
+        assert layout.has_position(s) and counted.pattern.search(s), s
+    assert not layout.has_position("subreaders professorial")
+
+
+def test_words_and_parts_are_those_of_the_plain_forms(spark, data):
+    odd = ["", "a_b __ c1²½٣ {x}$%<>@#[]", "straße éa_1 naïve２", "𝐀bc é 𠀀x ſıK", "x" * 50 + "1998"]
+    texts = queries.read_table(spark, data, "extracted_content").limit(60).collect()
+    for s in odd + [(r.raw_text or "").lower() for r in texts]:
+        assert residue.words_of(s) == residue._WORD.findall(s)
+    for r in texts:
+        own = layout.name_words(r.profile_name or "")
+        kinds = layout.elements(r.raw_text or "", own)
+        assert layout.parted(kinds) == layout.lines_of(layout.line_tree(r.raw_text or "", own, kinds=kinds))
+
+
+def test_lines_are_stripped_as_a_whole_text(spark):
+    rows = [
+        ("a", "Great River University\n\n12 ΟΔΟΣ Straße 7\n  one \nA Β C d e f g h i j k l", "https://www.greatriver.edu/p"),
+        ("b", "ab\ncdefgh everywhere and always\nlong " + "word " * 40, "https://ab\ncdefgh.edu/x"),
+        ("c", None, None),
+        ("d", "", ""),
+    ]
+    pages = spark.createDataFrame(rows, "id string, raw_text string, profile_url string")
+    keyed = templates._keyed(pages)
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace(" in plan and not re.search(r"lambdafunction\((?:named_struct|struct)\([^\n]*?(?:regexp_replace|translate)\(", plan)  # once for a text, not for each line
+    own = {"a": "greatriver", "b": "", "c": "", "d": ""}
+    found = {r.id: r for r in keyed.collect()}
+    for key, text, _ in rows:
+        lines = [] if text is None else text.split("\n")
+        letters = spark.createDataFrame([(n, re.sub(r"[^\w#]|[\d_]", "", s.lower().replace(own[key], "#") if own[key] else s.lower()), s) for n, s in enumerate(lines)] or [(-1, "", "")], "n int, p string, s string")
+        hashed = {r.n: r for r in letters.selectExpr("n", "p", "s", f"{(1 << 63) - 1} & xxhash64(p) as h").collect()}
+        expected = []
+        for n in range(len(lines)):
+            p, s, h = hashed[n].p, hashed[n].s, hashed[n].h
+            size, digits = len(p.replace("#", "")), sum(c in "0123456789" for c in s)
+            expected.append((h if size <= templates.PROSE else -h) if " " in s.strip(" ") and size >= templates.LETTERS and digits * 4 <= size else 0)
+        assert found[key]["_keys"] == expected, key
